@@ -46,6 +46,11 @@ def clip(c: Column, low: float, high: float) -> Column:
     return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(low)), F.lit(high)))
 
 
+def round_even(c: Column, digits: int) -> Column:
+    """Round to digits, halves to the even neighbour; stays in generated code."""
+    return F.rint(c * 10**digits) / 10**digits
+
+
 def discount_pct(price: Column | str, list_price: Column | str) -> Column:
     """Percentage off the list price in 0..100, one digit.
 
@@ -53,7 +58,7 @@ def discount_pct(price: Column | str, list_price: Column | str) -> Column:
     """
     p, lp = _col(price), _col(list_price)
     pct = clip(F.try_divide(lp - p, lp) * 100, 0.0, 100.0)
-    return F.round(F.when((lp == 0) & (p > 0), F.lit(0.0)).otherwise(pct), 1)
+    return round_even(F.when((lp == 0) & (p > 0), F.lit(0.0)).otherwise(pct), 1)
 
 
 def cut(c: Column | str, edges: Sequence[float], labels: Sequence[str]) -> Column:
@@ -86,7 +91,7 @@ def rating_tier(c: Column | str) -> Column:
 
 def price_per_rating(price: Column | str, rating: Column | str) -> Column:
     p = F.coalesce(_col(price), F.lit(0.0))
-    return F.round(F.try_divide(p, F.coalesce(_col(rating), F.lit(3.0))), 2)
+    return round_even(F.try_divide(p, F.coalesce(_col(rating), F.lit(3.0))), 2)
 
 
 def rank_score(rating: Column | str, reviews: Column | str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shopgrain.functions import dictionaries as D
-from shopgrain.functions.numbers import _col, clip
+from shopgrain.functions.numbers import _col, clip, round_even
 from shopgrain.functions.textual import words
 
 
@@ -119,7 +119,7 @@ def fake_report(text: Column | str, rating: Column | str, preset: str = "api") -
 def nlp_quality(compound: Column | str, features: Column | str, n_words: Column | str) -> Column:
     """0..100 from sentiment (50), number of features (25) and length (25)."""
     zero = F.lit(0.0)
-    return F.round(
+    return round_even(
         (F.coalesce(_col(compound), zero) + 1) * 25
         + clip(F.coalesce(_col(features).cast("double"), zero), 0.0, 5.0) * 5
         + clip(F.coalesce(_col(n_words).cast("double"), zero), 0.0, 100.0) / 100 * 25,

@@ -1,8 +1,9 @@
-"""Cutting lineage through reliable storage."""
+"""Cutting lineage through tables written to reliable storage."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,9 +21,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write df to the checkpoint folder and go on from the written copy."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/shopgrain/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write df as Parquet in the shared folder and go on from the written copy.
+
+    For tables that are read several times: later reads prune columns, know the size,
+    and do not depend on the executors that computed them.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

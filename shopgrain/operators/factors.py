@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.operators.checkpoints import cut_lineage
+from shopgrain.operators.checkpoints import materialise
 
 
 @dataclass
@@ -32,22 +32,28 @@ def _names(width: int) -> list[str]:
     return [f"d{j}" for j in range(width)]
 
 
-def _gram(df: DataFrame, names: list[str]) -> np.ndarray:
-    """Sum over rows of x x^T and, in the last line, of x; one partial result per task."""
+def _gram(df: DataFrame, names: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Sum over rows of x x^T, of x, and the number of rows; one partial result per task."""
     width = len(names)
 
     def partial(batches):
         total = np.zeros((width + 1, width))
+        n = 0
         for pdf in batches:
             x = pdf.to_numpy(dtype=float)
             total[:width] += x.T @ x
             total[width] += x.sum(axis=0)
-        yield pd.DataFrame({"i": np.arange(width + 1), **{n: total[:, j] for j, n in enumerate(names)}})
+            n += len(x)
+        if n:
+            yield pd.DataFrame({"i": np.arange(width + 1), "n": n, "x": list(total)})
 
-    schema = "i int, " + ", ".join(f"{n} double" for n in names)
-    parts = df.select(*names).mapInPandas(partial, schema)
-    rows = parts.groupBy("i").agg(*[F.sum(n).alias(n) for n in names]).orderBy("i").collect()
-    return np.array([[r[n] for n in names] for r in rows])
+    parts = df.select(*names).mapInPandas(partial, "i int, n long, x array<double>")
+    sums = [F.sum(F.col("x")[j]).alias(f"x{j}") for j in range(width)]
+    rows = sorted(parts.groupBy("i").agg(F.sum("n").alias("n"), *sums).collect())
+    if not rows:
+        return np.zeros((width, width)), np.zeros(width), 0
+    total = np.array([r[2:] for r in rows])
+    return total[:width], total[width], rows[0]["n"]
 
 
 def _times(df: DataFrame, key: str, names: list[str], matrix: np.ndarray) -> DataFrame:
@@ -66,8 +72,7 @@ def _times(df: DataFrame, key: str, names: list[str], matrix: np.ndarray) -> Dat
 
 
 def _orthonormal(df: DataFrame, key: str, names: list[str]) -> tuple[DataFrame, list[str]]:
-    gram = _gram(df, names)[:-1]
-    values, vectors = np.linalg.eigh(gram)
+    values, vectors = np.linalg.eigh(_gram(df, names)[0])
     keep = values > max(values.max(), 0.0) * 1e-12
     basis = vectors[:, keep] / np.sqrt(values[keep])
     return _times(df, key, names, basis), _names(int(keep.sum()))
@@ -91,16 +96,12 @@ def truncated_svd(
     a = entries.select(
         F.col(row).alias("row"), F.col(col).alias("col"), F.col(value).cast("double").alias("value")
     )
-    a = cut_lineage(a)
-    n_rows = a.select("row").distinct().count()
-    n_cols = a.select("col").distinct().count()
-    rank = max(1, min(rank, n_rows - 1, n_cols - 1))
-    width = min(rank + oversample, n_rows, n_cols)
-    names = _names(width)
+    a = materialise(a, "entries")
+    names = _names(rank + oversample)
 
     # Random signs from bits of a hash of the column id: the same in every attempt.
     signs = a
-    for block in range((width + 63) // 64):
+    for block in range((len(names) + 63) // 64):
         signs = signs.withColumn(f"h{block}", F.xxhash64("col", F.lit(seed + block)))
 
     def sign(j: int):
@@ -110,25 +111,26 @@ def truncated_svd(
     sample = signs.groupBy("row").agg(
         *[F.sum(F.col("value") * sign(j)).alias(n) for j, n in enumerate(names)]
     )
-    sample = cut_lineage(sample)
+    sample = materialise(sample, "sample")
     for _ in range(iterations):
-        basis, kept = _orthonormal(sample, "row", names)
-        back = cut_lineage(_multiply(a, "row", "col", basis, kept))
-        basis, names = _orthonormal(back, "col", kept)
-        sample = cut_lineage(_multiply(a, "col", "row", basis, names))
+        basis, names = _orthonormal(sample, "row", names)
+        back = materialise(_multiply(a, "row", "col", basis, names), "back")
+        basis, names = _orthonormal(back, "col", names)
+        sample = materialise(_multiply(a, "col", "row", basis, names), "sample")
     basis, names = _orthonormal(sample, "row", names)
-    projected = cut_lineage(_multiply(a, "row", "col", basis, names))
-    values, vectors = np.linalg.eigh(_gram(projected, names)[:-1])
+    projected = materialise(_multiply(a, "row", "col", basis, names), "projected")
+    values, vectors = np.linalg.eigh(_gram(projected, names)[0])
+    # Directions of no weight are dropped, so a small matrix has fewer than `rank`.
     top = np.argsort(values)[::-1][:rank]
-    top = top[values[top] > 0]
+    top = top[values[top] > max(values.max(), 0.0) * 1e-12]
     sigma = np.sqrt(values[top])
     dims = _names(len(top))
     row_table = _times(basis, "row", names, vectors[:, top] * sigma)
     col_table = _times(projected, "col", names, vectors[:, top] / sigma)
 
     # Variance over rows of each kept direction against that of all columns.
-    moments = _gram(row_table, dims)
-    kept_var = np.diag(moments[:-1]) / n_rows - (moments[-1] / n_rows) ** 2
+    squares, total, n_rows = _gram(row_table, dims)
+    kept_var = np.diag(squares) / n_rows - (total / n_rows) ** 2
     full = a.groupBy("col").agg(
         F.sum(F.col("value") * F.col("value")).alias("sq"), F.sum("value").alias("s")
     ).agg(F.sum(F.col("sq") / n_rows - (F.col("s") / n_rows) * (F.col("s") / n_rows))).first()[0]

@@ -28,14 +28,14 @@ def value_score(df: DataFrame, out: str = "value_score") -> DataFrame:
     refill = exact_quantile(df.select(filled.alias("filled")), "filled", 0.5)
     price = F.when(filled == 0, F.lit(refill).cast("double")).otherwise(filled)
     score = (F.coalesce("rating", F.lit(3.0)) / 5.0) / (F.log1p(price) + 1)
-    return df.withColumn(out, F.round(score * 100, 2))
+    return df.withColumn(out, N.round_even(score * 100, 2))
 
 
 def popularity_score(df: DataFrame, out: str = "popularity_score") -> DataFrame:
     """Review count against its 95th percentile, 0..100."""
     n = F.coalesce("review_count", F.lit(0)).cast("double")
     p95 = exact_quantile(df.select(n.alias("n")), "n", 0.95) or 0.0
-    return df.withColumn(out, F.round(N.clip(n / (p95 + 1) * 100, 0.0, 100.0), 2))
+    return df.withColumn(out, N.round_even(N.clip(n / (p95 + 1) * 100, 0.0, 100.0), 2))
 
 
 def engineer_features(df: DataFrame) -> DataFrame:

@@ -66,12 +66,26 @@ def surrogate_id(
     return df.withColumn(out, F.concat(F.lit(prefix), F.col("_pos").cast("string"))).drop("_pos")
 
 
-def exact_quantile(df: DataFrame, value: str, p: float, ranges: int = RANGES) -> float | None:
+def _interpolate(ordered: Sequence[tuple[float, int]], position: float, before: int = 0) -> float:
+    """Value at a fractional position among counted values in order."""
+    low, high = math.floor(position), math.ceil(position)
+    a = b = None
+    for value, n in ordered:
+        before += n
+        a = value if a is None and before > low else a
+        b = value if b is None and before > high else b
+    return a + (b - a) * (position - low)
+
+
+def exact_quantile(
+    df: DataFrame, value: str, p: float, ranges: int = RANGES, few: int = 10_000
+) -> float | None:
     """Exact quantile with linear interpolation; like ``approxQuantile`` it runs at once.
 
     Values are counted first, so a value that fills a third of the table is one row
-    afterwards. Row counts of at most ``ranges`` value ranges show which one holds the
-    wanted position, and only that part is sorted.
+    afterwards. Up to ``few`` distinct values the counts come to the driver. Beyond
+    that, row counts of at most ``ranges`` value ranges show which one holds the wanted
+    position, and the search goes on inside it.
     """
     counts = (
         df.select(F.col(value).cast("double").alias("v"))
@@ -80,32 +94,36 @@ def exact_quantile(df: DataFrame, value: str, p: float, ranges: int = RANGES) ->
         .persist()
     )
     try:
-        cuts = [r[0] for r in counts.select("v").orderBy(F.xxhash64("v")).limit(ranges - 1).collect()]
-        if not cuts:
-            return None
-        bounds = F.array(*[F.lit(c) for c in sorted(cuts)])
-        ranged = counts.withColumn("r", F.size(F.filter(bounds, lambda b: b < F.col("v"))))
-        sizes = ranged.groupBy("r").agg(F.sum("n").alias("n")).orderBy("r").collect()
-        position = (sum(r["n"] for r in sizes) - 1) * p
-        low, high = math.floor(position), math.ceil(position)
-        before, wanted, offset = 0, [], None
-        for r in sizes:
-            if before + r["n"] > low and before <= high:
-                wanted.append(r["r"])
-                offset = before if offset is None else offset
-            before += r["n"]
-        # One range, or two neighbours when the position falls between them.
-        running = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        found = (
-            ranged.where(F.col("r").isin(wanted))
-            .withColumn("upto", F.sum("n").over(running) + offset)
-            .agg(
-                F.min(F.when(F.col("upto") > low, F.col("v"))).alias("a"),
-                F.min(F.when(F.col("upto") > high, F.col("v"))).alias("b"),
-            )
-            .first()
-        )
-        return found["a"] + (found["b"] - found["a"]) * (position - low)
+        rows, before, position = counts, 0, None
+        while True:
+            head = rows.limit(few + 1).collect()
+            if not head:
+                return None
+            if len(head) <= few:
+                ordered = sorted((r["v"], r["n"]) for r in head)
+                if position is None:
+                    position = (sum(n for _, n in ordered) - 1) * p
+                return _interpolate(ordered, position, before)
+            sample = rows.select("v").orderBy(F.xxhash64("v")).limit(ranges - 1).collect()
+            cuts = sorted(r["v"] for r in sample)
+            bounds = F.array(*[F.lit(c) for c in cuts])
+            part = F.size(F.filter(bounds, lambda b: b < F.col("v")))
+            sizes = rows.groupBy(part.alias("r")).agg(F.sum("n").alias("n")).orderBy("r").collect()
+            if position is None:
+                position = (sum(r["n"] for r in sizes) - 1) * p
+            wanted = []
+            upto, start = before, None
+            for r in sizes:
+                if upto + r["n"] > math.floor(position) and upto <= math.ceil(position):
+                    wanted.append(r["r"])
+                    start = upto if start is None else start
+                upto += r["n"]
+            # One range, or two neighbours when the position falls between them.
+            before = start
+            if wanted[0] > 0:
+                rows = rows.where(F.col("v") > cuts[wanted[0] - 1])
+            if wanted[-1] < len(cuts):
+                rows = rows.where(F.col("v") <= cuts[wanted[-1]])
     finally:
         counts.unpersist()
 

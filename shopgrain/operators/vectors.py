@@ -8,10 +8,12 @@ first; beyond one block the items are read once per block.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,6 +22,9 @@ from shopgrain.operators.ordering import topk
 
 BLOCK = 4096
 
+# The helpers travel with the tasks, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """Array column as an (n, d) matrix."""

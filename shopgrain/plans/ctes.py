@@ -38,6 +38,15 @@ def tokens(expr: str) -> str:
     return f"list_filter(string_split_regex({expr}, '\\s+'), lambda w: w <> '')"
 
 
+def half_even(expr: str, digits: int) -> str:
+    """Rounding with halves to the even neighbour."""
+    x = f"(({expr}) * {10**digits})"
+    return (
+        f"(CASE WHEN {x} - floor({x}) = 0.5 AND floor({x}) % 2 = 0 THEN floor({x}) ELSE round({x}) END"
+        f" / {10**digits})"
+    )
+
+
 _SUFFIX = """CASE doc_id % 9
  WHEN 0 THEN ' Great camera, great battery life and the best screen. I love it!'
  WHEN 1 THEN ' The delivery was terrible and the box arrived broken. Not good.'
@@ -64,10 +73,10 @@ SELECT p_partkey AS product_idx, 'P' || p_partkey AS product_id, p_name AS produ
   WHEN 2 THEN 'ftp://img/' || p_partkey END AS image_url
 FROM part LEFT JOIN (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1) c
  ON p_partkey = l_partkey"""),
-    "products": (("products0",), """
+    "products": (("products0",), f"""
 SELECT *, CASE WHEN list_price = 0 THEN CASE WHEN price > 0 THEN 0.0 END
  WHEN price IS NULL THEN NULL
- ELSE round(greatest(0, least(100, (list_price - price) / list_price * 100)), 1) END AS discount_pct
+ ELSE {half_even('greatest(0, least(100, (list_price - price) / list_price * 100))', 1)} END AS discount_pct
 FROM products0"""),
     "raw_catalogue": (("products",), """
 SELECT product_id AS asin,
@@ -81,14 +90,14 @@ SELECT product_id AS asin,
 FROM products"""),
     "features0": (("products",), """
 SELECT *, coalesce(price, (SELECT median(price) FROM products)) AS filled FROM products"""),
-    "features": (("features0",), """
+    "features": (("features0",), f"""
 SELECT * EXCLUDE (is_bestseller, filled),
  coalesce(is_bestseller, false) AS is_bestseller,
- round(coalesce(rating, 3.0) / 5.0 /
-  (ln(1 + CASE WHEN filled = 0 THEN (SELECT median(filled) FROM features0) ELSE filled END) + 1) * 100, 2)
+ {half_even("""coalesce(rating, 3.0) / 5.0 /
+  (ln(1 + CASE WHEN filled = 0 THEN (SELECT median(filled) FROM features0) ELSE filled END) + 1) * 100""", 2)}
   AS value_score,
- round(least(100, review_count /
-  ((SELECT quantile_cont(review_count::DOUBLE, 0.95) FROM features0) + 1) * 100), 2) AS popularity_score,
+ {half_even("""least(100, review_count /
+  ((SELECT quantile_cont(review_count::DOUBLE, 0.95) FROM features0) + 1) * 100)""", 2)} AS popularity_score,
  CASE WHEN coalesce(discount_pct, 0) <= 0 THEN 'No Discount' WHEN discount_pct <= 10 THEN 'Low'
   WHEN discount_pct <= 25 THEN 'Medium' WHEN discount_pct <= 50 THEN 'High'
   ELSE 'Very High' END AS discount_tier,
@@ -99,7 +108,7 @@ SELECT * EXCLUDE (is_bestseller, filled),
  coalesce(len(list_filter(string_split_regex(product_name, '\\s+'), lambda w: w <> '')), 0)::BIGINT
   AS title_word_count,
  CASE WHEN coalesce(rating, 3.0) = 0 THEN NULL
-  ELSE round(coalesce(price, 0) / coalesce(rating, 3.0), 2) END AS price_per_rating
+  ELSE {half_even('coalesce(price, 0) / coalesce(rating, 3.0)', 2)} END AS price_per_rating
 FROM features0"""),
     "quality0": (("features",), """
 SELECT *, greatest(1, least(5, coalesce(rating, 3.0))) AS qr, ln(1 + review_count) AS qp,
@@ -212,9 +221,9 @@ SELECT *, least(100, CASE WHEN length(clean_review) < 20 AND rating = 5 THEN 30
  + CASE WHEN length(clean_review) > 0 AND length(clean_review) < 50 AND feature_count = 0 THEN 10 ELSE 0 END
  )::BIGINT AS fake_review_score
 FROM (SELECT *, {tokens('clean_review')} AS w FROM facts))"""),
-    "enriched": (("fake_batch", "labelled"), """
-SELECT *, round((sentiment_compound + 1) * 25 + least(feature_count, 5) * 5
-  + least(word_count, 100) / 100 * 25, 2) AS nlp_quality_score,
+    "enriched": (("fake_batch", "labelled"), f"""
+SELECT *, {half_even("""(sentiment_compound + 1) * 25 + least(feature_count, 5) * 5
+  + least(word_count, 100) / 100 * 25""", 2)} AS nlp_quality_score,
  CASE WHEN risk >= 60 THEN 'High Risk' WHEN risk >= 30 THEN 'Medium Risk' ELSE 'Low Risk' END AS product_risk_tier
 FROM (SELECT *, CASE WHEN fake_review_score > 60 THEN 40 WHEN fake_review_score > 30 THEN 20 ELSE 0 END
   + CASE WHEN sentiment_compound < -0.2 THEN 30 ELSE 0 END

@@ -177,8 +177,8 @@ for _name in ("value_score", "popularity_score", "discount_tier", "rating_tier",
     @query(_name, f"SELECT product_idx, {_name} FROM features", ["features"])
     def _(v: Views, name=_name):
         source = {
-            "value_score": lambda: features.value_score(v.products),
-            "popularity_score": lambda: features.popularity_score(v.products),
+            "value_score": lambda: features.value_score(v.stored_products),
+            "popularity_score": lambda: features.popularity_score(v.stored_products),
             "discount_tier": lambda: v.products.withColumn(name, N.discount_tier("discount_pct")),
             "rating_tier": lambda: v.products.withColumn(name, N.rating_tier("rating")),
             "price_per_rating": lambda: v.products.withColumn(
@@ -216,7 +216,7 @@ def _(v: Views):
 SELECT product_idx, round((price - lo) / (hi - lo), 6) AS price_scaled
 FROM products, (SELECT min(price) AS lo, max(price) AS hi FROM products)""", ["products"])
 def _(v: Views):
-    scaled = features.minmax(v.products, ["price"])
+    scaled = features.minmax(v.stored_products, ["price"])
     return scaled.select("product_idx", F.round("price_scaled", 6).alias("price_scaled"))
 
 
@@ -225,7 +225,7 @@ SELECT product_idx, CASE WHEN hi - lo < 1e-8 THEN 0.5 ELSE round((rating - lo) /
 FROM products JOIN (SELECT category, min(rating) AS lo, max(rating) AS hi FROM products GROUP BY 1) USING (category)
 """, ["products"])
 def _(v: Views):
-    scaled = features.normalise_half(v.products, "rating", by="category")
+    scaled = features.normalise_half(v.stored_products, "rating", by="category")
     return scaled.select("product_idx", F.round("rating_norm", 6).alias("rating_norm"))
 
 
@@ -234,7 +234,7 @@ SELECT product_idx, round((ln(1 + review_count) - lo) / (hi - lo), 6) AS scaled
 FROM products, (SELECT min(ln(1 + review_count)) AS lo, max(ln(1 + review_count)) AS hi FROM products)""",
        ["products"])
 def _(v: Views):
-    scaled = features.log_minmax(v.products, "review_count")
+    scaled = features.log_minmax(v.stored_products, "review_count")
     return scaled.select("product_idx", F.round("review_count_log_scaled", 6).alias("scaled"))
 
 
@@ -244,7 +244,7 @@ FROM products, (SELECT avg(price) AS avg_price, max(review_count) AS max_reviews
        ["products"])
 def _(v: Views):
     stats = [F.avg("price").alias("avg_price"), F.max("review_count").alias("max_reviews")]
-    return features.with_stats(v.products, stats).select(
+    return features.with_stats(v.stored_products, stats).select(
         "product_idx", F.round(F.col("price") - F.col("_stats.avg_price"), 4).alias("above_mean"),
         "_stats.max_reviews",
     )

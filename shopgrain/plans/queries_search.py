@@ -113,7 +113,7 @@ def product_content(v: Views):
     """Names, categories and brands of products as content text."""
     none = F.lit("")
     text = X.content_text(F.col("product_name"), F.col("category"), F.col("brand"), none, none, None)
-    return v.products.select("product_idx", text.alias("content"))
+    return v.stored_products.select("product_idx", text.alias("content"))
 
 
 _CONTENT = """
@@ -130,7 +130,7 @@ pweights AS (SELECT key, term, w / sqrt(sum(w * w) OVER (PARTITION BY key)) AS w
 
 def category_leaders(v: Views):
     """The product with most reviews of each category."""
-    rows = v.products.select("category", "product_idx", "review_count")
+    rows = v.stored_products.select("category", "product_idx", "review_count")
     return ordering.topk(rows, ["category"], [F.desc("review_count"), F.asc("product_idx")], 1)
 
 
@@ -153,7 +153,7 @@ def _(v: Views):
     weights, _ = tfidf.tfidf(product_content(v), "product_idx", "content")
     anchors = category_leaders(v).select(F.col("product_idx").alias("query_id"))
     unknown = v.spark.range(1).select(F.lit(-1).cast("bigint").alias("query_id"))
-    return recommend.similar_items(anchors.unionByName(unknown), weights, v.quality, 10)
+    return recommend.similar_items(anchors.unionByName(unknown), weights, v.stored_quality, 10)
 
 
 REQUESTS = [
@@ -183,7 +183,7 @@ FROM pairs QUALIFY rank <= 10""", ["products", "quality"])
 def _(v: Views):
     weights, vocab = tfidf.tfidf(product_content(v), "product_idx", "content")
     asks = v.spark.createDataFrame(REQUESTS, "query_id bigint, text string, category string")
-    return recommend.query_items(asks, vocab, weights, v.quality, 10)
+    return recommend.query_items(asks, vocab, weights, v.stored_quality, 10)
 
 
 @query("reduce_vectors")
@@ -248,7 +248,7 @@ def _(v: Views):
     model = recommend.collaborative(v.interactions, rank=20)
     new = v.spark.range(1).select(F.lit(-1).cast("bigint").alias("user_id"))
     users = segment_leaders(v).unionByName(new)
-    quality = v.quality.select(F.col("product_idx").alias("item_id"), "quality_score")
+    quality = v.stored_quality.select(F.col("product_idx").alias("item_id"), "quality_score")
     return recommend.recommend_users(users, model, quality, v.interactions, 10)
 
 
@@ -403,7 +403,7 @@ def keyword_hits(v: Views, k: int = 5):
         tfidf.project(asks, "query_id", "text", vocab), weights, "query_id", "product_idx"
     )
     best = ordering.topk(near, ["query_id"], [F.desc(F.round("cosine", 6)), F.asc("product_idx")], k)
-    hits = best.join(v.products, "product_idx").withColumn("score", F.round("cosine", 3))
+    hits = best.join(v.stored_products, "product_idx").withColumn("score", F.round("cosine", 3))
     return asks, hits
 
 

@@ -16,6 +16,7 @@ from shopgrain.functions import numbers as N
 from shopgrain.functions import textual as X
 from shopgrain.functions import trust
 from shopgrain.operators import demand, features, sentiment
+from shopgrain.operators.checkpoints import materialise
 
 # Sentences added to documents, which are invented prose, by doc_id % 9.
 SUFFIXES = [
@@ -99,14 +100,24 @@ class Views:
             F.col("image_url").alias("imgUrl"),
         )
 
+    @cached_property
+    def stored_products(self) -> DataFrame:
+        """Products as a written table, for queries that read them several times."""
+        return materialise(self.products, "products")
+
     @cached_property
     def features(self) -> DataFrame:
-        return features.engineer_features(self.products)
+        return features.engineer_features(self.stored_products)
 
     @cached_property
     def quality(self) -> DataFrame:
         return features.quality_score(self.features)
 
+    @cached_property
+    def stored_quality(self) -> DataFrame:
+        cols = ["product_idx", "product_name", "category", "price", "rating", "quality_score"]
+        return materialise(self.quality.select(*cols), "quality")
+
     @cached_property
     def reviews(self) -> DataFrame:
         part = self.table("part")
