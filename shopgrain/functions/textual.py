@@ -1,8 +1,8 @@
 """Text cleaning and dictionary matching as column expressions.
 
-Dictionary matching by substring is one pass of native ``contains`` calls per row.
-Each function reads its input column many times, so hand it a stored column (one
-``withColumn`` earlier), which Catalyst then keeps as a separate projection.
+Dictionary operators take a text column, which they test natively, or the keywords a
+``matching.Matcher`` has found in it. A text column is read many times, so hand over a
+stored one (a ``withColumn`` earlier), which Catalyst keeps as a separate projection.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from operator import add, or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shopgrain.functions.matching import Contains, Found, as_source, let
 from shopgrain.functions.numbers import _col, parse_number
 
 
@@ -48,30 +49,33 @@ def title_length(c: Column | str) -> Column:
     return F.coalesce(F.length(_col(c)), F.lit(0)).cast("bigint")
 
 
-def _any(text: Column, keywords: Sequence[str]) -> Column:
-    return reduce(or_, [text.contains(k) for k in keywords])
+def _any(source, keywords: Sequence[str]) -> Column:
+    return reduce(or_, [source.has(k) for k in keywords])
 
 
 def classify(
-    c: Column | str,
+    c: Column | str | Contains | Found,
     dictionary: Mapping[str, Sequence[str]],
     weight=lambda keyword: 1,
     default: str = "Other",
 ) -> Column:
     """Category with the largest keyword score; ties go to the earlier category."""
-    text = F.lower(_col(c))
-    scored = []
-    for order, (label, keywords) in enumerate(dictionary.items()):
-        score = reduce(add, [text.contains(k).cast("int") * weight(k) for k in keywords])
-        scored.append(
-            F.struct(
-                F.coalesce(score, F.lit(0)).alias("score"),
-                F.lit(-order).alias("order"),
-                F.lit(label).alias("label"),
+    source = as_source(c)
+    scores = F.array(
+        *[
+            F.coalesce(
+                reduce(add, [source.has(k).cast("int") * weight(k) for k in keywords]), F.lit(0)
             )
-        )
-    best = F.array_max(F.array(*scored))
-    return F.when(best["score"] > 0, best["label"]).otherwise(default)
+            for keywords in dictionary.values()
+        ]
+    )
+    labels = _literals(list(dictionary))
+
+    def pick(s: Column) -> Column:
+        first = F.array_position(s, F.array_max(s)).cast("int")
+        return F.when(F.array_max(s) > 0, F.element_at(labels, first)).otherwise(default)
+
+    return let(scores, pick)
 
 
 def long_word_weight(keyword: str) -> int:
@@ -85,24 +89,26 @@ def _spoken(word: str) -> str:
 
 
 def extract_brand(
-    c: Column | str, brands: Sequence[str], match: str = "substring", default: str = "Unknown"
+    c: Column | str | Contains | Found, brands: Sequence[str], match: str = "substring",
+    default: str = "Unknown",
 ) -> Column:
     """First brand of the ordered list found in the text.
 
     ``substring`` also hits inside words (``acer`` in ``spacer``); ``word`` needs
     whole tokens and compares the entries in their cleaned form.
     """
-    text = F.lower(_col(c))
-    if match == "word":
-        text = F.concat(F.lit(" "), F.regexp_replace(text, r"[^a-z0-9]+", " "), F.lit(" "))
-        tests = [(f" {_spoken(b)} ", b.title()) for b in brands]
-    elif match == "substring":
-        tests = [(b, b.title()) for b in brands]
+    if match == "substring":
+        source = as_source(c)
+        tests = [(source.has(b), b.title()) for b in brands]
+    elif match == "word":
+        plain = F.regexp_replace(F.lower(_col(c)), r"[^a-z0-9]+", " ")
+        padded = F.concat(F.lit(" "), plain, F.lit(" "))
+        tests = [(padded.contains(f" {_spoken(b)} "), b.title()) for b in brands]
     else:
         raise ValueError("match is 'substring' or 'word'")
     out = F.when(F.lit(False), F.lit(default))
-    for needle, name in tests:
-        out = out.when(text.contains(needle), name)
+    for test, name in tests:
+        out = out.when(test, name)
     return out.otherwise(default)
 
 
@@ -112,11 +118,11 @@ def first_price(c: Column | str) -> Column:
     return parse_number(F.regexp_replace(hit, ",", ""))
 
 
-def mentions(c: Column | str, dictionary: Mapping[str, Sequence[str]]) -> Column:
+def mentions(c: Column | str | Contains | Found, dictionary: Mapping[str, Sequence[str]]) -> Column:
     """Names of the dictionary entries with any keyword in the text, as an array."""
-    text = F.lower(_col(c))
+    source = as_source(c)
     return F.array_compact(
-        F.array(*[F.when(_any(text, kws), F.lit(name)) for name, kws in dictionary.items()])
+        F.array(*[F.when(_any(source, kws), F.lit(name)) for name, kws in dictionary.items()])
     )
 
 
@@ -136,28 +142,36 @@ def aspects(
     positive: Sequence[str],
     negative: Sequence[str],
     min_length: int = 5,
+    found: Found | None = None,
 ) -> Column:
     """Map of aspect to polarity.
 
     An aspect counts when one of its keywords occurs; its polarity compares the
     distinct positive and negative words of the whole text. Tokens lose the
-    punctuation around them first.
+    punctuation around them first. ``found`` supplies keywords that are already known.
     """
     text = F.lower(_col(c))
-    bare = F.regexp_replace(text, r"[.,!?]", " ")
-    tokens = F.array_distinct(words(bare))
-    pos = F.size(F.array_intersect(tokens, _literals(positive)))
-    neg = F.size(F.array_intersect(tokens, _literals(negative)))
-    polarity = F.when(pos > neg, "positive").when(neg > pos, "negative").otherwise("neutral")
-    long_enough = F.length(text) >= min_length
-    entries = [
-        F.when(
-            long_enough & _any(text, kws),
-            F.struct(F.lit(name).alias("key"), polarity.alias("value")),
-        )
-        for name, kws in dictionary.items()
-    ]
-    return F.map_from_entries(F.array_compact(F.array(*entries)))
+    source = found or Contains(text)
+    names = list(dictionary)
+    hit = F.array_compact(
+        F.array(*[F.when(_any(source, kws), F.lit(name)) for name, kws in dictionary.items()])
+    )
+    tokens = words(F.regexp_replace(text, r"[.,!?]", " "))
+    told = F.array_distinct(F.filter(tokens, lambda w: w.isin([*positive, *negative])))
+
+    def polarity(t: Column) -> Column:
+        pos = F.size(F.filter(t, lambda w: w.isin(list(positive))))
+        neg = F.size(F.filter(t, lambda w: w.isin(list(negative))))
+        return F.when(pos > neg, "positive").when(neg > pos, "negative").otherwise("neutral")
+
+    # Only a text with an aspect needs its words; they are looked at once.
+    none = F.create_map().cast("map<string,string>")
+    said = let(
+        let(told, polarity),
+        lambda p: F.map_from_arrays(hit, F.transform(hit, lambda _: p)),
+    )
+    relevant = (F.length(text) >= min_length) & _any(source, [k for n in names for k in dictionary[n]])
+    return F.when(relevant, said).when(text.isNotNull(), none)
 
 
 def sentiment_label(compound: Column | str) -> Column:

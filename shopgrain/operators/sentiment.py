@@ -30,7 +30,7 @@ def lexicon_table(spark: SparkSession, lexicon: Mapping[str, float] | None = Non
 
 def sentiment_tokens(text: Column) -> Column:
     """Words without the punctuation around them; single characters drop out."""
-    bare = F.transform(words(text), lambda w: F.regexp_replace(w, r"^[.,!?]+|[.,!?]+$", ""))
+    bare = F.transform(words(text), lambda w: F.btrim(w, F.lit(".,!?")))
     return F.filter(bare, lambda w: F.length(w) > 1)
 
 

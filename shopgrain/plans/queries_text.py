@@ -10,7 +10,7 @@ from shopgrain.functions import trust
 from shopgrain.operators import reports, search, sentiment
 from shopgrain.plans import ctes
 from shopgrain.plans.registry import query
-from shopgrain.plans.views import Views
+from shopgrain.plans.views import MATCHER, Views
 
 
 @query("clean_text", f"""
@@ -43,9 +43,8 @@ def _(v: Views):
 
 @query("category_by_keywords", "SELECT product_id, predicted_category FROM facts", ["facts"])
 def _(v: Views):
-    return v.cleaned.select(
-        "product_id", X.classify("combined_text", D.CATEGORY_KEYWORDS).alias("predicted_category")
-    )
+    label = X.classify(MATCHER.found("hits"), D.CATEGORY_KEYWORDS)
+    return v.matched.select("product_id", label.alias("predicted_category"))
 
 
 @query("category_weighted", f"""
@@ -55,15 +54,14 @@ SELECT product_id, coalesce(best, 'Other') AS category_fixed FROM cleaned LEFT J
   JOIN (VALUES {ctes.keyword_rows(D.RECOMMENDER_KEYWORDS)}) k(ord, name, kw) ON contains(combined_text, kw)
   GROUP BY ALL) GROUP BY 1) USING (product_id)""", ["cleaned"])
 def _(v: Views):
-    label = X.classify("combined_text", D.RECOMMENDER_KEYWORDS, X.long_word_weight)
-    return v.cleaned.select("product_id", label.alias("category_fixed"))
+    label = X.classify(MATCHER.found("hits"), D.RECOMMENDER_KEYWORDS, X.long_word_weight)
+    return v.matched.select("product_id", label.alias("category_fixed"))
 
 
 @query("brand_first_match", "SELECT product_id, brand_extracted FROM facts", ["facts"])
 def _(v: Views):
-    return v.cleaned.select(
-        "product_id", X.extract_brand("combined_text", D.BRANDS).alias("brand_extracted")
-    )
+    brand = X.extract_brand(MATCHER.found("hits"), D.BRANDS)
+    return v.matched.select("product_id", brand.alias("brand_extracted"))
 
 
 @query("extract_price_mention", "SELECT product_id, price_mentioned FROM facts", ["facts"])
@@ -73,25 +71,24 @@ def _(v: Views):
 
 @query("feature_mentions", "SELECT product_id, features_mentioned FROM facts", ["facts"])
 def _(v: Views):
-    names = X.mentions("combined_text", D.FEATURE_KEYWORDS)
-    return v.cleaned.withColumn("names", names).select(
+    names = X.mentions(MATCHER.found("hits"), D.FEATURE_KEYWORDS)
+    return v.matched.withColumn("names", names).select(
         "product_id", X.mention_list("names").alias("features_mentioned")
     )
 
 
 @query("feature_count", "SELECT product_id, feature_count FROM facts", ["facts"])
 def _(v: Views):
-    names = X.mentions("combined_text", D.FEATURE_KEYWORDS)
-    return v.cleaned.select("product_id", F.size(names).cast("bigint").alias("feature_count"))
+    names = X.mentions(MATCHER.found("hits"), D.FEATURE_KEYWORDS)
+    return v.matched.select("product_id", F.size(names).cast("bigint").alias("feature_count"))
 
 
 @query("aspect_sentiment", """
 SELECT product_id, coalesce(string_agg(aspect || '=' || polarity, ',' ORDER BY aspect), '') AS aspects
 FROM cleaned LEFT JOIN aspect_rows USING (product_id) GROUP BY 1""", ["cleaned", "aspect_rows"])
 def _(v: Views):
-    found = X.aspects("combined_text", D.ASPECT_KEYWORDS, D.POSITIVE_WORDS, D.NEGATIVE_WORDS)
-    entries = F.array_sort(F.map_entries("a"))
-    return v.cleaned.withColumn("a", found).select(
+    entries = F.array_sort(F.map_entries("aspect_sentiments"))
+    return v.dictionary_stage.select(
         "product_id",
         F.array_join(F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"])), ",")
         .alias("aspects"),

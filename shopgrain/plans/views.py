@@ -15,6 +15,7 @@ from shopgrain.functions import dictionaries as D
 from shopgrain.functions import numbers as N
 from shopgrain.functions import textual as X
 from shopgrain.functions import trust
+from shopgrain.functions.matching import Matcher, words_of
 from shopgrain.operators import demand, features, sentiment
 from shopgrain.operators.checkpoints import materialise
 
@@ -41,6 +42,11 @@ SHORT_REVIEWS = [
     "BAD BAD AWFUL product",
 ]
 
+# All dictionaries of the text stage, found in one pass.
+MATCHER = Matcher(
+    words_of(D.CATEGORY_KEYWORDS, D.RECOMMENDER_KEYWORDS, D.BRANDS, D.FEATURE_KEYWORDS, D.ASPECT_KEYWORDS)
+)
+
 
 class Views:
     """Lazily built views over one scale factor."""
@@ -156,19 +162,26 @@ class Views:
         )
         return r.withColumn("combined_text", X.combine_text("clean_title", "clean_review"))
 
+    @cached_property
+    def matched(self) -> DataFrame:
+        """Cleaned texts with the numbers of all dictionary keywords in them."""
+        return self.cleaned.withColumn("hits", MATCHER.find("combined_text"))
+
     @cached_property
     def dictionary_stage(self) -> DataFrame:
-        found = self.cleaned.withColumns(
+        known = MATCHER.found("hits")
+        found = self.matched.withColumns(
             {
                 "text_length": F.length("combined_text").cast("bigint"),
                 "word_count": X.word_count("combined_text"),
                 "has_review": F.length("clean_review") > 10,
-                "predicted_category": X.classify("combined_text", D.CATEGORY_KEYWORDS),
-                "brand_extracted": X.extract_brand("combined_text", D.BRANDS),
+                "predicted_category": X.classify(known, D.CATEGORY_KEYWORDS),
+                "brand_extracted": X.extract_brand(known, D.BRANDS),
                 "price_mentioned": X.first_price("review_text"),
-                "features": X.mentions("combined_text", D.FEATURE_KEYWORDS),
+                "features": X.mentions(known, D.FEATURE_KEYWORDS),
                 "aspect_sentiments": X.aspects(
-                    "combined_text", D.ASPECT_KEYWORDS, D.POSITIVE_WORDS, D.NEGATIVE_WORDS
+                    "combined_text", D.ASPECT_KEYWORDS, D.POSITIVE_WORDS, D.NEGATIVE_WORDS,
+                    found=known,
                 ),
             }
         )

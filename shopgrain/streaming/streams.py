@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 from shopgrain.functions import dictionaries as D
 from shopgrain.functions import textual as X
 from shopgrain.functions import trust
+from shopgrain.functions.matching import Matcher, words_of
 
 
 def enrich(df: DataFrame, text: str = "review_text", rating: str = "rating") -> DataFrame:
     """Cleaning, dictionaries and fake score; stateless, so the same on batch and stream."""
+    matcher = Matcher(words_of(D.CATEGORY_KEYWORDS, D.BRANDS, D.FEATURE_KEYWORDS))
     cleaned = df.withColumn("clean_review", X.clean_text(text))
-    found = cleaned.withColumns(
+    known = matcher.found("_hits")
+    found = cleaned.withColumn("_hits", matcher.find("clean_review")).withColumns(
         {
-            "predicted_category": X.classify("clean_review", D.CATEGORY_KEYWORDS),
-            "brand_extracted": X.extract_brand("clean_review", D.BRANDS),
-            "_features": X.mentions("clean_review", D.FEATURE_KEYWORDS),
+            "predicted_category": X.classify(known, D.CATEGORY_KEYWORDS),
+            "brand_extracted": X.extract_brand(known, D.BRANDS),
+            "_features": X.mentions(known, D.FEATURE_KEYWORDS),
         }
     )
     counted = found.withColumns(
@@ -25,7 +28,7 @@ def enrich(df: DataFrame, text: str = "review_text", rating: str = "rating") ->
             "features_mentioned": X.mention_list("_features"),
             "feature_count": F.size("_features").cast("bigint"),
         }
-    ).drop("_features")
+    ).drop("_features", "_hits")
     score = trust.fake_score("clean_review", rating, "batch", "feature_count")
     return counted.withColumn("fake_review_score", score)
 
@@ -37,14 +40,18 @@ def stream_dedup(df: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
 
 
 def stream_daily_demand(df: DataFrame, category: str, ts: str, qty: str, delay: str) -> DataFrame:
-    """Sum and count per category and day; a day is final once the watermark has passed it."""
-    timed = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-    windows = timed.groupBy(F.window(ts, "1 day"), F.col(category).alias("category")).agg(
+    """Sum and count per category and day; a day is final once the watermark has passed it.
+
+    Windows align to UTC, so local times are moved there and the dates back.
+    """
+    zone = F.current_timezone()
+    local = F.from_utc_timestamp(F.col(ts).cast("timestamp"), zone)
+    timed = df.withColumn("_at", local).withWatermark("_at", delay)
+    windows = timed.groupBy(F.window("_at", "1 day"), F.col(category).alias("category")).agg(
         F.sum(qty).alias("demand"), F.count("*").alias("n")
     )
-    return windows.select(
-        "category", F.to_date("window.start").alias("date"), "demand", "n"
-    )
+    day = F.to_date(F.to_utc_timestamp("window.start", zone))
+    return windows.select("category", day.alias("date"), "demand", "n")
 
 
 def run_once(df: DataFrame, path: str, checkpoint: str) -> None:

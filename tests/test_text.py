@@ -215,3 +215,24 @@ def test_overlap(spark):
     df = spark.range(1).select(F.split(F.lit("a b c"), " ").alias("x"), F.split(F.lit("b c d"), " ").alias("y"))
     a, b = X.overlap(F.col("x"), F.col("y"))
     assert tuple(df.select(a, b).first()) == (2, 4)
+
+
+@pytest.mark.parametrize("native", [False, True])
+def test_matcher_agrees_with_contains(spark, native):
+    from shopgrain.functions.matching import Matcher, words_of
+
+    matcher = Matcher(words_of(D.CATEGORY_KEYWORDS, D.BRANDS, D.FEATURE_KEYWORDS, D.ASPECT_KEYWORDS), native=native)
+    texts = ["SmartWatch with gaming laptop", "a cheap tablet", "apple watch band", "", None, "great lens, bad box", "zzz"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    df = df.withColumn("h", matcher.find("t"))
+    known = matcher.found("h")
+    words = (D.ASPECT_KEYWORDS, D.POSITIVE_WORDS, D.NEGATIVE_WORDS)
+    pairs = [
+        (X.classify(known, D.CATEGORY_KEYWORDS), X.classify("t", D.CATEGORY_KEYWORDS)),
+        (X.extract_brand(known, D.BRANDS), X.extract_brand("t", D.BRANDS)),
+        (X.mentions(known, D.FEATURE_KEYWORDS), X.mentions("t", D.FEATURE_KEYWORDS)),
+        (X.aspects("t", *words, found=known), X.aspects("t", *words)),
+    ]
+    for ours, plain in pairs:
+        rows = df.orderBy("i").select(ours.alias("a"), plain.alias("b")).collect()
+        assert [r["a"] for r in rows] == [r["b"] for r in rows]
