@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterable, Iterator, Sequence
+from functools import reduce
+from operator import add, or_
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -40,9 +42,15 @@ class Contains:
     def has(self, keyword: str) -> Column:
         return self.text.contains(keyword)
 
+    def any(self, keywords: Sequence[str]) -> Column:
+        return reduce(or_, [self.has(k) for k in keywords])
+
+    def count(self, keywords: Sequence[str]) -> Column:
+        return reduce(add, [self.has(k).cast("int") for k in keywords])
+
 
 class Found:
-    """Tests against the keyword numbers a matcher has found."""
+    """Tests against the few keyword numbers a matcher has found."""
 
     def __init__(self, hits: Column, numbers: dict[str, int]):
         self.hits = hits
@@ -51,6 +59,15 @@ class Found:
     def has(self, keyword: str) -> Column:
         return F.array_contains(self.hits, F.lit(self.numbers[keyword]))
 
+    def _among(self, keywords: Sequence[str]):
+        return lambda h: h.isin([self.numbers[k] for k in keywords])
+
+    def any(self, keywords: Sequence[str]) -> Column:
+        return F.exists(self.hits, self._among(keywords))
+
+    def count(self, keywords: Sequence[str]) -> Column:
+        return F.size(F.filter(self.hits, self._among(keywords)))
+
 
 def as_source(c: Column | str | Contains | Found):
     """Texts become native tests; found keywords stay as they are."""

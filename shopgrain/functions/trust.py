@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shopgrain.functions import dictionaries as D
+from shopgrain.functions.matching import let
 from shopgrain.functions.numbers import _col, clip, round_even
 from shopgrain.functions.textual import words
 
@@ -54,38 +55,52 @@ def caps_words(text: Column) -> Column:
 
 
 def fake_signals(
-    text: Column | str, rating: Column | str, preset: str, feature_count: Column | str | None = None
-) -> dict[str, tuple[int, Column, Column]]:
-    """Signal name -> (points, condition, flag text) of a preset."""
+    text: Column, tokens: Column, rating: Column, preset: str,
+    feature_count: Column | str | None = None,
+) -> list[tuple[int, Column, Column]]:
+    """(points, whether it fires, flag text) of each signal of a preset."""
     p = PRESETS[preset]
-    text, rating = _col(text), _col(rating)
-    tokens = words(F.lower(text))
     n = F.size(tokens)
+    generic = F.size(F.filter(tokens, lambda w: w.isin(list(p.generic_words))))
+    repeated = (n > 5) & (_ratio(F.size(F.array_distinct(tokens)), n) < 0.5)
+    vague_words = F.coalesce(_ratio(generic, n) > p.generic_ratio, F.lit(False))
     five = F.coalesce(rating == 5, F.lit(False))
     length = F.length(text)
     short = (length < p.short_len) & five if p.short_needs_five else length < p.short_len
-    generic = F.size(F.filter(tokens, lambda w: w.isin(list(p.generic_words))))
-    out = {
-        "short": (p.short_points, short, F.lit("Very short review")),
-        "five": (p.five_points, five & (length < p.five_len), F.lit("5-star with minimal text")),
-        "bang": (
-            p.bang_points, bangs(text) > 3,
-            F.concat(F.lit("Excessive exclamation marks ("), bangs(text).cast("string"), F.lit(")")),
-        ),
-        "caps": (p.caps_points, caps_words(text) > 2, F.lit("Multiple ALL CAPS words")),
-        "repeat": (
-            p.repeat_points, (n > 5) & (_ratio(F.size(F.array_distinct(tokens)), n) < 0.5),
-            F.lit("High word repetition"),
-        ),
-        "generic": (
-            p.generic_points, F.coalesce(_ratio(generic, n) > p.generic_ratio, F.lit(False)),
-            F.lit("Generic positive words only"),
-        ),
-    }
+    shouted = F.concat(
+        F.lit("Excessive exclamation marks ("), bangs(text).cast("string"), F.lit(")")
+    )
+    out = [
+        (p.short_points, short, F.lit("Very short review")),
+        (p.five_points, five & (length < p.five_len), F.lit("5-star with minimal text")),
+        (p.bang_points, bangs(text) > 3, shouted),
+        (p.caps_points, caps_words(text) > 2, F.lit("Multiple ALL CAPS words")),
+        (p.repeat_points, repeated, F.lit("High word repetition")),
+        (p.generic_points, vague_words, F.lit("Generic positive words only")),
+    ]
     if p.vague_points:
         vague = (length > 0) & (length < 50) & (_col(feature_count) == 0)
-        out["vague"] = (p.vague_points, vague, F.lit("No product details"))
-    return {k: v for k, v in out.items() if v[0] > 0}
+        out.append((p.vague_points, vague, F.lit("No product details")))
+    return [signal for signal in out if signal[0] > 0]
+
+
+def _points(preset: str, fired: Column) -> Column:
+    """Score from the array of fired signals, in the order of ``fake_signals``."""
+    none = F.lit(None)
+    total = F.lit(0)
+    for i, (points, _, _) in enumerate(fake_signals(none, none, none, preset, none)):
+        total = total + F.when(fired[i], points).otherwise(0)
+    return F.least(total, F.lit(100)).cast("bigint")
+
+
+def _fired(text: Column, rating: Column, preset: str, feature_count=None) -> Column:
+    """Array of signals; the tokens they share are made once."""
+    return let(
+        words(F.lower(text)),
+        lambda tokens: F.array(
+            *[test for _, test, _ in fake_signals(text, tokens, rating, preset, feature_count)]
+        ),
+    )
 
 
 def fake_score(
@@ -93,27 +108,33 @@ def fake_score(
 ) -> Column:
     """Points of all signals that fire, at most 100. Null text counts as empty."""
     text = F.coalesce(_col(text), F.lit(""))
-    total = F.lit(0)
-    for points, test, _ in fake_signals(text, rating, preset, feature_count).values():
-        total = total + F.when(test, points).otherwise(0)
-    return F.least(total, F.lit(100)).cast("bigint")
+    return let(
+        _fired(text, _col(rating), preset, feature_count), lambda fired: _points(preset, fired)
+    )
 
 
 def fake_report(text: Column | str, rating: Column | str, preset: str = "api") -> Column:
     """Struct of score, verdict, level, flags, length and word count for a review."""
-    clean = F.trim(F.lower(F.coalesce(_col(text), F.lit(""))))
-    score = fake_score(clean, rating, preset)
-    flags = [
-        F.when(test, label) for _, test, label in fake_signals(clean, rating, preset).values()
-    ]
-    return F.struct(
-        score.alias("fake_probability"),
-        (score >= 50).alias("is_suspicious"),
-        F.when(score >= 70, "High").when(score >= 40, "Medium").otherwise("Low").alias("risk_level"),
-        F.array_compact(F.array(*flags)).alias("flags"),
-        F.length(clean).cast("bigint").alias("review_length"),
-        F.size(words(clean)).cast("bigint").alias("word_count"),
-    )
+
+    def report(clean: Column) -> Column:
+        labels = [label for _, _, label in fake_signals(clean, F.array(), F.lit(None), preset)]
+
+        def result(fired: Column) -> Column:
+            score = _points(preset, fired)
+            flags = [F.when(fired[i], label) for i, label in enumerate(labels)]
+            return F.struct(
+                score.alias("fake_probability"),
+                (score >= 50).alias("is_suspicious"),
+                F.when(score >= 70, "High").when(score >= 40, "Medium").otherwise("Low")
+                .alias("risk_level"),
+                F.array_compact(F.array(*flags)).alias("flags"),
+                F.length(clean).cast("bigint").alias("review_length"),
+                F.size(words(clean)).cast("bigint").alias("word_count"),
+            )
+
+        return let(_fired(clean, _col(rating), preset), result)
+
+    return let(F.trim(F.lower(F.coalesce(_col(text), F.lit("")))), report)
 
 
 def nlp_quality(compound: Column | str, features: Column | str, n_words: Column | str) -> Column:

@@ -91,19 +91,19 @@ def exact_quantile(
         df.select(F.col(value).cast("double").alias("v"))
         .where(F.col("v").isNotNull() & ~F.isnan("v"))
         .groupBy("v").agg(F.count("*").alias("n"))
-        .persist()
     )
+    rows, before, position = counts, 0, None
     try:
-        rows, before, position = counts, 0, None
         while True:
-            head = rows.limit(few + 1).collect()
-            if not head:
+            ordered = [(r["v"], r["n"]) for r in rows.orderBy("v").limit(few + 1).collect()]
+            if not ordered:
                 return None
-            if len(head) <= few:
-                ordered = sorted((r["v"], r["n"]) for r in head)
+            if len(ordered) <= few:
                 if position is None:
                     position = (sum(n for _, n in ordered) - 1) * p
                 return _interpolate(ordered, position, before)
+            if rows is counts:
+                rows = counts.persist()
             sample = rows.select("v").orderBy(F.xxhash64("v")).limit(ranges - 1).collect()
             cuts = sorted(r["v"] for r in sample)
             bounds = F.array(*[F.lit(c) for c in cuts])

@@ -7,13 +7,15 @@ aggregate, never whole texts.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopgrain.functions import dictionaries as D
 from shopgrain.functions.textual import sentiment_label, words
+from shopgrain.sources.files import local_table
 
 # Fixed values of the published method (Hutto and Gilbert, 2014).
 ALPHA = 15
@@ -23,9 +25,14 @@ DAMPING = (1.0, 0.95, 0.9)
 BANG = 0.292
 
 
+LEXICON_SCHEMA = T.StructType(
+    [T.StructField("word", T.StringType()), T.StructField("valence", T.DoubleType())]
+)
+
+
 def lexicon_table(spark: SparkSession, lexicon: Mapping[str, float] | None = None) -> DataFrame:
     entries = dict(D.SEED_LEXICON if lexicon is None else lexicon)
-    return spark.createDataFrame(list(entries.items()), "word string, valence double")
+    return local_table(spark, list(entries.items()), LEXICON_SCHEMA)
 
 
 def sentiment_tokens(text: Column) -> Column:
@@ -36,26 +43,62 @@ def sentiment_tokens(text: Column) -> Column:
 
 def lexicon_join(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Valence of each token found. Spark broadcasts the lexicon when it is small enough."""
-    return tokens.join(lexicon, "word")
+    return tokens.join(_sized(lexicon)[0], "word")
 
 
-def token_valences(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
-    """(key, pos, valence) per sentiment word, with negations, degree words and "but"."""
-    prepared = df.select(key, sentiment_tokens(F.col(text)).alias("_t"))
-    prepared = prepared.withColumn("_but", F.array_position("_t", "but"))
+# Lexicons up to this many words also filter tokens before they become rows.
+FILTER_WORDS = 20_000
+
+
+def _sized(lexicon: DataFrame) -> tuple[DataFrame, list[str] | None]:
+    """The lexicon and its words: with a broadcast hint when it has been counted and is
+    small, else as it is and None."""
+    found = lexicon.select("word").limit(FILTER_WORDS + 1).collect()
+    if len(found) > FILTER_WORDS:
+        return lexicon, None
+    return F.broadcast(lexicon), sorted({r["word"] for r in found})
+
+
+def _tokens(
+    df: DataFrame, key: str, text: str, known: list[str] | None, base: Sequence[Column] = ()
+) -> DataFrame:
+    """One row per token with the three before it; with ``base`` one more row per text.
+
+    Only ``known`` words become rows. The extra row alone carries the base struct, so it
+    is not repeated per token.
+    """
+    prepared = df.withColumn("_t", sentiment_tokens(F.col(text)))
+    carried = [F.struct(F.size("_t").alias("n"), *base).alias("_b")] if base else []
+    prepared = prepared.select(key, "_t", F.array_position("_t", "but").alias("_but"), *carried)
 
     def before(i: Column, back: int) -> Column:
         return F.when(i - back >= 0, F.get(F.col("_t"), i - back))
 
-    entries = F.transform(
-        "_t",
-        lambda w, i: F.struct(
-            w.alias("word"), i.alias("pos"),
-            before(i, 1).alias("w1"), before(i, 2).alias("w2"), before(i, 3).alias("w3"),
-        ),
+    def entry(word: Column, pos: Column, carried: Column | None) -> Column:
+        none = F.lit(None).cast("string")
+        near = [none] * 3 if carried is not None else [before(pos, n) for n in (1, 2, 3)]
+        fields = [word.alias("word"), pos.alias("pos")]
+        fields += [w.alias(f"w{n}") for n, w in enumerate(near, start=1)]
+        if base:
+            kind = prepared.schema["_b"].dataType
+            fields.append((F.lit(None).cast(kind) if carried is None else carried).alias("base"))
+        return F.struct(*fields)
+
+    spots = F.when(F.size("_t") > 0, F.sequence(F.lit(0), F.size("_t") - 1)).otherwise(
+        F.array().cast("array<int>")
     )
-    tokens = prepared.select(key, "_but", F.inline(entries))
-    hits = lexicon_join(tokens, lexicon)
+    if known is not None:
+        spots = F.filter(spots, lambda i: F.get(F.col("_t"), i).isin(known))
+    entries = F.transform(spots, lambda i: entry(F.get(F.col("_t"), i), i, None))
+    if base:
+        # A word of its own per key: a shuffled join spreads these rows like any others.
+        own = entry(F.concat(F.lit("\x01"), F.col(key).cast("string")), F.lit(-1), F.col("_b"))
+        entries = F.concat(F.array(own), entries)
+    return prepared.select(key, "_but", F.inline(entries))
+
+
+def _valence() -> Column:
+    """Valence of a token after degree words, negations and "but"."""
     value = F.col("valence")
     sign = F.signum(F.col("valence"))
     for back, damp in enumerate(DAMPING, start=1):
@@ -69,52 +112,70 @@ def token_valences(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> Da
         negated = F.coalesce(w.isin(D.NEGATIONS), F.lit(False))
         value = F.when(negated, value * NEGATED).otherwise(value)
     spot = F.col("pos") + 1
-    value = (
+    return (
         F.when((F.col("_but") > 0) & (spot < F.col("_but")), value * 0.5)
         .when((F.col("_but") > 0) & (spot > F.col("_but")), value * 1.5)
         .otherwise(value)
     )
-    return hits.select(key, "pos", value.alias("valence"))
 
 
-def sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
+def token_valences(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
+    """(key, pos, valence) per sentiment word, with negations, degree words and "but"."""
+    hits = lexicon_join(_tokens(df, key, text, _sized(lexicon)[1]), lexicon)
+    return hits.select(key, "pos", _valence().alias("valence"))
+
+
+def sentiment(
+    df: DataFrame, key: str, text: str, lexicon: DataFrame, carry: Sequence[str] = ()
+) -> DataFrame:
     """Positive, negative and neutral shares, compound score and label, one row per key.
 
-    Texts under three characters, and texts without a sentiment word, are neutral.
+    Texts under three characters, and texts without a sentiment word, are neutral. The
+    text is read once and shuffled never: sentiment words and one row per key meet in a
+    grouped sum. ``carry`` takes further columns of df along, which saves a join.
     """
-    v = F.col("valence")
-    sums = token_valences(df, key, text, lexicon).groupBy(key).agg(
+    t = F.col(text)
+    base = [
+        (F.length(F.trim(t)) >= 3).alias("ok"),
+        (F.least(F.length(t) - F.length(F.translate(t, "!", "")), F.lit(4)) * BANG).alias("bang"),
+        *[F.col(c) for c in carry],
+    ]
+    table, known = _sized(lexicon)
+    tokens = _tokens(df, key, text, known, base).join(table, "word", "left")
+    kept = tokens.where(F.col("valence").isNotNull() | (F.col("pos") < 0)).select(
+        key, "base", F.when(F.col("pos") >= 0, _valence()).alias("v")
+    )
+    v = F.col("v")
+    sums = kept.groupBy(key).agg(
         F.sum(v).alias("_sum"),
         F.sum(F.when(v > 0, v + 1).otherwise(0.0)).alias("_pos"),
         F.sum(F.when(v < 0, 1 - v).otherwise(0.0)).alias("_neg"),
         F.count(F.when(v != 0, 1)).alias("_hits"),
+        F.first("base", ignorenulls=True).alias("_base"),
     )
-    t = F.col(text)
-    base = df.select(
-        key,
-        (F.length(F.trim(t)) >= 3).alias("_ok"),
-        F.size(sentiment_tokens(t)).alias("_n"),
-        (F.least(F.length(t) - F.length(F.translate(t, "!", "")), F.lit(4)) * BANG).alias("_bang"),
-    )
-    joined = base.join(sums, key, "left")
-    emphasis = F.when(F.col("_sum") > 0, F.col("_bang")).when(F.col("_sum") < 0, -F.col("_bang"))
+    bang = F.col("_base.bang")
+    emphasis = F.when(F.col("_sum") > 0, bang).when(F.col("_sum") < 0, -bang)
     total = F.col("_sum") + F.coalesce(emphasis, F.lit(0.0))
-    compound = F.round(total / F.sqrt(total * total + ALPHA), 4)
-    pos = F.col("_pos") + F.when(F.col("_pos") > F.col("_neg"), F.col("_bang")).otherwise(0.0)
-    neg = F.col("_neg") + F.when(F.col("_neg") > F.col("_pos"), F.col("_bang")).otherwise(0.0)
-    neutral = (F.col("_n") - F.col("_hits")).cast("double")
-    shares = joined.select(
-        key, F.col("_ok") & F.col("_sum").isNotNull(),
-        pos.alias("_p"), neg.alias("_g"), neutral.alias("_u"), compound.alias("_c"),
-    ).toDF(key, "_ok", "_p", "_g", "_u", "_c")
+    pos = F.col("_pos") + F.when(F.col("_pos") > F.col("_neg"), bang).otherwise(0.0)
+    neg = F.col("_neg") + F.when(F.col("_neg") > F.col("_pos"), bang).otherwise(0.0)
+    parts = sums.withColumns(
+        {
+            "_ok": F.col("_base.ok") & F.col("_sum").isNotNull(),
+            "_p": pos,
+            "_g": neg,
+            "_u": (F.col("_base.n") - F.col("_hits")).cast("double"),
+            "_c": F.round(total / F.sqrt(total * total + ALPHA), 4),
+        }
+    )
     whole = F.col("_p") + F.col("_g") + F.col("_u")
 
     def share(c: str, default: float) -> Column:
         part = F.round(F.try_divide(F.col(c), whole), 4)
         return F.coalesce(F.when(F.col("_ok"), part), F.lit(default))
 
-    out = shares.select(
+    out = parts.select(
         key,
+        *[F.col(f"_base.{c}").alias(c) for c in carry],
         share("_p", 0.0).alias("sentiment_positive"),
         share("_g", 0.0).alias("sentiment_negative"),
         share("_u", 1.0).alias("sentiment_neutral"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopgrain.functions import dictionaries as D
 from shopgrain.functions import numbers as N
@@ -11,6 +12,7 @@ from shopgrain.operators import evaluate, factors, ordering, recommend, search,
 from shopgrain.plans import ctes
 from shopgrain.plans.registry import query
 from shopgrain.plans.views import Views
+from shopgrain.sources.files import local_table
 
 COSINE = "list_dot_product({a}, {b}) / (sqrt(list_dot_product({a}, {a})) * sqrt(list_dot_product({b}, {b})))"
 
@@ -105,7 +107,7 @@ weights AS (SELECT key, term, w / sqrt(sum(w * w) OVER (PARTITION BY key)) AS we
 
 @query("tfidf_vectors", f"WITH {_TERMS} SELECT key AS doc_id, term, round(weight, 6) AS weight FROM weights")
 def _(v: Views):
-    weights, _ = tfidf.tfidf(v.table("documents"), "doc_id", "text")
+    weights, _ = tfidf.tfidf(v.documents, "doc_id", "text")
     return weights.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
@@ -156,6 +158,13 @@ def _(v: Views):
     return recommend.similar_items(anchors.unionByName(unknown), weights, v.stored_quality, 10)
 
 
+REQUEST_SCHEMA = T.StructType(
+    [
+        T.StructField("query_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("category", T.StringType()),
+    ]
+)
 REQUESTS = [
     (1, "shiny red ring for a small gear", "PROMO"),
     (2, "old cold anvil", "no such"),
@@ -182,7 +191,7 @@ SELECT query_id, product_idx, round(raw, 4) AS score,
 FROM pairs QUALIFY rank <= 10""", ["products", "quality"])
 def _(v: Views):
     weights, vocab = tfidf.tfidf(product_content(v), "product_idx", "content")
-    asks = v.spark.createDataFrame(REQUESTS, "query_id bigint, text string, category string")
+    asks = local_table(v.spark, REQUESTS, REQUEST_SCHEMA)
     return recommend.query_items(asks, vocab, weights, v.stored_quality, 10)
 
 
@@ -398,7 +407,7 @@ def _(v: Views):
 def keyword_hits(v: Views, k: int = 5):
     """Hits of each request text by its TF-IDF query, with product details."""
     weights, vocab = tfidf.tfidf(product_content(v), "product_idx", "content")
-    asks = v.spark.createDataFrame(REQUESTS, "query_id bigint, text string, category string")
+    asks = local_table(v.spark, REQUESTS, REQUEST_SCHEMA)
     near = tfidf.sparse_cosine(
         tfidf.project(asks, "query_id", "text", vocab), weights, "query_id", "product_idx"
     )

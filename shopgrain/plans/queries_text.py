@@ -11,16 +11,17 @@ from shopgrain.operators import reports, search, sentiment
 from shopgrain.plans import ctes
 from shopgrain.plans.registry import query
 from shopgrain.plans.views import MATCHER, Views
+from shopgrain.sources import files
 
 
 @query("clean_text", f"""
 SELECT 'p' || page_id AS id, {ctes.clean('html')} AS clean FROM pages
 UNION ALL SELECT 'd' || doc_id, {ctes.clean('text')} FROM documents""")
 def _(v: Views):
-    pages = v.table("pages").select(
+    pages = files.spread(v.table("pages")).select(
         F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("id"), X.clean_text("html").alias("clean")
     )
-    docs = v.table("documents").select(
+    docs = v.documents.select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), X.clean_text("text").alias("clean")
     )
     return pages.unionByName(docs)

@@ -18,6 +18,7 @@ from shopgrain.functions import trust
 from shopgrain.functions.matching import Matcher, words_of
 from shopgrain.operators import demand, features, sentiment
 from shopgrain.operators.checkpoints import materialise
+from shopgrain.sources.files import spread
 
 # Sentences added to documents, which are invented prose, by doc_id % 9.
 SUFFIXES = [
@@ -58,6 +59,10 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @cached_property
+    def documents(self) -> DataFrame:
+        return spread(self.table("documents"))
+
     @cached_property
     def products(self) -> DataFrame:
         lines = self.table("lineitem").groupBy("l_partkey").agg(F.count("*").alias("n"))
@@ -132,7 +137,7 @@ class Views:
         doc = F.col("doc_id")
         suffix = F.element_at(F.array(*[F.lit(s) for s in SUFFIXES]), (doc % 9 + 1).cast("int"))
         long = (
-            self.table("documents").withColumn("_pk", doc % parts).join(names, "_pk", "left")
+            self.documents.withColumn("_pk", doc % parts).join(names, "_pk", "left")
             .select(
                 F.concat(F.lit("R"), doc.cast("string")).alias("product_id"),
                 "product_name",
@@ -202,18 +207,20 @@ class Views:
 
     @cached_property
     def scored(self) -> DataFrame:
-        """Dictionary results and fake score, without whole texts, which no report needs."""
+        """Dictionary results and fake score beside the combined text."""
         score = trust.fake_score("clean_review", "rating", "batch", "feature_count")
         return self.dictionary_stage.select(
             "product_id", "product_name", "rating", "text_length", "word_count", "has_review",
             "predicted_category", "brand_extracted", "price_mentioned", "features_mentioned",
-            "feature_count", score.alias("fake_review_score"),
+            "feature_count", "combined_text", score.alias("fake_review_score"),
         ).withColumn("fake_review_flag", F.col("fake_review_score") >= 50)
 
     @cached_property
     def enriched(self) -> DataFrame:
-        """All columns of the text stage."""
-        both = sentiment.attach(self.scored, self.sentiment, "product_id")
+        """All columns of the text stage but whole texts, which no report needs."""
+        rows = self.scored
+        carry = [c for c in rows.columns if c not in ("product_id", "combined_text")]
+        both = sentiment.sentiment(rows, "product_id", "combined_text", self.lexicon, carry)
         return both.withColumns(
             {
                 "nlp_quality_score": trust.nlp_quality(

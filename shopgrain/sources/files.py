@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from shopgrain.operators.ordering import surrogate_id
 
@@ -25,6 +27,14 @@ def scan_csv(
     return rows.where(F.col(extra).isNull()).drop(extra)
 
 
+def local_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType) -> DataFrame:
+    """A few rows as a table whose size Spark knows, so that joins can broadcast it."""
+    arrow = pa.table(
+        {f.name: pa.array([r[i] for r in rows], to_arrow_type(f.dataType)) for i, f in enumerate(schema)}
+    )
+    return spark.createDataFrame(arrow, schema)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever file system it names."""
     jvm = spark.sparkContext._jvm
@@ -32,6 +42,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A plain scan with fewer splits than cores is dealt out over all of them.
+
+    For heavy per-row work on a table of one or two files. A table with many splits
+    is left as it is, so nothing large is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scan_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet table, or an empty frame of the schema when the path is missing."""
     if exists(spark, path):
