@@ -125,7 +125,7 @@ SELECT count(*) AS interactions, count(DISTINCT user_id) AS users, count(DISTINC
  round((1 - count(*) / (count(DISTINCT user_id) * count(DISTINCT item_id))) * 100, 1) AS sparsity_pct
 FROM interactions""", ["interactions"])
 def _(v: Views):
-    return reports.interaction_stats(v.interactions)
+    return reports.interaction_stats(v.stored_interactions)
 
 
 @query("category_rollup", """

@@ -9,6 +9,7 @@ from shopgrain.functions import dictionaries as D
 from shopgrain.functions import numbers as N
 from shopgrain.functions import textual as X
 from shopgrain.operators import evaluate, factors, ordering, recommend, search, tfidf, vectors
+from shopgrain.operators.checkpoints import small
 from shopgrain.plans import ctes
 from shopgrain.plans.registry import query
 from shopgrain.plans.views import Views
@@ -213,7 +214,7 @@ def _(v: Views):
 SELECT user_id, item_id, round(score / sqrt(sum(score * score) OVER (PARTITION BY user_id)), 6) AS value
 FROM interactions""", ["interactions"])
 def _(v: Views):
-    unit = recommend.l2_normalise(v.interactions, "user_id", "score")
+    unit = recommend.l2_normalise(v.stored_interactions, "user_id", "score")
     return unit.select("user_id", "item_id", F.round("value", 6).alias("value"))
 
 
@@ -228,12 +229,12 @@ SELECT anchor, item_id, round(raw, 4) AS score,
 FROM cos QUALIFY rank <= 10""", ["products", "interactions"])
 def _(v: Views):
     anchors = category_leaders(v).select(F.col("product_idx").alias("item_id"))
-    return recommend.cooccurrence(v.interactions, anchors, 10)
+    return recommend.cooccurrence(v.stored_interactions, anchors, 10)
 
 
 def segment_leaders(v: Views):
     """The customer with most items of each market segment."""
-    sizes = v.interactions.groupBy("user_id").agg(F.count("*").alias("n"))
+    sizes = v.stored_interactions.groupBy("user_id").agg(F.count("*").alias("n"))
     people = v.table("customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
     rows = people.join(sizes, "user_id")
     best = ordering.topk(rows, ["c_mktsegment"], [F.desc("n"), F.asc("user_id")], 1)
@@ -242,23 +243,23 @@ def segment_leaders(v: Views):
 
 @query("collaborative_scores")
 def _(v: Views):
-    return recommend.collaborative(v.interactions, rank=20).rows
+    return recommend.collaborative(v.stored_interactions, rank=20).rows
 
 
 @query("user_x_item_scores")
 def _(v: Views):
-    model = recommend.collaborative(v.interactions, rank=20)
+    model = recommend.collaborative(v.stored_interactions, rank=20)
     asked = segment_leaders(v).join(model.rows, "user_id").withColumnRenamed("user_id", "query_id")
     return vectors.vector_search(asked, model.cols, 10, metric="dot")
 
 
 @query("recommend_user")
 def _(v: Views):
-    model = recommend.collaborative(v.interactions, rank=20)
+    model = recommend.collaborative(v.stored_interactions, rank=20)
     new = v.spark.range(1).select(F.lit(-1).cast("bigint").alias("user_id"))
     users = segment_leaders(v).unionByName(new)
     quality = v.stored_quality.select(F.col("product_idx").alias("item_id"), "quality_score")
-    return recommend.recommend_users(users, model, quality, v.interactions, 10)
+    return recommend.recommend_users(users, model, quality, v.stored_interactions, 10)
 
 
 @query("recommend_from_profile", """
@@ -340,7 +341,7 @@ def _(v: Views):
     recs = urgent.join(v.table("lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).select(
         F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id")
     )
-    return recommend.hits(recs.distinct(), v.interactions.where("score >= 3"))
+    return recommend.hits(recs.distinct(), v.stored_interactions.where("score >= 3"))
 
 
 @query("anti_seen_items", """
@@ -352,7 +353,7 @@ def _(v: Views):
     seen = urgent.join(v.table("lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).select(
         F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id")
     )
-    return recommend.exclude_seen(v.interactions, seen)
+    return recommend.exclude_seen(v.stored_interactions, seen)
 
 
 _HELD = f"substr(md5('42|' || user_id || '|' || item_id), 1, 8) < '{evaluate.share_cut(0.3)}'"
@@ -362,7 +363,7 @@ _HELD = f"substr(md5('42|' || user_id || '|' || item_id), 1, 8) < '{evaluate.sha
 SELECT user_id, item_id, CASE WHEN {_HELD} THEN 'held out' ELSE 'train' END AS part FROM interactions""",
        ["interactions"])
 def _(v: Views):
-    train, held = evaluate.holdout(v.interactions)
+    train, held = evaluate.holdout(v.stored_interactions)
     return (
         train.withColumn("part", F.lit("train")).unionByName(held.withColumn("part", F.lit("held out")))
         .select("user_id", "item_id", "part")
@@ -370,10 +371,12 @@ def _(v: Views):
 
 
 def segment_recommendations(v: Views, train, k: int):
-    """The k items most used in the user's market segment that the user has not met."""
+    """From each market segment's list of the 5k most used items, the first k the user has
+    not met."""
     people = v.table("customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
     uses = train.join(people, "user_id").groupBy("c_mktsegment", "item_id").agg(F.count("*").alias("n"))
     listed = ordering.topk(uses, ["c_mktsegment"], [F.desc("n"), F.asc("item_id")], 5 * k, "place")
+    listed = small(listed, 100_000, "segment-lists")
     open_items = recommend.exclude_seen(
         people.join(listed, "c_mktsegment").select("user_id", "item_id", "place"), train
     )
@@ -398,9 +401,9 @@ m AS (SELECT count(*) AS users, avg(coalesce(h, 0) / 10) AS p, avg(coalesce(h, 0
 SELECT users, round(p, 6) AS precision_at_k, round(r, 6) AS recall_at_k, round(n, 6) AS ndcg_at_k,
  round(2 * p * r / (p + r + 1e-8), 6) AS f1_at_k FROM m""", ["interactions"])
 def _(v: Views):
-    train, held = evaluate.holdout(v.interactions)
+    train, held = evaluate.holdout(v.stored_interactions)
     recs = segment_recommendations(v, train, 10)
-    out = evaluate.ranking_metrics(recs, evaluate.relevant_items(v.interactions, held), 10)
+    out = evaluate.ranking_metrics(recs, evaluate.relevant_items(v.stored_interactions, held), 10)
     return out.select("users", *[F.round(c, 6).alias(c) for c in out.columns if c != "users"])
 
 

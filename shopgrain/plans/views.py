@@ -242,6 +242,10 @@ class Views:
             F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id")
         ).agg(F.round(1 + F.avg("l_quantity") * 4 / 50, 1).alias("score"))
 
+    @cached_property
+    def stored_interactions(self) -> DataFrame:
+        return materialise(self.interactions, "interactions")
+
     @cached_property
     def daily(self) -> DataFrame:
         part = self.table("part").select("p_partkey", "p_type")
@@ -255,7 +259,8 @@ class Views:
 
     @cached_property
     def spine(self) -> DataFrame:
-        return demand.date_spine(self.daily)
+        """Filled series; the facts are read once, for the small written daily table."""
+        return demand.date_spine(materialise(self.daily, "daily"))
 
     @cached_property
     def event_demand(self) -> DataFrame:
