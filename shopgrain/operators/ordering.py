@@ -78,7 +78,7 @@ def _interpolate(ordered: Sequence[tuple[float, int]], position: float, before:
 
 
 def exact_quantile(
-    df: DataFrame, value: str, p: float, ranges: int = RANGES, few: int = 10_000
+    df: DataFrame, value: str, p: float, ranges: int = RANGES, few: int = 100_000
 ) -> float | None:
     """Exact quantile with linear interpolation; like ``approxQuantile`` it runs at once.
 
