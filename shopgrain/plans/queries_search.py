@@ -9,7 +9,7 @@ from shopgrain.functions import dictionaries as D
 from shopgrain.functions import numbers as N
 from shopgrain.functions import textual as X
 from shopgrain.operators import evaluate, factors, ordering, recommend, search, tfidf, vectors
-from shopgrain.operators.checkpoints import small
+from shopgrain.operators.checkpoints import materialise, small
 from shopgrain.plans import ctes
 from shopgrain.plans.registry import query
 from shopgrain.plans.views import Views
@@ -154,6 +154,8 @@ SELECT anchor AS query_id, product_idx, round(raw, 4) AS score,
 FROM pairs QUALIFY rank <= 10""", ["products", "quality"])
 def _(v: Views):
     weights, _ = tfidf.tfidf(product_content(v), "product_idx", "content")
+    # Read for the anchors and again for all items.
+    weights = materialise(weights, "weights")
     anchors = category_leaders(v).select(F.col("product_idx").alias("query_id"))
     unknown = v.spark.range(1).select(F.lit(-1).cast("bigint").alias("query_id"))
     return recommend.similar_items(anchors.unionByName(unknown), weights, v.stored_quality, 10)
