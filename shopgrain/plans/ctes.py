@@ -133,7 +133,7 @@ SELECT 'S' || p_partkey, p_name, CASE p_partkey % 8 WHEN 0 THEN 'best best love
  WHEN 2 THEN 'Great!!!! Perfect!!!!' WHEN 3 THEN 'buy buy buy buy buy buy buy now'
  WHEN 4 THEN NULL WHEN 5 THEN '   ' WHEN 6 THEN 'BAD BAD AWFUL product'
  ELSE 'Nice ' || p_name || ' for the kitchen' END,
- CASE WHEN p_partkey % 11 <> 0 THEN p_partkey % 6 END::DOUBLE FROM part"""),
+ CASE WHEN p_partkey % 11 <> 0 THEN (p_partkey // 8) % 6 END::DOUBLE FROM part"""),
     "cleaned": (("reviews",), f"""
 SELECT *, trim(clean_title || ' ' || clean_review) AS combined_text FROM (
  SELECT *, {clean('product_name')} AS clean_title, {clean('review_text')} AS clean_review FROM reviews)"""),

@@ -153,7 +153,7 @@ class Views:
             F.concat(F.lit("S"), k.cast("string")).alias("product_id"),
             F.col("p_name").alias("product_name"),
             short.alias("review_text"),
-            F.when(k % 11 != 0, (k % 6).cast("double")).alias("rating"),
+            F.when(k % 11 != 0, (F.floor(k / 8) % 6).cast("double")).alias("rating"),
         )
         return long.unionByName(brief)
 
