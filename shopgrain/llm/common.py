@@ -58,3 +58,8 @@ def slices(array: pa.Array, max_bytes: int) -> Iterator[pa.Array]:
         size += n or 0
     if start < len(array):
         yield array[start:]
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    """References to all columns, whatever signs their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]

@@ -22,6 +22,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -140,6 +141,16 @@ class Items:
             if m >= self.needed[i] and sizes[t] >= self.least[i]:
                 yield t, i
 
+    def verified(self, texts: list[str], share: float, width: int) -> Iterator[tuple[int, int, int, int]]:
+        """Text, item, the item's shingles and how many of them the text has, for every pair with the share."""
+        last, own = None, set()
+        for t, i in self.candidates(texts, width):
+            if last != t:
+                last, own = t, shingles(texts[t], width)
+            n, shared = len(self.shingles[i]), len(self.shingles[i] & own)
+            if shared >= share * n - 1e-9:
+                yield t, i, n, shared
+
 
 
 
@@ -152,18 +163,44 @@ def contained(
     The documents are read in place, once for every ``pass_items`` items; only such a pass's items are
     sent to the tasks.
     """
-    spark = docs.sparkSession
+    wanted = docs.select(F.col(key).alias("id"), text_or_empty(text).alias("text"))
+    kinds = wanted.schema["id"].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
+    found = [
+        wanted.mapInArrow(_search(p, share, width), f"id {kinds[0]}, item {kinds[1]}, n_shingles long, n_shared long")
+        for p in _passes(items, item_key, text, share, width, pass_items)
+    ]
+    return reduce(DataFrame.unionByName, found).withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
+
+
+def without(
+    docs: DataFrame, items: DataFrame, *, item_key: str = "item_id", text: str = "text",
+    share: float = SHARE, width: int = WIDTH, pass_items: int = PASS_ITEMS,
+) -> DataFrame:
+    """The rows of docs that contain no item, with all their columns."""
+    for p in _passes(items, item_key, text, share, width, pass_items):
+        docs = docs.where(~_tainted(p, share, width)(text_or_empty(text)))
+    return docs
+
+
+def _passes(items: DataFrame, item_key: str, text: str, share: float, width: int, pass_items: int) -> list:
+    """Broadcast parts of the items, each of about ``pass_items``; at least one, which may be empty."""
     asked = items.select(F.col(item_key).alias("id"), text_or_empty(text).alias("text"))
     passes = max(1, math.ceil(asked.count() / pass_items))
     asked = asked.withColumn("pass", F.pmod(F.xxhash64("id", "text"), F.lit(passes)))
-    wanted = docs.select(F.col(key).alias("id"), text_or_empty(text).alias("text"))
-    kinds = dict(wanted.dtypes)["id"], dict(asked.dtypes)["id"]
-    found = None
-    for k in range(passes):
-        index = spark.sparkContext.broadcast(Items.of(asked.where(F.col("pass") == k).collect(), share, width))
-        part = wanted.mapInArrow(_search(index, share, width), f"id {kinds[0]}, item {kinds[1]}, n_shingles long, n_shared long")
-        found = part if found is None else found.unionByName(part)
-    return found.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
+    send = items.sparkSession.sparkContext.broadcast
+    return [send(Items.of(asked.where(F.col("pass") == k).collect(), share, width)) for k in range(passes)]
+
+
+def _tainted(index, share: float, width: int):
+    @F.arrow_udf("boolean")
+    def tainted(texts: pa.Array) -> pa.Array:
+        out = []
+        for part in slices(texts, BATCH_BYTES):
+            hit = {t for t, *_ in index.value.verified(part.to_pylist(), share, width)}
+            out += [t in hit for t in range(len(part))]
+        return pa.array(out, pa.bool_())
+
+    return tainted
 
 
 def _search(index, share: float, width: int):
@@ -172,13 +209,9 @@ def _search(index, share: float, width: int):
         for batch in batches:
             start = 0
             for part in slices(batch["text"], BATCH_BYTES):
-                texts, rows, last = part.to_pylist(), [], (None, set())
-                for t, i in items.candidates(texts, width):
-                    if last[0] != t:
-                        last = t, shingles(texts[t], width)
-                    n, shared = len(items.shingles[i]), len(items.shingles[i] & last[1])
-                    if shared >= share * n - 1e-9:
-                        rows.append((start + t, items.ids[i], n, shared))
+                rows = [
+                    (start + t, items.ids[i], n, m) for t, i, n, m in items.verified(part.to_pylist(), share, width)
+                ]
                 if rows:
                     at, item, n, shared = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays(

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgrain.llm.common import free_name, text_or_empty
+from shopgrain.llm.common import columns_of, free_name, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -118,7 +118,7 @@ def scan_versions(
     )
     none = F.array().cast(SPANS)
     return keyed.join(known, blob, "left").select(
-        *versions.columns, blob, F.coalesce(F.col(findings), none).alias(findings)
+        *columns_of(versions), blob, F.coalesce(F.col(findings), none).alias(findings)
     )
 
 

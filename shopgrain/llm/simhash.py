@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.llm.common import text_or_empty
+from shopgrain.llm.common import columns_of, free_name, text_or_empty
 from shopgrain.llm.components import components
 from shopgrain.operators.checkpoints import materialise
 
@@ -54,12 +54,15 @@ def fingerprint(text: str, width: int) -> int:
 
 def fingerprints(df: DataFrame, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``id`` and ``fp``, one row per row of df."""
+    return df.select(F.col(key).alias("id"), _printer(width)(text_or_empty(text)).alias("fp"))
 
+
+def _printer(width: int):
     @F.arrow_udf("long")
     def fp(texts: pa.Array) -> pa.Array:
         return pa.array([fingerprint(t.as_py(), width) for t in texts], pa.int64())
 
-    return df.select(F.col(key).alias("id"), fp(text_or_empty(text)).alias("fp"))
+    return fp
 
 
 def _flips() -> list[list[int]]:
@@ -167,14 +170,31 @@ def close_pairs(fps: DataFrame, bits: int = BITS) -> DataFrame:
     )
 
 
+def groups(fps: DataFrame, bits: int = BITS) -> DataFrame:
+    """``fp``, ``group`` and ``component_id`` (the group's least id) for each distinct fp of ``id``, ``fp`` rows."""
+    classes = materialise(fps.groupBy("fp").agg(F.min("id").alias("least")), "classes")
+    roots = components(close_pairs(classes.select("fp"), bits)).toDF("fp", "root")
+    named = classes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("group"), "least")
+    least = named.groupBy("group").agg(F.min("least").alias("component_id"))
+    return named.join(least, "group").select("fp", "group", "component_id")
+
+
 def near_duplicates(
     df: DataFrame, width: int, bits: int = BITS, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``id``, ``fp`` and ``component_id`` (the least id reachable by links) for every row of df."""
     marked = materialise(fingerprints(df, width, key, text), "fingerprints")
-    classes = materialise(marked.groupBy("fp").agg(F.min("id").alias("least")), "classes")
-    roots = components(close_pairs(classes.select("fp"), bits)).withColumnRenamed("node", "fp")
-    named = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    component = named.join(least, "root").select("fp", "component_id")
-    return marked.join(component, "fp").select("id", "fp", "component_id")
+    return marked.join(groups(marked, bits), "fp").select("id", "fp", "component_id")
+
+
+def keep_one(df: DataFrame, width: int, bits: int = BITS, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of df without near-duplicates: of each group one row with the least id stays.
+
+    Repeated rows are one group, of which one stays.
+    """
+    fp, group, least = free_name(df, "fp"), free_name(df, "group"), free_name(df, "least")
+    marked = materialise(df.withColumn(fp, _printer(width)(text_or_empty(text))), "marked")
+    found = groups(marked.select(F.col(key).alias("id"), F.col(fp).alias("fp")), bits)
+    found = found.select(F.col("fp").alias(fp), F.col("group").alias(group), F.col("component_id").alias(least))
+    first = marked.join(found, fp).where(F.col(key).eqNullSafe(F.col(least)))
+    return first.dropDuplicates([group]).select(*columns_of(df))
