@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgrain.llm import decontamination, language_id, pii, secret_scan, sentencepiece_codec, simhash
+from shopgrain.llm import decontamination, language_id, pii, secret_scan, sentencepiece_codec, simhash, warc
 from shopgrain.llm.common import held_out, learned_from, span_count, span_digest, table
 from shopgrain.operators.checkpoints import new_path
 
@@ -17,6 +17,29 @@ SIMHASH_WORDS = 4
 MODEL = "piece_bpe_32k.model"
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, folder = table(spark, sf_dir, "pages").select("page_id", "url", "html"), new_path(spark, "warc")
+    captures = warc.write_archives(pages, f"{folder}/archives")
+    index = warc.build_index(captures, f"{folder}/index", f"{folder}/archives")
+    records = warc.read_records(index, warc.lookup(index, pages))
+    kind = pages.schema["page_id"].dataType
+    return records.select(
+        F.col("id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
+OP1_SQL = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages
+), r AS (SELECT d, max(page_id) AS first FROM p WHERE n >= 1000 GROUP BY d)
+SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
+    CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN r ON p.d = r.d
+"""
+
+
 def op2_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontamination.contained(docs.select("doc_id", "text"), items.select("item_id", "text"))
@@ -96,6 +119,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_containment, op3_pii, op6_simhash, op7_sentencepiece, op8_language, op10_secrets)
+    f.__name__: f for f in (op1_warc, op2_containment, op3_pii, op6_simhash, op7_sentencepiece, op8_language, op10_secrets)
 }
-ORACLE: dict[str, str] = {"op2_containment": OP2_SQL}
+ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op2_containment": OP2_SQL}
