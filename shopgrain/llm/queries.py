@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgrain.llm import decontamination, language_id, pii, secret_scan, sentencepiece_codec, simhash, warc
+from shopgrain.llm import (
+    decontamination,
+    embedding_dedup,
+    language_id,
+    pii,
+    secret_scan,
+    sentencepiece_codec,
+    simhash,
+    warc,
+)
 from shopgrain.llm.common import held_out, learned_from, span_count, span_digest, table
 from shopgrain.operators.checkpoints import new_path
 
@@ -80,6 +89,31 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept")
+    )
+
+
+OP5_SQL = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE len(a.e) = len(b.e) AND list_dot_product(a.e, b.e)
+        >= 0.93 * sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))
+), reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a), counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(l.b, vec_id)) AS component_id,
+    vec_id = least(vec_id, coalesce(l.b, vec_id)) AS kept
+FROM embeddings LEFT JOIN least l ON l.a = vec_id LEFT JOIN counts c ON c.a = vec_id
+"""
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), SIMHASH_WORDS)
     return found.select(
@@ -119,6 +153,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_containment, op3_pii, op6_simhash, op7_sentencepiece, op8_language, op10_secrets)
+    f.__name__: f for f in (op1_warc, op2_containment, op3_pii, op5_embeddings, op6_simhash, op7_sentencepiece, op8_language, op10_secrets)
 }
-ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op2_containment": OP2_SQL}
+ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op2_containment": OP2_SQL, "op5_embeddings": OP5_SQL}
