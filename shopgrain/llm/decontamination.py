@@ -30,12 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopgrain.llm.common import slices, text_or_empty
+from shopgrain.llm.rolling import ODD, mix, stretch_hashes
 
 WIDTH, SHARE = 5, 0.8
 #: Sketch members that a containing document must have at least, items searched in one pass, text hashed at a time.
 EVIDENCE, PASS_ITEMS, BATCH_BYTES = 4, 20_000, 1 << 20
-_ODD = 0x9E3779B97F4A7C15
-_INVERSE = pow(_ODD, -1, 1 << 64)
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _IN_WORD = np.zeros(256, bool)
@@ -49,17 +48,6 @@ def shingles(text: str, width: int = WIDTH) -> set[bytes]:
     return {b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))}
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(29))
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
 def shingle_hashes(texts: list[str], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles of some texts, and for each the place of its text; the same for equal shingles."""
     raw = [t.encode("utf-8", "replace").translate(_LOWER) for t in texts]
@@ -69,19 +57,17 @@ def shingle_hashes(texts: list[str], width: int = WIDTH) -> tuple[np.ndarray, np
     a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(a):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    # Sums of bytes times powers of an odd number; a word's is freed of its place by the inverse power.
-    sums = np.concatenate(([np.uint64(0)], np.cumsum((data + np.uint64(1)) * _powers(_ODD, len(data)), dtype=np.uint64)))
-    words = _mix((sums[b] - sums[a]) * _powers(_INVERSE, len(data))[a])
+    words = stretch_hashes(data, a, b)
     doc = np.searchsorted(ends, a, side="right")
     n = np.bincount(doc, minlength=len(texts))
     out = np.zeros(len(words), np.uint64)
     for k in range(width):
-        part = words[k:] * np.uint64(pow(_ODD, 3 * k + 1, 1 << 64))
+        part = words[k:] * np.uint64(pow(ODD, 3 * k + 1, 1 << 64))
         same = doc[k:] == doc[: len(doc) - k]
         out[: len(part)] += np.where(same, part, np.uint64(0))
     rank = np.arange(len(words)) - (np.cumsum(n) - n)[doc]
     kept = rank <= np.maximum(n[doc] - width, 0)
-    return _mix(out[kept]), doc[kept]
+    return mix(out[kept]), doc[kept]
 
 
 def size_class(n: int) -> int:

@@ -12,10 +12,12 @@ from shopgrain.llm import (
     decontamination,
     embedding_dedup,
     language_id,
+    language_model,
     pii,
     secret_scan,
     sentencepiece_codec,
     simhash,
+    suffix_dedup,
     warc,
 )
 from shopgrain.llm.common import held_out, learned_from, span_count, span_digest, table
@@ -89,6 +91,15 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
     return found.select(
@@ -142,6 +153,12 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = language_model.score(docs, learned_from("doc_id", 5))
+    return found.withColumnRenamed("id", "doc_id").withColumn("held_out", held_out("doc_id", 5))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secret_scan.scan_versions(docs, new_path(spark, "ledger"))
@@ -153,6 +170,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_containment, op3_pii, op5_embeddings, op6_simhash, op7_sentencepiece, op8_language, op10_secrets)
+    f.__name__: f for f in (op1_warc, op2_containment, op3_pii, op4_suffixes, op5_embeddings, op6_simhash, op7_sentencepiece, op8_language, op9_language_model, op10_secrets)
 }
 ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op2_containment": OP2_SQL, "op5_embeddings": OP5_SQL}
