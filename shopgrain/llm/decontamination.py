@@ -61,7 +61,7 @@ def shingle_hashes(texts: list[str], width: int = WIDTH) -> tuple[np.ndarray, np
     doc = np.searchsorted(ends, a, side="right")
     n = np.bincount(doc, minlength=len(texts))
     out = np.zeros(len(words), np.uint64)
-    for k in range(width):
+    for k in range(min(width, len(words))):
         part = words[k:] * np.uint64(pow(ODD, 3 * k + 1, 1 << 64))
         same = doc[k:] == doc[: len(doc) - k]
         out[: len(part)] += np.where(same, part, np.uint64(0))
