@@ -94,6 +94,10 @@ class Model:
     languages: tuple[str, ...]
     lowest: dict[int, float]  # by log2 of a text's grams: the cosine below which it is rejected
 
+    def limit(self, size: int) -> float:
+        """That of the nearest length in training that is no longer; texts shorter than all are accepted."""
+        return self.lowest.get(max((s for s in self.lowest if s <= size), default=-1), 0.0)
+
     def predict(self, texts: list[str | None]) -> list[dict]:
         x, sizes = vectors(texts, self.idf)
         if not self.languages:
@@ -104,7 +108,7 @@ class Model:
         for i, size in enumerate(sizes):
             s = float(min(1.0, max(0.0, cosine[i, best[i]])))
             out.append(
-                {"lang": self.languages[best[i]], "score": s, "rejected": s < self.lowest.get(int(size), 0.0)}
+                {"lang": self.languages[best[i]], "score": s, "rejected": s < self.limit(int(size))}
                 if size >= 0 else {"lang": UNKNOWN, "score": 0.0, "rejected": True}
             )
         return out
