@@ -1,8 +1,9 @@
 """Rule-based sentiment with a lexicon table.
 
-The lexicon is a DataFrame ``(word, valence)``, so its size is free. Tokens meet it
-in a join that drops all other words at once; only sentiment words reach the
-aggregate, never whole texts.
+The lexicon is a DataFrame ``(word, valence)``, so its size is free. One of up to
+``FILTER_WORDS`` words is looked up inside each row, without a shuffle. Tokens meet a larger
+one in a join that drops all other words at once; only sentiment words reach the aggregate,
+never whole texts.
 """
 
 from __future__ import annotations
@@ -43,20 +44,17 @@ def sentiment_tokens(text: Column) -> Column:
 
 def lexicon_join(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Valence of each token found. Spark broadcasts the lexicon when it is small enough."""
-    return tokens.join(_sized(lexicon)[0], "word")
+    return tokens.join(lexicon, "word")
 
 
-# Lexicons up to this many words also filter tokens before they become rows.
+# Lexicons up to this many words go to the rows; larger ones are joined.
 FILTER_WORDS = 20_000
 
 
-def _sized(lexicon: DataFrame) -> tuple[DataFrame, list[str] | None]:
-    """The lexicon and its words: with a broadcast hint when it has been counted and is
-    small, else as it is and None."""
-    found = lexicon.select("word").limit(FILTER_WORDS + 1).collect()
-    if len(found) > FILTER_WORDS:
-        return lexicon, None
-    return F.broadcast(lexicon), sorted({r["word"] for r in found})
+def _known(lexicon: DataFrame) -> dict[str, float] | None:
+    """Words and valences of a lexicon of up to ``FILTER_WORDS`` words, else None."""
+    found = lexicon.select("word", "valence").limit(FILTER_WORDS + 1).collect()
+    return None if len(found) > FILTER_WORDS else {r["word"]: r["valence"] for r in found}
 
 
 def _tokens(
@@ -97,12 +95,10 @@ def _tokens(
     return prepared.select(key, "_but", F.inline(entries))
 
 
-def _valence() -> Column:
-    """Valence of a token after degree words, negations and "but"."""
-    value = F.col("valence")
-    sign = F.signum(F.col("valence"))
-    for back, damp in enumerate(DAMPING, start=1):
-        w = F.col(f"w{back}")
+def _moved(valence: Column, before: Sequence[Column], spot: Column, but: Column) -> Column:
+    """Valence of a token after degree words, negations and "but" (places from 1, 0: none)."""
+    value, sign = valence, F.signum(valence)
+    for w, damp in zip(before, DAMPING, strict=True):
         step = (
             F.when(w.isin(D.INTENSIFIERS), DEGREE * damp)
             .when(w.isin(D.DAMPENERS), -DEGREE * damp)
@@ -111,48 +107,94 @@ def _valence() -> Column:
         value = value + sign * step
         negated = F.coalesce(w.isin(D.NEGATIONS), F.lit(False))
         value = F.when(negated, value * NEGATED).otherwise(value)
-    spot = F.col("pos") + 1
     return (
-        F.when((F.col("_but") > 0) & (spot < F.col("_but")), value * 0.5)
-        .when((F.col("_but") > 0) & (spot > F.col("_but")), value * 1.5)
+        F.when((but > 0) & (spot < but), value * 0.5)
+        .when((but > 0) & (spot > but), value * 1.5)
         .otherwise(value)
     )
 
 
+def _valence() -> Column:
+    return _moved(F.col("valence"), [F.col(f"w{n}") for n in (1, 2, 3)], F.col("pos") + 1, F.col("_but"))
+
+
 def token_valences(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """(key, pos, valence) per sentiment word, with negations, degree words and "but"."""
-    hits = lexicon_join(_tokens(df, key, text, _sized(lexicon)[1]), lexicon)
+    known = _known(lexicon)
+    hits = lexicon_join(_tokens(df, key, text, None if known is None else sorted(known)), lexicon)
     return hits.select(key, "pos", _valence().alias("valence"))
 
 
+def _sums_in_row(df: DataFrame, text: str, kept: Sequence[str], known: Mapping[str, float]) -> DataFrame:
+    """Sums over the sentiment words of each row, beside its ``kept`` columns."""
+    words_, valences = list(known), [float(known[w]) for w in known]
+    table = F.map_from_arrays(F.lit(words_), F.lit(valences)) if known else F.create_map().cast("map<string,double>")
+    rows = df.withColumn("_t", sentiment_tokens(F.coalesce(F.col(text), F.lit(""))))
+    rows = rows.withColumn("_but", F.array_position("_t", "but"))
+
+    def word(i: Column) -> Column:
+        return F.when(i >= 0, F.get(F.col("_t"), i))
+
+    def value(i: Column) -> Column:
+        return _moved(F.element_at(table, word(i)), [word(i - n) for n in (1, 2, 3)], i + 1, F.col("_but"))
+
+    spots = F.when(F.size("_t") > 0, F.sequence(F.lit(0), F.size("_t") - 1))
+    spots = F.filter(spots, lambda i: F.get(F.col("_t"), i).isin(words_) if known else F.lit(False))
+    rows = rows.withColumn("_v", F.coalesce(F.transform(spots, value), F.array().cast("array<double>")))
+
+    def total(term) -> Column:
+        return F.aggregate("_v", F.lit(0.0), lambda a, v: a + term(v))
+
+    return rows.select(
+        *kept,
+        F.struct(F.size("_t").alias("n"), *_base(F.col(text))).alias("_base"),
+        F.when(F.size("_v") > 0, total(lambda v: v)).alias("_sum"),
+        total(lambda v: F.when(v > 0, v + 1).otherwise(0.0)).alias("_pos"),
+        total(lambda v: F.when(v < 0, 1 - v).otherwise(0.0)).alias("_neg"),
+        F.size(F.filter("_v", lambda v: v != 0)).alias("_hits"),
+    )
+
+
+def _base(text: Column) -> list[Column]:
+    return [
+        F.coalesce(F.length(F.trim(text)) >= 3, F.lit(False)).alias("ok"),
+        (F.least(F.length(text) - F.length(F.translate(text, "!", "")), F.lit(4)) * BANG).alias("bang"),
+    ]
+
+
+def _sums_by_join(df: DataFrame, text: str, kept: Sequence[str], lexicon: DataFrame) -> DataFrame:
+    """The same by a join; rows are told apart by a number, as keys may repeat."""
+    rows = df.withColumn("_row", F.monotonically_increasing_id())
+    base = [*_base(F.col(text)), *[F.col(c).alias(f"_{i}") for i, c in enumerate(kept)]]
+    tokens = _tokens(rows, "_row", text, None, base).join(lexicon, "word", "left")
+    v = F.col("v")
+    sums = (
+        tokens.where(F.col("valence").isNotNull() | (F.col("pos") < 0))
+        .select("_row", "base", F.when(F.col("pos") >= 0, _valence()).alias("v"))
+        .groupBy("_row").agg(
+            F.sum(v).alias("_sum"),
+            F.sum(F.when(v > 0, v + 1).otherwise(0.0)).alias("_pos"),
+            F.sum(F.when(v < 0, 1 - v).otherwise(0.0)).alias("_neg"),
+            F.count(F.when(v != 0, 1)).alias("_hits"),
+            F.first("base", ignorenulls=True).alias("_base"),
+        )
+    )
+    return sums.withColumns({c: F.col(f"_base._{i}") for i, c in enumerate(kept)})
+
+
 def sentiment(
     df: DataFrame, key: str, text: str, lexicon: DataFrame, carry: Sequence[str] = ()
 ) -> DataFrame:
-    """Positive, negative and neutral shares, compound score and label, one row per key.
+    """Positive, negative and neutral shares, compound score and label, one row per row of df.
 
-    Texts under three characters, and texts without a sentiment word, are neutral. The
-    text is read once and shuffled never: sentiment words and one row per key meet in a
-    grouped sum. ``carry`` takes further columns of df along, which saves a join.
+    Texts under three characters, null texts, and texts without a sentiment word are neutral.
+    ``carry`` takes further columns of df along, which saves a join.
     """
-    t = F.col(text)
-    base = [
-        (F.length(F.trim(t)) >= 3).alias("ok"),
-        (F.least(F.length(t) - F.length(F.translate(t, "!", "")), F.lit(4)) * BANG).alias("bang"),
-        *[F.col(c) for c in carry],
-    ]
-    table, known = _sized(lexicon)
-    tokens = _tokens(df, key, text, known, base).join(table, "word", "left")
-    kept = tokens.where(F.col("valence").isNotNull() | (F.col("pos") < 0)).select(
-        key, "base", F.when(F.col("pos") >= 0, _valence()).alias("v")
-    )
-    v = F.col("v")
-    sums = kept.groupBy(key).agg(
-        F.sum(v).alias("_sum"),
-        F.sum(F.when(v > 0, v + 1).otherwise(0.0)).alias("_pos"),
-        F.sum(F.when(v < 0, 1 - v).otherwise(0.0)).alias("_neg"),
-        F.count(F.when(v != 0, 1)).alias("_hits"),
-        F.first("base", ignorenulls=True).alias("_base"),
-    )
+    known, kept = _known(lexicon), [key, *carry]
+    if known is None:
+        sums = _sums_by_join(df, text, kept, lexicon)
+    else:
+        sums = _sums_in_row(df, text, kept, known)
     bang = F.col("_base.bang")
     emphasis = F.when(F.col("_sum") > 0, bang).when(F.col("_sum") < 0, -bang)
     total = F.col("_sum") + F.coalesce(emphasis, F.lit(0.0))
@@ -174,8 +216,7 @@ def sentiment(
         return F.coalesce(F.when(F.col("_ok"), part), F.lit(default))
 
     out = parts.select(
-        key,
-        *[F.col(f"_base.{c}").alias(c) for c in carry],
+        *kept,
         share("_p", 0.0).alias("sentiment_positive"),
         share("_g", 0.0).alias("sentiment_negative"),
         share("_u", 1.0).alias("sentiment_neutral"),

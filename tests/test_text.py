@@ -73,6 +73,20 @@ def one_sentiment(spark, text, lexicon=None):
     return sentiment.sentiment(df, "id", "t", sentiment.lexicon_table(spark, lexicon)).first()
 
 
+@pytest.mark.parametrize("joined", [False, True])
+def test_sentiment_keeps_rows_with_equal_keys_apart(spark, monkeypatch, joined):
+    if joined:
+        monkeypatch.setattr(sentiment, "FILTER_WORDS", 2)  # a larger lexicon is joined
+    rows = [("a", "great"), ("a", "terrible"), (None, "good"), (None, "good"), ("b", None), ("c", "")]
+    df = spark.createDataFrame(rows, "id string, t string")
+    lexicon = {"great": 3.1, "terrible": -2.1, "good": 1.9}
+    got = sentiment.sentiment(df, "id", "t", sentiment.lexicon_table(spark, lexicon)).collect()
+    assert sorted((r["id"] or "", r["sentiment_compound"], r["sentiment_neutral"]) for r in got) == [
+        ("", compound(1.9), 0.0), ("", compound(1.9), 0.0), ("a", compound(-2.1), 0.0), ("a", compound(3.1), 0.0),
+        ("b", 0.0, 1.0), ("c", 0.0, 1.0),
+    ]
+
+
 def compound(s):
     return round(s / math.sqrt(s * s + 15), 4)
 
@@ -171,7 +185,7 @@ def test_product_document_defaults(spark):
         "product_idx int, product_name string, price double, rating double, review_count bigint,"
         "features string, review_text string",
     )
-    lines = search.product_document(df).first()["document"].split("\n")
+    lines = search.product_document(df, name_chars=150).first()["document"].split("\n")
     assert lines == [
         "Product: " + "x" * 150, "Category: General", "Brand: Unknown", "Price: $0.00", "Rating: 0.0/5.0",
         "Reviews: 0 customer reviews", "Sentiment: Neutral", "Features: General product",
