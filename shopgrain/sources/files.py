@@ -14,17 +14,26 @@ from shopgrain.operators.ordering import surrogate_id
 
 
 def scan_csv(
-    spark: SparkSession, path: str, schema: T.StructType, extra: str = "_extra"
+    spark: SparkSession, path: str, schema: T.StructType, extra: str = "_extra", multi_line: bool = False
 ) -> DataFrame:
-    """CSV with a header; rows with too many fields are skipped, short rows padded.
+    """CSV with a header; rows with too many fields are skipped, also if these are empty; short rows padded.
 
-    One column beyond the schema catches a surplus field.
+    A file is split over tasks unless ``multi_line`` asks for fields with line breaks. Rows are read with
+    one column too many: only rows with exactly one surplus field fill it without an error and are skipped.
+    To all others one field is added: it shows where a row ends, and stands behind the schema if it fits.
     """
+    raw, end = "_raw_line", "\x01"
     wide = T.StructType([*schema.fields, T.StructField(extra, T.StringType())])
-    reader = spark.read.schema(wide).option("header", True).option("multiLine", True)
-    reader = reader.option("quote", '"').option("escape", '"').option("enforceSchema", True)
-    rows = reader.option("mode", "PERMISSIVE").csv(path)
-    return rows.where(F.col(extra).isNull()).drop(extra)
+    caught = T.StructType([*wide.fields, T.StructField(raw, T.StringType())])
+    quoting = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    reader = spark.read.schema(caught).options(header=True, multiLine=multi_line, enforceSchema=True, **quoting)
+    lines = reader.options(columnNameOfCorruptRecord=raw, columnPruning=False).csv(path).where(F.col(raw).isNotNull() & F.col(extra).isNull())
+    ended = F.concat(F.col(raw), F.lit("," + end))
+    fields = lines.select(F.from_csv(ended, ", ".join(f"`{f.name}` string" for f in wide), quoting).alias("f"), F.col(raw))
+    last = F.col("f").getField(extra)
+    short = F.array_contains(F.array(*(F.col("f").getField(f.name) for f in schema)), end)
+    whole = F.from_csv(F.col(raw), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), quoting)
+    return fields.where((last == end) | (last.isNull() & short)).select(whole.alias("r")).select("r.*")
 
 
 def local_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType) -> DataFrame:

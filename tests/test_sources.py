@@ -18,10 +18,28 @@ def test_csv_skips_long_rows_and_pads_short_ones(spark, tmp_path):
     (tmp_path / "a.csv").write_text(
         'asin,title,price\n1,good,"$1,2"\n2,short\n3,long,5,surplus\n4,"two\nlines",6\n'
     )
-    got = files.scan_csv(spark, str(tmp_path / "a.csv"), SCHEMA).orderBy("asin").collect()
+    got = files.scan_csv(spark, str(tmp_path / "a.csv"), SCHEMA, multi_line=True).orderBy("asin").collect()
     assert [tuple(r) for r in got] == [("1", "good", "$1,2"), ("2", "short", None), ("4", "two\nlines", "6")]
 
 
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_csv_counts_empty_surplus_fields(spark, tmp_path, multi_line):
+    (tmp_path / "a.csv").write_text('a,b\n1,2\n3,4,\n5\n6,"x,y"\n9,10,,11\n7,8,z\n12,"q""r"\n13,\n')
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    got = files.scan_csv(spark, str(tmp_path), schema, multi_line=multi_line)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "2"), (5, None), (6, "x,y"), (12, 'q"r'), (13, None)]
+    assert got.select("b").count() == 5
+
+
+def test_csv_is_split(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("asin,title,price\n" + "1,a title,2\n" * 20_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        assert files.scan_csv(spark, str(tmp_path), SCHEMA).rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_optional_and_first_scan(spark, tmp_path):
     missing, there = str(tmp_path / "no"), str(tmp_path / "yes")
     assert files.scan_optional(spark, missing, SCHEMA).count() == 0
