@@ -201,10 +201,10 @@ def sentiment_summary(label: Column | str, compound: Column | str) -> Column:
 
 def content_text(
     name: Column, category: Column, brand: Column, review: Column, features: Column,
-    review_chars: int | None = 200,
+    review_chars: int | None = None,
 ) -> Column:
     """Text that stands for a product in content matching: the name twice, category,
-    brand, review, features. ``review_chars=None`` keeps the whole review."""
+    brand, the review (its first ``review_chars`` signs, or all of it), features."""
     name = F.when(name != "", name)
     body = review if review_chars is None else F.substring(review, 1, review_chars)
     return F.trim(

@@ -35,13 +35,3 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def small(df: DataFrame, max_rows: int, name: str = "small") -> DataFrame:
-    """A written and counted copy: marked for broadcast up to ``max_rows``, else not.
-
-    For the request side of a join. A larger one is joined by shuffle, where Spark
-    splits hot keys.
-    """
-    stored = materialise(df, name)
-    return F.broadcast(stored) if stored.count() <= max_rows else stored

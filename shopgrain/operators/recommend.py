@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.operators.checkpoints import small
+from shopgrain.operators.checkpoints import materialise
 from shopgrain.operators.factors import Factors, truncated_svd
 from shopgrain.operators.ordering import ranked_top, topk
 from shopgrain.operators.tfidf import project, sparse_cosine
@@ -20,9 +20,6 @@ from shopgrain.operators.vectors import similarity_range, vector_search
 COLLAB_WEIGHT, CONTENT_WEIGHT, QUALITY_WEIGHT = 0.30, 0.45, 0.25
 OTHER_CATEGORY_QUERY, OTHER_CATEGORY_PROFILE = 0.3, 0.1
 
-# Counted request tables up to these sizes are broadcast.
-REQUEST_ROWS, REQUEST_TERMS = 10_000, 500_000
-
 
 def l2_normalise(df: DataFrame, by: str, col: str, out: str = "value") -> DataFrame:
     """Divide by the group's Euclidean norm; a norm of 0 counts as 1."""
@@ -56,7 +53,7 @@ def cooccurrence(interactions: DataFrame, anchors: DataFrame, k: int) -> DataFra
     norms = interactions.groupBy("item_id").agg(
         F.sqrt(F.sum(F.col("score") * F.col("score"))).alias("norm")
     )
-    asked = small(anchors.select("item_id"), REQUEST_ROWS, "anchors")
+    asked = materialise(anchors.select("item_id"), "anchors")
     mine = interactions.join(asked, "item_id").select(
         F.col("item_id").alias("anchor"), "user_id", F.col("score").alias("_a")
     )
@@ -118,9 +115,9 @@ def similar_items(anchors: DataFrame, weights: DataFrame, items: DataFrame, k: i
     items: ``product_idx, category, quality_score``. An unknown anchor gets the most
     popular items by quality alone.
     """
-    anchors = small(anchors.select("query_id"), REQUEST_ROWS, "anchors")
+    anchors = materialise(anchors.select("query_id"), "anchors")
     mine = weights.withColumnRenamed("product_idx", "query_id").join(anchors, "query_id")
-    near = sparse_cosine(small(mine, REQUEST_TERMS, "terms"), weights, "query_id", "product_idx")
+    near = sparse_cosine(materialise(mine, "terms"), weights, "query_id", "product_idx")
     quality = items.select("product_idx", "quality_score")
     shared = near.join(quality, "product_idx").select(
         "query_id", "product_idx",
@@ -146,7 +143,7 @@ def query_items(
     queries: ``query_id, text, category`` (category may be null).
     """
     projected = project(queries, "query_id", "text", vocab)
-    near = sparse_cosine(small(projected, REQUEST_TERMS, "terms"), weights, "query_id", "product_idx")
+    near = sparse_cosine(materialise(projected, "terms"), weights, "query_id", "product_idx")
     wanted = queries.select("query_id", F.col("category").alias("_wanted"))
     factor = F.when(
         F.col("_wanted").isNull() | F.col("category").eqNullSafe(F.col("_wanted")), 1.0
@@ -173,7 +170,7 @@ def query_items(
 
 def hidden_from(interactions: DataFrame, users: DataFrame) -> DataFrame:
     """(item_id, users of the request that have seen it): at most the request's size per item."""
-    wanted = small(users.select("user_id").distinct(), REQUEST_ROWS, "users")
+    wanted = materialise(users.select("user_id").distinct(), "users")
     asked = interactions.join(wanted, "user_id", "left_semi")
     return asked.groupBy("item_id").agg(F.collect_set("user_id").alias("hidden_from"))
 

@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shopgrain.operators.ordering import topk
-
 
 def value_counts(df: DataFrame, col: str, n: int | None = None) -> DataFrame:
     """Rows per value, largest first, equal counts by value."""
@@ -54,11 +52,12 @@ def numeric_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def _summary(
-    df: DataFrame, counts: Mapping[str, str], totals: Mapping[str, Column], top: int | None
+    df: DataFrame, counts: Mapping[str, str], totals: Mapping[str, Column], top: Mapping[str, int] | None = None
 ) -> DataFrame:
     """(metric, key, value) rows: counts per column value and totals, from one scan.
 
-    Grouping sets count every column in the same aggregate.
+    Grouping sets count every column in the same aggregate, and each of its rows becomes one
+    count or all totals. ``top`` keeps the largest values of the metrics that it names.
     """
     cols = list(counts.values())
     sets = [[F.col(c)] for c in cols] + [[]]
@@ -69,26 +68,24 @@ def _summary(
     )
     width = len(cols)
     everything = 2**width - 1
-    parts = [
-        (F.col("_gid") == everything - 2 ** (width - 1 - i), metric, c)
-        for i, (metric, c) in enumerate(counts.items())
-    ]
     metric = F.when(F.lit(False), F.lit(""))
     key = F.when(F.lit(False), F.lit(""))
-    for test, name, c in parts:
+    for i, (name, c) in enumerate(counts.items()):
+        test = F.col("_gid") == everything - 2 ** (width - 1 - i)
         metric = metric.when(test, name)
         key = key.when(test, F.col(c).cast("string"))
-    by_value = grouped.where(F.col("_gid") != everything).select(
-        metric.alias("metric"), key.alias("key"), F.col("_n").alias("value")
-    )
-    if top is not None:
-        by_value = topk(by_value, ["metric"], [F.desc("value"), F.asc("key")], top, "_rk").drop("_rk")
-    whole = (
-        grouped.where(F.col("_gid") == everything)
-        .unpivot([], list(totals), "metric", "value")
-        .select("metric", F.lit("").alias("key"), "value")
-    )
-    return by_value.unionByName(whole)
+
+    def entry(metric: Column, key: Column, value: Column) -> Column:
+        return F.struct(metric.alias("metric"), key.alias("key"), value.alias("value"))
+
+    whole = F.array(*[entry(F.lit(name), F.lit(""), F.col(name)) for name in totals])
+    one = F.array(entry(metric, key, F.col("_n")))
+    rows = grouped.select(F.inline(F.when(F.col("_gid") == everything, whole).otherwise(one)))
+    if not top:
+        return rows
+    limit = F.create_map(*[F.lit(x) for item in top.items() for x in item])[F.col("metric")]
+    place = F.row_number().over(Window.partitionBy("metric").orderBy(F.desc("value"), F.asc("key")))
+    return rows.withColumn("_rk", place).where((F.col("_rk") <= limit) | limit.isNull()).drop("_rk")
 
 
 def catalogue_summary(df: DataFrame) -> DataFrame:
@@ -102,12 +99,11 @@ def catalogue_summary(df: DataFrame) -> DataFrame:
             "avg_price": F.round(F.avg("price"), 2),
             "n_columns": F.lit(len(df.columns)) + F.count("*") * 0,
         },
-        None,
     )
 
 
 def nlp_summary(df: DataFrame, top: int = 10) -> DataFrame:
-    """Distributions of the text stage (ten largest values each) and its totals."""
+    """Distributions of the text stage, of categories and brands the ``top`` largest, and its totals."""
     flagged = F.col("fake_review_flag").cast("int")
     return _summary(
         df,
@@ -123,7 +119,7 @@ def nlp_summary(df: DataFrame, top: int = 10) -> DataFrame:
             "fake_review_pct": F.round(F.avg(flagged) * 100, 2),
             "avg_nlp_quality": F.round(F.avg("nlp_quality_score"), 2),
         },
-        top,
+        {"category_distribution": top, "top_brands": top},
     )
 
 

@@ -51,14 +51,18 @@ def _one_digit(c):
     return F.format_string("%.1f", F.round(c, 1))
 
 
-def product_document(df: DataFrame, name_chars: int = 150, review_chars: int = 200) -> DataFrame:
-    """Product description of nine lines, the text that gets embedded."""
+def _first(text: Column, chars: int | None) -> Column:
+    return text if chars is None else F.left(text, F.lit(chars))
+
+
+def product_document(df: DataFrame, name_chars: int | None = None, review_chars: int | None = None) -> DataFrame:
+    """Product description of nine lines, the text that gets embedded; names and reviews are cut if asked."""
     price = F.coalesce("price", F.lit(0.0))
     rating = F.coalesce("rating", F.lit(0.0))
     features = _text(df, "features", "")
-    review = F.left(_text(df, "review_text", ""), F.lit(review_chars))
+    review = _first(_text(df, "review_text", ""), review_chars)
     lines = [
-        F.concat(F.lit("Product: "), F.left(_text(df, "product_name", ""), F.lit(name_chars))),
+        F.concat(F.lit("Product: "), _first(_text(df, "product_name", ""), name_chars)),
         F.concat(F.lit("Category: "), _text(df, "category", "General")),
         F.concat(F.lit("Brand: "), _text(df, "brand", "Unknown")),
         F.concat(F.lit("Price: $"), _money(price)),

@@ -10,8 +10,6 @@ from pyspark.sql.window import Window
 
 from shopgrain.functions.dictionaries import STOP_WORDS
 
-MAX_TERMS = 8000
-
 
 def term_list(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
     """Words of two or more characters without the stop words."""
@@ -38,12 +36,13 @@ def term_counts(
     )
 
 
-def vocabulary(counts: DataFrame, n_docs: Column, max_terms: int = MAX_TERMS) -> DataFrame:
-    """The most frequent terms with their smooth inverse document frequency."""
+def vocabulary(counts: DataFrame, n_docs: Column, max_terms: int | None = None) -> DataFrame:
+    """Terms, all or the ``max_terms`` most frequent, with their smooth inverse document frequency."""
+    found = counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
+    if max_terms is not None:
+        found = found.orderBy(F.desc("total"), "term").limit(max_terms)
     return (
-        counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
-        .orderBy(F.desc("total"), "term").limit(max_terms)
-        .withColumn("idf", F.log((1 + n_docs) / (1 + F.col("df"))) + 1)
+        found.withColumn("idf", F.log((1 + n_docs) / (1 + F.col("df"))) + 1)
         .select("term", "df", "idf")
     )
 
@@ -51,10 +50,10 @@ def vocabulary(counts: DataFrame, n_docs: Column, max_terms: int = MAX_TERMS) ->
 def weigh(counts: DataFrame, key: str, vocab: DataFrame) -> DataFrame:
     """Sublinear tf times idf, scaled to unit length per key.
 
-    The vocabulary is cut at its term limit, so it is safe to broadcast; a key has
-    at most that many rows, which bounds the window too.
+    Spark sends a small vocabulary to all tasks and shuffles a large one. A key has at most
+    as many rows as its text has terms.
     """
-    raw = counts.join(F.broadcast(vocab.select("term", "idf")), "term").withColumn(
+    raw = counts.join(vocab.select("term", "idf"), "term").withColumn(
         "_w", (1 + F.log("tf")) * F.col("idf")
     )
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
@@ -62,7 +61,7 @@ def weigh(counts: DataFrame, key: str, vocab: DataFrame) -> DataFrame:
 
 
 def tfidf(
-    df: DataFrame, key: str, text: str, max_terms: int = MAX_TERMS,
+    df: DataFrame, key: str, text: str, max_terms: int | None = None,
     stop_words: Sequence[str] = STOP_WORDS, bigrams: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """(weights, vocabulary) of a table of texts."""

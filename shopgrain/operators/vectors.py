@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shopgrain.operators.checkpoints import small
+from shopgrain.operators.checkpoints import materialise
 from shopgrain.operators.ordering import topk
 
 BLOCK = 4096
@@ -263,7 +263,7 @@ def approx_vector_search(
     q = _signatures(
         queries.select("query_id", "vector"), "query_id", tables, bits, dims, seed, probe=True
     ).withColumnRenamed("vector", "_q")
-    q = small(q, 50_000, "signatures")
+    q = materialise(q, "signatures")
     i = _signatures(items.select("item_id", "vector"), "item_id", tables, bits, dims, seed, probe=False)
     found = q.join(i, ["table", "signature"])
     scored = found.select("query_id", "item_id", cosine(F.col("_q"), F.col("vector")).alias("raw"))

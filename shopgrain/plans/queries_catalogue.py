@@ -87,18 +87,16 @@ def _(v: Views):
 
 @query("surrogate_id", """
 SELECT p_partkey, 'FK_' || (row_number() OVER (ORDER BY p_partkey) - 1) AS product_id
-FROM part WHERE p_type = 'PROMO'""")
+FROM part""")
 def _(v: Views):
-    promo = v.table("part").where("p_type = 'PROMO'").select("p_partkey")
-    return ordering.surrogate_id(promo, "FK_", "p_partkey")
+    return ordering.surrogate_id(v.table("part").select("p_partkey"), "FK_", "p_partkey")
 
 
 @query("positional_index", """
 SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS product_idx
-FROM orders WHERE o_orderstatus = 'F'""")
+FROM orders""")
 def _(v: Views):
-    done = v.table("orders").where("o_orderstatus = 'F'").select("o_orderkey")
-    return ordering.with_index(done, "o_orderkey")
+    return ordering.with_index(v.table("orders").select("o_orderkey"), "o_orderkey")
 
 
 @query("align_to_schema", """
@@ -309,17 +307,18 @@ def _(v: Views):
     return rows.select("product_id", "product_name", "source", "category", "price", "rating")
 
 
+_EVENTS = ["click", "error", "purchase", "signup", "view"]
+
+
 @query("unpivot_trends", """
-SELECT date, keyword, search_interest FROM (
- SELECT strftime(date, '%Y-%m-%d') AS date, unnest(['click', 'purchase', 'view']) AS keyword,
-  unnest([click, purchase, "view"]) AS search_interest
- FROM (SELECT date, sum(demand) FILTER (category = 'click') AS click,
-   sum(demand) FILTER (category = 'purchase') AS purchase, sum(demand) FILTER (category = 'view') AS "view"
-  FROM event_demand GROUP BY 1))""", ["event_demand"])
+SELECT strftime(date, '%Y-%m-%d') AS date, category AS keyword, search_interest FROM (
+ SELECT d.date, k.category, sum(demand) FILTER (e.category = k.category) AS search_interest
+ FROM (SELECT DISTINCT date FROM event_demand) d CROSS JOIN (SELECT DISTINCT category FROM event_demand) k
+ JOIN event_demand e ON e.date = d.date GROUP BY ALL)""", ["event_demand"])
 def _(v: Views):
     wide = (
         v.event_demand.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
-        .groupBy("date").pivot("category", ["click", "purchase", "view"]).agg(F.sum("demand"))
+        .groupBy("date").pivot("category", _EVENTS).agg(F.sum("demand"))
         .withColumn("isPartial", F.lit(False))
     )
     return files.unpivot_trends(wide)

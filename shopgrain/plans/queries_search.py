@@ -9,7 +9,7 @@ from shopgrain.functions import dictionaries as D
 from shopgrain.functions import numbers as N
 from shopgrain.functions import textual as X
 from shopgrain.operators import evaluate, factors, ordering, recommend, search, tfidf, vectors
-from shopgrain.operators.checkpoints import materialise, small
+from shopgrain.operators.checkpoints import materialise
 from shopgrain.plans import ctes
 from shopgrain.plans.registry import query
 from shopgrain.plans.views import Views
@@ -93,6 +93,9 @@ def _(v: Views):
     )
 
 
+# Terms of the published index, and components of its content and its user vectors.
+INDEX_TERMS, CONTENT_RANK, USER_RANK = 8000, 150, 50
+
 _TERMS = f"""
 term_tokens AS (SELECT doc_id AS key, list_filter(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}_]+'),
   lambda w: length(w) > 1 AND w NOT IN {ctes.words_in(D.STOP_WORDS)}) AS t FROM documents),
@@ -108,7 +111,7 @@ weights AS (SELECT key, term, w / sqrt(sum(w * w) OVER (PARTITION BY key)) AS we
 
 @query("tfidf_vectors", f"WITH {_TERMS} SELECT key AS doc_id, term, round(weight, 6) AS weight FROM weights")
 def _(v: Views):
-    weights, _ = tfidf.tfidf(v.documents, "doc_id", "text")
+    weights, _ = tfidf.tfidf(v.documents, "doc_id", "text", INDEX_TERMS)
     return weights.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
@@ -153,7 +156,7 @@ SELECT anchor AS query_id, product_idx, round(raw, 4) AS score,
  row_number() OVER (PARTITION BY anchor ORDER BY round(raw, 6) DESC, product_idx)::INTEGER AS rank
 FROM pairs QUALIFY rank <= 10""", ["products", "quality"])
 def _(v: Views):
-    weights, _ = tfidf.tfidf(product_content(v), "product_idx", "content")
+    weights, _ = tfidf.tfidf(product_content(v), "product_idx", "content", INDEX_TERMS)
     # Read for the anchors and again for all items.
     weights = materialise(weights, "weights")
     anchors = category_leaders(v).select(F.col("product_idx").alias("query_id"))
@@ -193,21 +196,21 @@ SELECT query_id, product_idx, round(raw, 4) AS score,
  row_number() OVER (PARTITION BY query_id ORDER BY round(raw, 6) DESC, product_idx)::INTEGER AS rank
 FROM pairs QUALIFY rank <= 10""", ["products", "quality"])
 def _(v: Views):
-    weights, vocab = tfidf.tfidf(product_content(v), "product_idx", "content")
+    weights, vocab = tfidf.tfidf(product_content(v), "product_idx", "content", INDEX_TERMS)
     asks = local_table(v.spark, REQUESTS, REQUEST_SCHEMA)
     return recommend.query_items(asks, vocab, weights, v.stored_quality, 10)
 
 
 @query("reduce_vectors")
 def _(v: Views):
-    weights, _ = tfidf.tfidf(product_content(v), "product_idx", "content")
-    return factors.truncated_svd(weights, "product_idx", "term", "weight", rank=20).rows
+    weights, _ = tfidf.tfidf(product_content(v), "product_idx", "content", INDEX_TERMS)
+    return factors.truncated_svd(weights, "product_idx", "term", "weight", rank=CONTENT_RANK).rows
 
 
 @query("explained_variance")
 def _(v: Views):
-    weights, _ = tfidf.tfidf(product_content(v), "product_idx", "content")
-    svd = factors.truncated_svd(weights, "product_idx", "term", "weight", rank=20)
+    weights, _ = tfidf.tfidf(product_content(v), "product_idx", "content", INDEX_TERMS)
+    svd = factors.truncated_svd(weights, "product_idx", "term", "weight", rank=CONTENT_RANK)
     rows = [(i + 1, s, e) for i, (s, e) in enumerate(zip(svd.singular_values, svd.explained_variance))]
     return v.spark.createDataFrame(rows, "component int, singular_value double, variance_share double")
 
@@ -245,19 +248,19 @@ def segment_leaders(v: Views):
 
 @query("collaborative_scores")
 def _(v: Views):
-    return recommend.collaborative(v.stored_interactions, rank=20).rows
+    return recommend.collaborative(v.stored_interactions, rank=USER_RANK).rows
 
 
 @query("user_x_item_scores")
 def _(v: Views):
-    model = recommend.collaborative(v.stored_interactions, rank=20)
+    model = recommend.collaborative(v.stored_interactions, rank=USER_RANK)
     asked = segment_leaders(v).join(model.rows, "user_id").withColumnRenamed("user_id", "query_id")
     return vectors.vector_search(asked, model.cols, 10, metric="dot")
 
 
 @query("recommend_user")
 def _(v: Views):
-    model = recommend.collaborative(v.stored_interactions, rank=20)
+    model = recommend.collaborative(v.stored_interactions, rank=USER_RANK)
     new = v.spark.range(1).select(F.lit(-1).cast("bigint").alias("user_id"))
     users = segment_leaders(v).unionByName(new)
     quality = v.stored_quality.select(F.col("product_idx").alias("item_id"), "quality_score")
@@ -373,15 +376,19 @@ def _(v: Views):
 
 
 def segment_recommendations(v: Views, train, k: int):
-    """From each market segment's list of the 5k most used items, the first k the user has
-    not met."""
+    """From each market segment's most used items the first k that the user has not met.
+
+    A user with n items has met n of the first k + n of any list at most, so these are all that is looked at.
+    """
+    met = train.groupBy("user_id").agg(F.count("*").alias("met"))
+    most = met.agg(F.max("met")).first()[0] or 0
     people = v.table("customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
     uses = train.join(people, "user_id").groupBy("c_mktsegment", "item_id").agg(F.count("*").alias("n"))
-    listed = ordering.topk(uses, ["c_mktsegment"], [F.desc("n"), F.asc("item_id")], 5 * k, "place")
-    listed = small(listed, 100_000, "segment-lists")
-    open_items = recommend.exclude_seen(
-        people.join(listed, "c_mktsegment").select("user_id", "item_id", "place"), train
-    )
+    listed = ordering.topk(uses, ["c_mktsegment"], [F.desc("n"), F.asc("item_id")], k + most, "place")
+    listed = materialise(listed, "segment-lists")
+    reach = F.col("place") <= k + F.coalesce("met", F.lit(0))
+    offered = people.join(met, "user_id", "left").join(listed, "c_mktsegment").where(reach)
+    open_items = recommend.exclude_seen(offered.select("user_id", "item_id", "place"), train)
     return ordering.topk(open_items, ["user_id"], [F.asc("place")], k).select("user_id", "item_id", "rank")
 
 
@@ -391,7 +398,7 @@ rel AS (SELECT user_id, item_id FROM held JOIN (SELECT user_id, median(score) AS
  USING (user_id) WHERE score >= m),
 uses AS (SELECT c_mktsegment, item_id, count(*) AS n FROM train JOIN customer ON c_custkey = user_id GROUP BY ALL),
 listed AS (SELECT c_mktsegment, item_id, row_number() OVER (PARTITION BY c_mktsegment ORDER BY n DESC, item_id) AS place
- FROM uses QUALIFY place <= 50),
+ FROM uses),
 recs AS (SELECT c_custkey AS user_id, item_id, row_number() OVER (PARTITION BY c_custkey ORDER BY place) AS rank
  FROM customer JOIN listed USING (c_mktsegment)
  ANTI JOIN train ON train.user_id = c_custkey AND train.item_id = listed.item_id QUALIFY rank <= 10),
@@ -411,7 +418,7 @@ def _(v: Views):
 
 def keyword_hits(v: Views, k: int = 5):
     """Hits of each request text by its TF-IDF query, with product details."""
-    weights, vocab = tfidf.tfidf(product_content(v), "product_idx", "content")
+    weights, vocab = tfidf.tfidf(product_content(v), "product_idx", "content", INDEX_TERMS)
     asks = local_table(v.spark, REQUESTS, REQUEST_SCHEMA)
     near = tfidf.sparse_cosine(
         tfidf.project(asks, "query_id", "text", vocab), weights, "query_id", "product_idx"

@@ -142,7 +142,7 @@ def _(v: Views):
 SELECT product_id, trim(concat_ws(' ', product_name, product_name,
  CASE WHEN predicted_category <> 'Other' THEN predicted_category END,
  CASE WHEN brand_extracted <> 'Unknown' THEN brand_extracted END,
- CASE WHEN length(clean_review) > 10 THEN substr(clean_review, 1, 200) END,
+ CASE WHEN length(clean_review) > 10 THEN clean_review END,
  CASE WHEN features_mentioned <> 'none' THEN replace(features_mentioned, ',', ' ') END)) AS content_text
 FROM facts""", ["facts"])
 def _(v: Views):
@@ -154,12 +154,12 @@ def _(v: Views):
 
 
 @query("product_document", """
-SELECT product_id, 'Product: ' || left(product_name, 150) || '\nCategory: ' || predicted_category || '\nBrand: '
+SELECT product_id, 'Product: ' || product_name || '\nCategory: ' || predicted_category || '\nBrand: '
  || brand_extracted || '\nPrice: $' || printf('%.2f', round(coalesce(price_mentioned, 0.0), 2)) || '\nRating: '
  || printf('%.1f', round(coalesce(rating, 0.0), 1)) || '/5.0\nReviews: ' || word_count || ' customer reviews\nSentiment: '
  || sentiment_label || '\nFeatures: ' || CASE WHEN features_mentioned = 'none' THEN 'General product'
   ELSE features_mentioned END || '\nReview excerpt: ' || CASE WHEN length(clean_review) > 5
-  THEN left(clean_review, 200) ELSE 'No review available' END AS document
+  THEN clean_review ELSE 'No review available' END AS document
 FROM facts JOIN labelled USING (product_id)""", ["facts", "labelled"])
 def _(v: Views):
     base = v.dictionary_stage.select(
