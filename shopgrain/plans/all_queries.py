@@ -5,6 +5,7 @@ from shopgrain.plans import (  # noqa: F401
     queries_demand,
     queries_reports,
     queries_search,
+    queries_sources,
     queries_streams,
     queries_text,
 )

@@ -103,8 +103,9 @@ NEWS_SCHEMA = T.StructType(
 )
 
 
-def scan_news(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(NEWS_SCHEMA).option("multiLine", True).json(path)
+def scan_news(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Responses, one a file; one a line (``multi_line=False``) lets Spark split large files."""
+    return spark.read.schema(NEWS_SCHEMA).option("multiLine", multi_line).json(path)
 
 
 def news_articles(responses: DataFrame, source: str = "news", cap: int | None = None) -> DataFrame:
