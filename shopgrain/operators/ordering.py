@@ -78,14 +78,14 @@ def _interpolate(ordered: Sequence[tuple[float, int]], position: float, before:
 
 
 def exact_quantile(
-    df: DataFrame, value: str, p: float, ranges: int = RANGES, few: int = 100_000
+    df: DataFrame, value: str, p: float, ranges: int = RANGES, few: int = 10_000
 ) -> float | None:
     """Exact quantile with linear interpolation; like ``approxQuantile`` it runs at once.
 
     Values are counted first, so a value that fills a third of the table is one row
-    afterwards. Up to ``few`` distinct values the counts come to the driver. Beyond
-    that, row counts of at most ``ranges`` value ranges show which one holds the wanted
-    position, and the search goes on inside it.
+    afterwards. Row counts of at most ``ranges`` value ranges show which one holds the
+    wanted position, and the search goes on inside it until ``few`` distinct values are
+    left; no more than these, from all tasks together, come to the driver.
     """
     counts = (
         df.select(F.col(value).cast("double").alias("v"))
@@ -95,10 +95,11 @@ def exact_quantile(
     rows, before, position = counts, 0, None
     try:
         while True:
-            ordered = [(r["v"], r["n"]) for r in rows.orderBy("v").limit(few + 1).collect()]
-            if not ordered:
+            left = rows.count()
+            if not left:
                 return None
-            if len(ordered) <= few:
+            if left <= few:
+                ordered = sorted((r["v"], r["n"]) for r in rows.collect())
                 if position is None:
                     position = (sum(n for _, n in ordered) - 1) * p
                 return _interpolate(ordered, position, before)
