@@ -24,7 +24,7 @@ HEADLINE = [
     "vector_search", "similar_items", "query_items", "cooccurrence_scores", "l2_row_normalise",
     "collaborative_scores", "recommend_from_profile", "ranking_metrics", "daily_demand",
     "date_spine", "sliding_sequences", "forecast_metrics", "chat_last_turns", "topk_per_group",
-    "balanced_sample",
+    "balanced_sample", "product_document", "lag_regression_forecast", "stream_dedup", "stream_daily_demand",
 ]
 
 
