@@ -1,9 +1,8 @@
 """Order-dependent operators that never sort a whole table in one task.
 
-Positions and exact quantiles both need a running count over a global order. The
-order is cut into ranges at values sampled by hash; counts per range give each
-range its offset and only the rows inside a range are sorted together. The cut
-points affect balance alone, never the result.
+Positions and exact quantiles both need a running count over a global order. Positions
+come from a range-partitioned sort and the sizes of its ranges; quantiles from counts
+per value range, cut at values sampled by hash, which affect balance, never the result.
 """
 
 from __future__ import annotations
@@ -15,54 +14,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-RANGES = 256
-
-
-def _cut_points(keys: DataFrame, name: str, ranges: int) -> Column:
-    """Sorted array of at most ``ranges - 1`` key values as a scalar subquery."""
-    sample = (
-        keys.select(F.col(name).alias("_cut"))
-        .where(F.col("_cut").isNotNull())
-        .orderBy(F.xxhash64("_cut"))
-        .limit(ranges - 1)
-    )
-    return sample.agg(F.sort_array(F.collect_list("_cut"))).scalar()
+from shopgrain.operators.checkpoints import materialise
 
+RANGES = 256
 
-def with_range(df: DataFrame, key: str, ranges: int = RANGES, out: str = "_range") -> DataFrame:
-    """Number of the value range a key falls in, equal keys together."""
-    df = df.withColumn("_cuts", _cut_points(df, key, ranges))
-    inside = F.size(F.filter("_cuts", lambda b: b < F.col(key)))
-    return df.withColumn(out, inside).drop("_cuts")
 
+def with_index(df: DataFrame, order: str, out: str = "product_idx") -> DataFrame:
+    """Dense 0..n-1 position by a unique order key.
 
-def with_index(
-    df: DataFrame, order: str, out: str = "product_idx", ranges: int = RANGES
-) -> DataFrame:
-    """Dense 0..n-1 position by a unique order key."""
-    ranged = with_range(df, order, ranges)
-    # At most `ranges` rows, so this one window without partitions is bounded.
+    Spark sorts by ranges, as many as the data needs, and numbers the rows of each; the sorted rows are
+    written, so that the number of a range and its size belong together whatever is computed again.
+    """
+    numbered = df.orderBy(order).withColumn("_at", F.monotonically_increasing_id())
+    rows = materialise(numbered, "ordered").withColumn("_range", F.shiftright("_at", 33))
+    # One row a range, so this one window without partitions is short.
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranged.groupBy("_range").agg(F.count("*").alias("_n"))
-        .withColumn(
-            "_offset",
-            F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)),
-        )
-        .select("_range", F.coalesce("_offset", F.lit(0)).alias("_offset"))
+        rows.groupBy("_range").agg(F.count("*").alias("_n"))
+        .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    local = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1).cast("long"))
     return (
-        ranged.join(F.broadcast(offsets), "_range")
-        .withColumn(out, (F.col("_offset") + local).cast("bigint"))
-        .drop("_range", "_offset")
+        rows.join(offsets, "_range").withColumn(out, (F.col("_offset") + place).cast("bigint"))
+        .drop("_range", "_offset", "_at")
     )
 
 
 def surrogate_id(
-    df: DataFrame, prefix: str, order: str, out: str = "product_id", ranges: int = RANGES
+    df: DataFrame, prefix: str, order: str, out: str = "product_id"
 ) -> DataFrame:
     """Ids ``<prefix>0, <prefix>1, ...`` by position in a unique order."""
-    df = with_index(df, order, "_pos", ranges)
+    df = with_index(df, order, "_pos")
     return df.withColumn(out, F.concat(F.lit(prefix), F.col("_pos").cast("string"))).drop("_pos")
 
 

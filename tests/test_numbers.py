@@ -108,7 +108,7 @@ def test_index_is_dense_and_independent_of_partitions(spark):
     df = spark.range(0, 1000, 3).withColumnRenamed("id", "k").withColumn("k", F.col("k") * 7 % 1009)
     want = {k: i for i, k in enumerate(sorted(r["k"] for r in df.collect()))}
     for parts in (1, 16):
-        got = ordering.with_index(df.repartition(parts), "k", ranges=10).collect()
+        got = ordering.with_index(df.repartition(parts), "k").collect()
         assert {r["k"]: r["product_idx"] for r in got} == want
 
 
