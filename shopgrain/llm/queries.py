@@ -135,7 +135,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path(MODEL)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, model), model)
+    coded = sentencepiece_codec.encode(docs, model, decoded="decoded")
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -12,6 +12,7 @@ repeated rows give repeated results; other columns are kept.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -20,12 +21,13 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from shopgrain.llm.common import free_name, slices, text_or_empty
+from shopgrain.llm.common import columns_of, free_name, slices, text_or_empty
 
 MARK = "▁"
 #: Text per table of words, and words kept from one table for the next.
-BATCH_BYTES, KEPT_WORDS = 8 << 20, 200_000
+BATCH_BYTES, KEPT_WORDS = 1 << 20, 100_000
 
 
 class WordTable:
@@ -36,16 +38,16 @@ class WordTable:
         crossing = [p for p in map(self.model.id_to_piece, range(self.model.vocab_size())) if MARK in p.lstrip(MARK)]
         if crossing or not self.model.encode("a", out_type=str)[0].startswith(MARK):
             raise ValueError("pieces of this model cross white space; marked words can't be segmented alone")
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def ids(self, words: list[str]) -> list[list[int]]:
-        """Words start with one blank, the marker that the library itself puts before a text."""
+    def ids(self, words: list[str]) -> list[bytes]:
+        """Of each word the ids, four bytes each. Words start with one blank, the marker that the library puts first."""
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
         new = [w for w in words if w not in self.known]
         lone = [self.model.piece_to_id(MARK)]
         for word, ids in zip(new, self.model.encode([w[1:] for w in new], num_threads=1), strict=True):
-            self.known[word] = ids if word != " " else lone
+            self.known[word] = np.array(ids if word != " " else lone, np.int32).tobytes()
         return [self.known[w] for w in words]
 
 
@@ -73,8 +75,8 @@ def encode_batch(texts: pa.Array, table: WordTable) -> pa.Array:
     pieces = table.ids(words.dictionary.to_pylist())
     at = words.indices.to_numpy()
     # Pieces of all words in one array; a word's are copied to wherever it stands, then an end id per text.
-    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    flat = np.fromiter((i for p in pieces for i in p), np.int32, int(sizes.sum()))
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+    flat = np.frombuffer(b"".join(pieces), np.int32)
     first = np.cumsum(sizes) - sizes
     long = sizes[at]
     place = np.cumsum(long) - long
@@ -87,14 +89,38 @@ def encode_batch(texts: pa.Array, table: WordTable) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.append(0, ends + 1).astype(np.int32)), pa.array(ids))
 
 
-def encode(df: DataFrame, model: str, text: str = "text", to: str = "ids") -> DataFrame:
-    """All columns of df and the ids of its texts; ``model`` is a file that every executor has."""
+def encode(df: DataFrame, model: str, text: str = "text", to: str = "ids", decoded: str | None = None) -> DataFrame:
+    """All columns of df, the ids of its texts and, if a name is given, what the library decodes them to.
 
-    @F.arrow_udf("array<int>")
-    def ids(texts: pa.Array) -> pa.Array:
-        return pa.concat_arrays([encode_batch(part, word_table(model)) for part in slices(texts, BATCH_BYTES)])
+    ``model`` is a file that every executor has. Rows leave a task in parts of ``BATCH_BYTES`` of text, so its
+    memory does not grow with the rows of an Arrow batch.
+    """
 
-    return df.withColumn(free_name(df, to), ids(text_or_empty(text)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = word_table(model)
+        for batch in batches:
+            start = 0
+            for part in slices(batch.columns[-1], BATCH_BYTES):
+                rows = batch.slice(start, len(part))
+                start += len(part)
+                ids = encode_batch(part, table)
+                made = [ids, _decoded(ids, table)] if decoded else [ids]
+                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], *made], inner)
+
+    new = [StructField(free_name(df, to), ArrayType(IntegerType()))]
+    new += [StructField(free_name(df, decoded), StringType())] if decoded else []
+    schema = StructType([*df.schema.fields, *new])
+    # Plain names on the way through the tasks: mapInArrow can't take all that a column may be called.
+    inner = [f"c{i}" for i in range(len(schema))]
+    plain = StructType([StructField(n, f.dataType) for n, f in zip(inner, schema, strict=True)])
+    rows = df.select(*columns_of(df), text_or_empty(text).alias("body")).toDF(*inner[: len(df.columns)], "body")
+    return rows.mapInArrow(run, plain).toDF(*schema.fieldNames())
+
+
+def _decoded(ids: pa.Array, table: WordTable) -> pa.Array:
+    offsets, values = ids.offsets.to_numpy(), ids.values.to_numpy()
+    bounds = zip(offsets[:-1], offsets[1:], strict=True)
+    return pa.array([table.model.decode(values[a:b].tolist()) for a, b in bounds], pa.string())
 
 
 def decode(df: DataFrame, model: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
@@ -102,11 +128,6 @@ def decode(df: DataFrame, model: str, ids: str = "ids", to: str = "decoded") ->
 
     @F.arrow_udf("string")
     def text(lists: pa.Array) -> pa.Array:
-        library, out = word_table(model).model, []
-        offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
-        for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-            out.append(library.decode(values[a:b].tolist()))
-        return pa.array(out, pa.string())
-
-    none = F.array().cast("array<int>")
-    return df.withColumn(free_name(df, to), text(F.coalesce(F.col(ids), none)))
+        return _decoded(lists, word_table(model))
+
+    return df.withColumn(free_name(df, to), text(F.coalesce(F.col(ids), F.array().cast("array<int>"))))
