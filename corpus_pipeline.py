@@ -45,7 +45,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, and whether they decode to its text again."""
     model = public_tokenizers.path(MODEL)
     texts = docs.select("doc_id", text_or_empty("text").alias("text"))
-    coded = sentencepiece_codec.decode(sentencepiece_codec.encode(texts, model), model)
+    coded = sentencepiece_codec.encode(texts, model, decoded="decoded")
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.col("text")).alias("lossless")
     )
