@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.llm.common import columns_of, free_name, text_or_empty
+from shopgrain.operators.checkpoints import materialise
 
 
 @dataclass(frozen=True)
@@ -109,12 +110,14 @@ def scan_versions(
         ledger
     )
     kinds = F.array(*(F.lit(r.kind) for r in rules))
-    known = (
+    # Stored, so that its side of the join is a shuffle of its own and Spark can split a blob with many rows.
+    known = materialise(
         spark.read.schema(LEDGER).parquet(ledger)
         .where((F.size("findings") > 0) & F.arrays_overlap("rules", wanted))
         .withColumn("findings", _of_these(F.col("findings"), F.col("rules"), rules, kinds))
         .groupBy(F.col("blob_id").alias(blob))
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("findings")))).alias(findings))
+        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("findings")))).alias(findings)),
+        "findings",
     )
     none = F.array().cast(SPANS)
     return keyed.join(known, blob, "left").select(
