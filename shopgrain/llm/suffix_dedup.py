@@ -156,15 +156,22 @@ def suffix_classes(data: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarr
     return np.unique(rank[starts] * (n + 1) + rank[starts + depth - reach], return_inverse=True)[1]
 
 
-FLAGS = "anchor long, name long, first_id long, first_at long, repeated binary, leading binary"
+RUNS = "array<struct<start:bigint,end:bigint>>"
+FLAGS = f"anchor long, name long, first_id long, first_at long, runs {RUNS}, rest {RUNS}"
 
 
 def match(rows: list[tuple], depth: int) -> list[tuple]:
-    """Of stretches (anchor, name, n, first_id, first_at, bytes): which windows are repeated, and which are first.
+    """Of stretches (anchor, name, n, first_id, first_at, bytes): the runs of bytes that are repeats.
 
-    The rows hold all stretches of their anchors. Bits of ``repeated`` are windows that start anywhere else;
-    bits of ``leading`` are those whose first place is this stretch's first.
+    The rows hold all stretches of their anchors. ``runs`` are windows that start anywhere else too; ``rest`` are
+    those of them that also have an earlier place than this stretch's first. Places count from the stretch.
     """
+    # A stretch none of whose windows has the hash of another is no part of a match between stretches.
+    single = {i for i, same in enumerate(_share_a_window([r[5] for r in rows], depth)) if not same}
+    whole = [(*r[:2], *r[3:5], [(0, len(r[5]))], []) for i, r in enumerate(rows) if i in single and r[2] > 1]
+    rows = [r for i, r in enumerate(rows) if i not in single]
+    if not rows:
+        return whole
     raw = [r[5] for r in rows]
     sizes = np.array([len(b) for b in raw])
     windows = sizes - depth + 1
@@ -183,18 +190,52 @@ def match(rows: list[tuple], depth: int) -> list[tuple]:
     following[order[:-1]] = equal
     repeated = previous | following | (np.array([r[2] for r in rows]) > 1)[owner]
     ends = np.cumsum(windows)
-    out = []
-    for r, a, b in zip(rows, (ends - windows).tolist(), ends.tolist(), strict=True):
-        if repeated[a:b].any():
-            out.append((*r[:2], *r[3:5], np.packbits(repeated[a:b]).tobytes(), np.packbits(~previous[a:b]).tobytes()))
+    found = zip(rows, _runs(repeated, ends, depth), _runs(previous, ends, depth), strict=True)
+    return whole + [(*r[:2], *r[3:5], runs, rest) for r, runs, rest in found if runs]
+
+
+def _share_a_window(raw: list[bytes], depth: int) -> np.ndarray:
+    """Whether any window of each stretch has the hash of another window of them all."""
+    sizes = np.array([len(b) for b in raw])
+    windows = sizes - depth + 1
+    owner = np.repeat(np.arange(len(raw)), windows)
+    starts = np.arange(len(owner)) + np.repeat(np.cumsum(sizes) - sizes - (np.cumsum(windows) - windows), windows)
+    hashes = stretch_hashes(np.frombuffer(b"".join(raw), np.uint8), starts, starts + depth)
+    _, at, n = np.unique(hashes, return_inverse=True, return_counts=True)
+    return np.bincount(owner[n[at] > 1], minlength=len(raw)) > 0
+
+
+def _runs(flagged: np.ndarray, ends: np.ndarray, depth: int) -> list[list[tuple[int, int]]]:
+    """For each part of the flagged windows, up to its end, the runs of bytes that they cover."""
+    out: list[list[tuple[int, int]]] = [[] for _ in ends]
+    before = np.concatenate(([0], ends[:-1]))
+    opens = flagged.copy()
+    opens[1:] &= ~flagged[:-1]
+    opens[before] = flagged[before]
+    closes = flagged.copy()
+    closes[:-1] &= ~flagged[1:]
+    closes[ends - 1] = flagged[ends - 1]
+    lo, hi = np.flatnonzero(opens), np.flatnonzero(closes)
+    part = np.searchsorted(ends, lo, side="right")
+    for k, a, b in zip(part.tolist(), (lo - before[part]).tolist(), (hi - before[part] + depth).tolist(), strict=True):
+        out[k].append((a, b))
     return out
 
 
-_FLAGS = pa.schema([(c.split()[0], pa.binary() if c.endswith("binary") else pa.int64()) for c in FLAGS.split(", ")])
+_RUN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+_FLAGS = pa.schema([*((c, pa.int64()) for c in ("anchor", "name", "first_id", "first_at")), ("runs", _RUN), ("rest", _RUN)])
 
 
 def _flag_batch(flags: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([f[i] for f in flags], t.type) for i, t in enumerate(_FLAGS)], schema=_FLAGS)
+    plain = [pa.array([f[i] for f in flags], pa.int64()) for i in range(4)]
+    return pa.RecordBatch.from_arrays([*plain, *(_run_array([f[i] for f in flags]) for i in (4, 5))], schema=_FLAGS)
+
+
+def _run_array(lists: list[list[tuple[int, int]]]) -> pa.Array:
+    flat = np.array([x for runs in lists for x in runs], np.int64).reshape(-1, 2)
+    offsets = np.concatenate(([0], np.cumsum([len(runs) for runs in lists]))).astype(np.int32)
+    pairs = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["start", "end"])
+    return pa.ListArray.from_arrays(pa.array(offsets), pairs)
 
 
 def _match_groups(depth: int):
@@ -253,9 +294,11 @@ def _count_windows(stretches: DataFrame, depth: int) -> DataFrame:
             out = []
             for r in batch.to_pylist():
                 bits = np.zeros((2, max(r["offsets"]) + 1), bool)
-                bits[0, r["offsets"]] = True
-                bits[1, r["leads"]] = True
-                out.append((r["anchor"], r["name"], r["first_id"], r["first_at"], *(np.packbits(b).tobytes() for b in bits)))
+                bits[:, r["offsets"]] = True
+                bits[1, r["leads"]] = False
+                end = np.array([bits.shape[1]])
+                runs = (_runs(b, end, depth)[0] for b in bits)
+                out.append((r["anchor"], r["name"], r["first_id"], r["first_at"], *runs))
             yield _flag_batch(out)
 
     one = stretches.groupBy("anchor", "name").agg(
@@ -272,25 +315,6 @@ def _count_windows(stretches: DataFrame, depth: int) -> DataFrame:
     return found.mapInArrow(pack, FLAGS)
 
 
-def _runs(depth: int, keep_first: bool):
-    """Byte runs of the flagged windows of a stretch at a place."""
-
-    @F.arrow_udf("array<struct<start:long,end:long>>")
-    def runs(repeated: pa.Array, leading: pa.Array, leads: pa.Array, at: pa.Array) -> pa.Array:
-        out = []
-        for bits, own, first, a in zip(repeated, leading, leads, at, strict=True):
-            flagged = np.unpackbits(np.frombuffer(bits.as_py(), np.uint8))
-            if keep_first and first.as_py():
-                held = np.unpackbits(np.frombuffer(own.as_py(), np.uint8))
-                flagged &= ~np.pad(held, (0, max(0, len(flagged) - len(held))))[: len(flagged)] & 1
-            edge = np.diff(np.concatenate(([0], flagged, [0])).astype(np.int8))
-            lo, hi = np.flatnonzero(edge == 1) + a.as_py(), np.flatnonzero(edge == -1) + a.as_py() - 1 + depth
-            out.append([{"start": s, "end": e} for s, e in zip(lo.tolist(), hi.tolist(), strict=True)])
-        return pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
-
-    return runs
-
-
 def merged(runs: list[dict]) -> list[tuple[int, int]]:
     """Runs in order, those that touch as one."""
     out: list[tuple[int, int]] = []
@@ -330,7 +354,8 @@ def repeats(df: DataFrame, depth: int = DEPTH, keep: str = "none", key: str = "d
         raise ValueError(f"depth must exceed {GRAM}; keep is none or first")
     docs = _documents(df, key, text)
     found = materialise(docs.select("id", "text").mapInArrow(_find_anchors(depth), "anchor long, id long, pos int"), "anchors")
-    twice = found.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Stored, so that its side of the join is a shuffle of its own and Spark can split a common anchor.
+    twice = materialise(found.groupBy("anchor").count().where("count > 1").select("anchor"), "twice")
     # Places of repeated anchors by id; whether an id has one text or several makes no difference to what is found.
     places = found.join(twice, "anchor").groupBy("id").agg(F.collect_set("pos").alias("places"))
     known = places.withColumnRenamed("id", "key")
@@ -344,9 +369,11 @@ def repeats(df: DataFrame, depth: int = DEPTH, keep: str = "none", key: str = "d
         flags = flags.unionByName(_count_windows(added.join(crowded, "anchor", "left_semi"), depth))
     leads = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("at") == F.col("first_at"))
     at = stretches.where("n is null").select("anchor", "name", "id", "mark", "at").join(flags, ["anchor", "name"])
-    return at.select("id", "mark", _runs(depth, keep == "first")("repeated", "leading", leads, "at").alias("runs")).groupBy(
-        "id", "mark"
-    ).agg(F.flatten(F.collect_set("runs")).alias("runs"))
+    runs = F.when(leads, F.col("rest")).otherwise(F.col("runs")) if keep == "first" else F.col("runs")
+    placed = F.transform(runs, lambda r: F.struct((r["start"] + F.col("at")).alias("start"), (r["end"] + F.col("at")).alias("end")))
+    return at.select("id", "mark", placed.alias("runs")).groupBy("id", "mark").agg(
+        F.flatten(F.collect_set("runs")).alias("runs")
+    )
 
 
 def _documents(df: DataFrame, key: str, text: str) -> DataFrame:
