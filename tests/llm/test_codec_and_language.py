@@ -133,3 +133,44 @@ def test_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     model = language_model.LogBilinear.new(9, rng.normal(size=9))
     assert np.allclose((10 ** model.log10_rows(np.arange(81))).sum(1), 1)
+
+
+def _pairs(k=400, texts=1500):
+    """Words that are all equally frequent, and each of which only its own follows."""
+    rng = np.random.default_rng(1)
+    return [(i, " ".join(f"a{j}x b{j}y" for j in rng.integers(0, k, 20))) for i in range(texts)]
+
+
+def test_language_model_follows_every_word(rows):
+    data = _pairs()
+    got = language_model.score(rows("doc_id long, text string", data), learned_from("doc_id", 5)).collect()
+    text = dict(data)
+    held = [r for r in got if zlib.crc32(str(r["id"]).encode()) % 5 == 1]
+    gain = sum(r["score"] - r["base_score"] for r in held) / sum(r["n_tokens"] for r in held)
+    assert len(held) > 100 and len(text) == len(got)
+    # Half of the words are certain after the one before, a gain of nearly log10(800) each; 253 words are a third.
+    assert gain > 0.9
+
+
+def test_language_model_trains_on_every_token(spark, rows, monkeypatch):
+    table = rows("doc_id long, text string", _pairs(texts=600)).select("text").repartition(5)
+    known = language_model.Vocabulary.of(language_model.count_tokens(table))
+    assert known.total == 600 * 41
+    shared = spark.sparkContext.broadcast(known)
+    noise = (known.mass + 0.5) / (known.mass + 0.5).sum()
+    model = language_model.LogBilinear.new(known.size, np.log(noise))
+    for least, times in ((1, 1), (2 * known.total, language_model.ROUNDS)):  # many tokens and few
+        monkeypatch.setattr(language_model, "LEAST_DRAWS", least)
+        seen = 0
+        for step in range(language_model.ROUNDS):
+            moved = language_model.moves(table, shared, model, noise, step)
+            seen += sum(r["n"] for r in moved.select("trainer", "n").distinct().collect())
+        assert seen == times * known.total
+
+
+def test_weights_of_two_levels_are_those_scored():
+    rng = np.random.default_rng(0)
+    model = language_model.LogBilinear.new(90, rng.normal(size=90))
+    two, one, target = rng.integers(0, 90, 500), rng.integers(0, 90, 500), rng.integers(1, 90, 500)
+    want = model.log10_rows(two * 90 + one)[np.arange(500), target]
+    assert np.allclose(model.scorer()(two, one, target), want, atol=1e-4)
