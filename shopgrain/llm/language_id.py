@@ -3,10 +3,10 @@
 A text's vector holds its one- to three-letter grams (lower case, other signs as one blank), hashed to
 ``DIMS`` places, weighted by (1 + log tf) * idf and normalised. Each language has up to ``CENTROIDS``
 centroids from spherical k-means; the language of the most similar centroid wins. A text whose
-cosine lies far below what texts of its length had in training is rejected.
+cosine lies far below what texts of its language and length had in training is rejected.
 
-Document frequencies and language sizes come from all labelled rows. Only the clustering and the
-rejection limits use a sample: about ``sample`` rows a language, chosen by a hash of the id.
+Document frequencies, language sizes and rejection limits come from all labelled rows. Only the clustering
+uses a sample: about ``sample`` rows a language, chosen by a hash of the id.
 
 Defined results: null text or one without a letter is ``und`` with score 0 and rejected; nothing learned
 gives ``und`` everywhere; ties go to the language that sorts first; repeated rows give repeated results;
@@ -16,7 +16,8 @@ other columns are kept. Texts are read whole.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections import Counter
+from dataclasses import dataclass, replace
 from functools import cache
 
 import numpy as np
@@ -29,8 +30,10 @@ from shopgrain.llm.common import free_name, slices
 DIMS, CENTROIDS, ROUNDS = 4096, 6, 12
 SAMPLE = 1500
 UNKNOWN = "und"
-#: Of the lowest cosine seen in training at a length, what a text must reach to be accepted.
+#: Of a low quantile of the cosines seen in training, what a text must reach to be accepted.
 SLACK = 0.6
+#: That quantile, rows below which there is none but the least, rows a limit should rest on, steps of a cosine.
+LOW, FEW, ENOUGH, STEPS = 0.005, 20, 200, 1000
 _BATCH_BYTES = 2 << 20
 
 
@@ -92,11 +95,12 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray
     languages: tuple[str, ...]
-    lowest: dict[int, float]  # by log2 of a text's grams: the cosine below which it is rejected
+    lowest: dict[tuple[str, int], float]  # by language and log2 of a text's grams: a lower cosine is rejected
 
-    def limit(self, size: int) -> float:
+    def limit(self, lang: str, size: int) -> float:
         """That of the nearest length in training that is no longer; texts shorter than all are accepted."""
-        return self.lowest.get(max((s for s in self.lowest if s <= size), default=-1), 0.0)
+        near = max((z for l, z in self.lowest if l == lang and z <= size), default=-1)
+        return self.lowest.get((lang, near), 0.0)
 
     def predict(self, texts: list[str | None]) -> list[dict]:
         x, sizes = vectors(texts, self.idf)
@@ -104,11 +108,11 @@ class Model:
             return [{"lang": UNKNOWN, "score": 0.0, "rejected": True}] * len(texts)
         cosine = x @ self.centroids.T
         best = cosine.argmax(1)
-        out = []
+        out, limit = [], cache(self.limit)
         for i, size in enumerate(sizes):
             s = float(min(1.0, max(0.0, cosine[i, best[i]])))
             out.append(
-                {"lang": self.languages[best[i]], "score": s, "rejected": s < self.limit(int(size))}
+                {"lang": (lang := self.languages[best[i]]), "score": s, "rejected": s < limit(lang, int(size))}
                 if size >= 0 else {"lang": UNKNOWN, "score": 0.0, "rejected": True}
             )
         return out
@@ -129,14 +133,50 @@ def fit(df: DataFrame, learn: Column, text: str = "text", lang: str = "lang", ke
     learned = _clusters(sampled, idf, sample).collect()
     learned.sort(key=lambda r: r["lang"])
     centroids = [np.frombuffer(r["centroids"], np.float32).reshape(-1, DIMS) for r in learned]
-    lowest: dict[int, float] = {}
-    for r in learned:
-        for size, cosine in r["lowest"].items():
-            lowest[size] = min(lowest.get(size, 1.0), cosine * SLACK)
-    return Model(
+    model = Model(
         idf, np.concatenate(centroids) if centroids else np.zeros((0, DIMS), np.float32),
-        tuple(r["lang"] for r, c in zip(learned, centroids, strict=True) for _ in c), lowest,
+        tuple(r["lang"] for r, c in zip(learned, centroids, strict=True) for _ in c), {},
     )
+    return replace(model, lowest=_limits(rows, model)) if centroids else model
+
+
+def _limits(rows: DataFrame, model: Model) -> dict[tuple[str, int], float]:
+    """From the cosines of all rows, by the language predicted and length; they are counted in the tasks."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def count(batches):
+        m, held = shared.value, Counter()
+        for batch in batches:
+            for part in slices(batch["text"], _BATCH_BYTES):
+                for i in range(0, len(part), 512):
+                    x, sizes = vectors(part[i : i + 512].to_pylist(), m.idf)
+                    cosine = x @ m.centroids.T
+                    best = cosine.argmax(1)
+                    step = (cosine[np.arange(len(x)), best].clip(0, 1) * STEPS).astype(int)
+                    held.update((m.languages[j], z, c) for j, z, c in zip(best, sizes.tolist(), step.tolist()) if z >= 0)
+        lang, size, step = zip(*held, strict=True) if held else ((), (), ())
+        yield pa.RecordBatch.from_pydict(
+            {"lang": lang, "size": size, "step": step, "n": list(held.values())},
+            pa.schema([("lang", pa.string()), ("size", pa.int32()), ("step", pa.int32()), ("n", pa.int64())]),
+        )
+
+    counts = rows.select("text").mapInArrow(count, "lang string, size int, step int, n long")
+    found: dict[str, dict[int, np.ndarray]] = {}
+    for r in counts.groupBy("lang", "size", "step").agg(F.sum("n").alias("n")).collect():  # languages x 64 x STEPS at most
+        found.setdefault(r["lang"], {}).setdefault(r["size"], np.zeros(STEPS + 1, np.int64))[r["step"]] = r["n"]
+    return {(lang, size): SLACK * low(by, size) for lang, by in found.items() for size in by}
+
+
+def low(by: dict[int, np.ndarray], size: int) -> float:
+    """A low quantile of the cosines at a length; of few rows also those of shorter, then longer texts count."""
+    pooled = np.zeros(STEPS + 1, np.int64)
+    for z in (*sorted((z for z in by if z <= size), reverse=True), *sorted(z for z in by if z > size)):
+        pooled = pooled + by[z]
+        if pooled.sum() >= ENOUGH:
+            break
+    n = int(pooled.sum())
+    skipped = math.ceil(LOW * n) if n >= FEW else 0
+    return int(np.searchsorted(np.cumsum(pooled), skipped, side="right")) / STEPS
 
 
 def _statistics(rows: DataFrame) -> tuple[int, np.ndarray, dict[str, int]]:
@@ -167,7 +207,7 @@ def _statistics(rows: DataFrame) -> tuple[int, np.ndarray, dict[str, int]]:
 
 
 def _clusters(sampled: DataFrame, idf: np.ndarray, sample: int) -> DataFrame:
-    """For each language its centroids and the lowest cosine of its texts at each length."""
+    """For each language its centroids."""
 
     def sparse(batches):
         for batch in batches:
@@ -181,22 +221,19 @@ def _clusters(sampled: DataFrame, idf: np.ndarray, sample: int) -> DataFrame:
                         )
 
     def cluster(key, rows):
-        x, sizes = np.zeros((len(rows), DIMS), np.float32), np.zeros(len(rows), int)
+        x = np.zeros((len(rows), DIMS), np.float32)
         for i, packed in enumerate(sorted(rows["counts"].to_pylist())):
             at, n = _unpack(packed)
             x[i, at] = (1 + np.log(n)) * idf[at]
             x[i] /= max(np.linalg.norm(x[i]), 1e-12)
-            sizes[i] = int(n.sum()).bit_length()
         centre = spherical_means(x, CENTROIDS)
-        best = (x @ centre.T).max(1)
-        lowest = [(int(s), float(best[sizes == s].min())) for s in np.unique(sizes)]
         return pa.table(
-            {"lang": [key[0].as_py()], "centroids": [centre.astype(np.float32).tobytes()], "lowest": [lowest]},
-            pa.schema([("lang", pa.string()), ("centroids", pa.binary()), ("lowest", pa.map_(pa.int32(), pa.float64()))]),
+            {"lang": [key[0].as_py()], "centroids": [centre.astype(np.float32).tobytes()]},
+            pa.schema([("lang", pa.string()), ("centroids", pa.binary())]),
         )
 
     counted = sampled.select("lang", "text").mapInArrow(sparse, "lang string, counts binary")
-    return counted.groupBy("lang").applyInArrow(cluster, "lang string, centroids binary, lowest map<int,double>")
+    return counted.groupBy("lang").applyInArrow(cluster, "lang string, centroids binary")
 
 
 def _pack(at: np.ndarray, n: np.ndarray) -> bytes:

@@ -13,6 +13,7 @@ import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from shopgrain.llm import language_id, language_model, queries, sentencepiece_codec
 from shopgrain.llm.common import learned_from
@@ -81,6 +82,41 @@ def test_language_edge_rows(spark, rows):
     assert language_id.identify(table.limit(0), model).count() == 0
 
 
+def test_a_language_that_was_not_learned_is_rejected(spark, sf_dir):
+    sf_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.01")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("lang IS NOT NULL AND n_chars > 200")
+    for unlearned in ("de", "es", "fr"):
+        model = language_id.fit(docs.where(f"lang <> '{unlearned}'"), learned_from("doc_id", 3))
+        got = language_id.identify(docs, model).groupBy((docs.lang == unlearned).alias("new")).agg(
+            F.avg(F.col("language.rejected").cast("int")).alias("share")
+        )
+        share = {r["new"]: r["share"] for r in got.collect()}
+        assert share[True] > 0.9 and share[False] <= 0.01
+
+
+def test_a_few_odd_texts_do_not_let_all_pass(rows):
+    rng = np.random.default_rng(3)
+    usual = "the and with that from have this which would their there about other could water people".split()
+    data = [(i, " ".join(rng.choice(usual, 12)), "en") for i in range(3000)]
+    odd = ["".join(chr(0x4E00 + 100 * k + i) for i in range(70)) for k in range(12)]  # no gram in common
+    data += [(3000 + i, t, "en") for i, t in enumerate(odd)]
+    new = [(4000, "hyvää päivää kuinka voitte tänään olemme menossa kylään syömään kalaa", None)]
+    model = language_id.fit(rows("doc_id long, text string, lang string", data), F.lit(True), sample=5000)
+    got = language_id.identify(rows("doc_id long, text string, lang string", new + data[:50]), model).collect()
+    assert [r["doc_id"] for r in got if r["language"]["rejected"]] == [4000]
+
+
+def test_limits_rest_on_all_rows_and_not_on_one():
+    def by(**cosines):
+        return {int(z[1:]): np.bincount((np.array(c) * language_id.STEPS).astype(int), minlength=language_id.STEPS + 1) for z, c in cosines.items()}
+
+    usual = [0.5 + i / 1000 for i in range(300)]
+    assert language_id.low(by(z9=usual), 9) >= 0.5
+    assert language_id.low(by(z9=[*usual, 0.01]), 9) >= 0.5  # one odd text
+    assert 0.5 <= language_id.low(by(z9=usual, z10=[0.95]), 10) < 0.51  # a length with one text
+    assert language_id.low(by(z9=[0.4] * 5), 9) == pytest.approx(0.4)
+
+
 def _tokens(text):
     low = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
     return [w.decode() for w in low.encode().split()] + [""]
