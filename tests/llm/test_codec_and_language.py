@@ -104,6 +104,7 @@ def test_a_few_odd_texts_do_not_let_all_pass(rows):
     model = language_id.fit(rows("doc_id long, text string, lang string", data), F.lit(True), sample=5000)
     got = language_id.identify(rows("doc_id long, text string, lang string", new + data[:50]), model).collect()
     assert [r["doc_id"] for r in got if r["language"]["rejected"]] == [4000]
+    assert min(model.lowest.values()) > 0.3
 
 
 def test_limits_rest_on_all_rows_and_not_on_one():
