@@ -307,9 +307,6 @@ def _(v: Views):
     return rows.select("product_id", "product_name", "source", "category", "price", "rating")
 
 
-_EVENTS = ["click", "error", "purchase", "signup", "view"]
-
-
 @query("unpivot_trends", """
 SELECT strftime(date, '%Y-%m-%d') AS date, category AS keyword, search_interest FROM (
  SELECT d.date, k.category, sum(demand) FILTER (e.category = k.category) AS search_interest
@@ -318,7 +315,7 @@ SELECT strftime(date, '%Y-%m-%d') AS date, category AS keyword, search_interest
 def _(v: Views):
     wide = (
         v.event_demand.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
-        .groupBy("date").pivot("category", _EVENTS).agg(F.sum("demand"))
+        .groupBy("date").pivot("category").agg(F.sum("demand"))
         .withColumn("isPartial", F.lit(False))
     )
     return files.unpivot_trends(wide)

@@ -176,4 +176,5 @@ def write_vectors(df: DataFrame, path: str, key: str, vector: str = "vector") ->
 def unpivot_trends(df: DataFrame, date: str = "date", flag: str = "isPartial") -> DataFrame:
     """One column per keyword to (date, keyword, search_interest)."""
     wide = df.drop(flag)
-    return wide.unpivot([date], [c for c in wide.columns if c != date], "keyword", "search_interest")
+    keywords = [F.col("`" + c.replace("`", "``") + "`") for c in wide.columns if c != date]
+    return wide.unpivot([date], keywords, "keyword", "search_interest")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopgrain.operators import cleaning
+from shopgrain.plans import all_queries
 from shopgrain.sources import files
 from shopgrain.streaming import streams
 
@@ -136,3 +137,12 @@ def test_stream_dedup(spark, tmp_path):
     source = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
     streams.run_once(streams.stream_dedup(source, "k", "ts", "1 hour"), str(tmp_path / "out"), str(tmp_path / "cp"))
     assert sorted(r["k"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
+
+
+def test_trends_have_every_event_type(spark, tmp_path):
+    rows = spark.createDataFrame([("2024-01-01 10:00:00", "view"), ("2024-01-02 10:00:00", "refund"),
+                                  ("2024-01-02 11:00:00", "part.return")], "ts string, event_type string")
+    rows.selectExpr("CAST(ts AS TIMESTAMP_NTZ) AS ts", "event_type").write.parquet(f"{tmp_path}/events.parquet")
+    got = all_queries.QUERIES["unpivot_trends"](spark, str(tmp_path)).where("search_interest > 0").collect()
+    assert sorted((r["date"], r["keyword"]) for r in got) == [
+        ("2024-01-01", "view"), ("2024-01-02", "part.return"), ("2024-01-02", "refund")]
