@@ -1,15 +1,17 @@
 """Rule-based sentiment with a lexicon table.
 
 The lexicon is a DataFrame ``(word, valence)``, so its size is free. One of up to
-``FILTER_WORDS`` words is looked up inside each row, without a shuffle. Tokens meet a larger
-one in a join that drops all other words at once; only sentiment words reach the aggregate,
+``FILTER_WORDS`` words travels with the tasks and is looked up inside each row, without a shuffle.
+Tokens meet a larger one in a join that drops all other words at once; only sentiment words reach the aggregate,
 never whole texts.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -125,33 +127,67 @@ def token_valences(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> Da
     return hits.select(key, "pos", _valence().alias("valence"))
 
 
-def _sums_in_row(df: DataFrame, text: str, kept: Sequence[str], known: Mapping[str, float]) -> DataFrame:
-    """Sums over the sentiment words of each row, beside its ``kept`` columns."""
-    words_, valences = list(known), [float(known[w]) for w in known]
-    table = F.map_from_arrays(F.lit(words_), F.lit(valences)) if known else F.create_map().cast("map<string,double>")
-    rows = df.withColumn("_t", sentiment_tokens(F.coalesce(F.col(text), F.lit(""))))
-    rows = rows.withColumn("_but", F.array_position("_t", "but"))
+SUMS = "n int, total double, positive double, negative double, hits int"
 
-    def word(i: Column) -> Column:
-        return F.when(i >= 0, F.get(F.col("_t"), i))
 
-    def value(i: Column) -> Column:
-        return _moved(F.element_at(table, word(i)), [word(i - n) for n in (1, 2, 3)], i + 1, F.col("_but"))
+def _scorer(known: Mapping[str, float]):
+    """Sums over the sentiment words of a text, as one opaque value per row.
 
-    spots = F.when(F.size("_t") > 0, F.sequence(F.lit(0), F.size("_t") - 1))
-    spots = F.filter(spots, lambda i: F.get(F.col("_t"), i).isin(words_) if known else F.lit(False))
-    rows = rows.withColumn("_v", F.coalesce(F.transform(spots, value), F.array().cast("array<double>")))
+    The rules read every word next to the three before it, so as columns they become a tree that
+    each use copies: a filter on any column derived from it made plans of millions of signs. One
+    Arrow UDF keeps plans small, and as it counts as nondeterministic Spark computes it once per row
+    and moves no filter through it. The lexicon travels with the tasks, not in the plan.
+    """
+    negations, up, down = frozenset(D.NEGATIONS), frozenset(D.INTENSIFIERS), frozenset(D.DAMPENERS)
+    damping, degree, turned = DAMPING, DEGREE, NEGATED
+    valences = {w: float(v) for w, v in known.items() if v is not None}
+    fields = [f.split()[0] for f in SUMS.split(", ")]
+
+    def sums(text: str | None) -> tuple:
+        bare = (w.strip(".,!?") for w in re.split("[ \t\n\x0b\f\r]+", text or ""))
+        tokens = [w for w in bare if len(w) > 1]
+        but = tokens.index("but") if "but" in tokens else -1
+        total, positive, negative, hits, found = 0.0, 0.0, 0.0, 0, False
+        for i, word in enumerate(tokens):
+            valence = valences.get(word)
+            if valence is None:
+                continue
+            found, value, sign = True, valence, (valence > 0) - (valence < 0)
+            for back, damp in enumerate(damping, start=1):
+                if back > i:
+                    break
+                near = tokens[i - back]
+                if near in up:
+                    value += sign * degree * damp
+                elif near in down:
+                    value -= sign * degree * damp
+                if near in negations:
+                    value *= turned
+            if but >= 0 and i != but:
+                value *= 0.5 if i < but else 1.5
+            total += value
+            if value > 0:
+                positive += value + 1
+            elif value < 0:
+                negative += 1 - value
+            hits += value != 0
+        return len(tokens), total if found else None, positive, negative, hits
+
+    @F.pandas_udf(SUMS)
+    def score(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([sums(t) for t in texts], columns=fields)
+
+    return score.asNondeterministic()
 
-    def total(term) -> Column:
-        return F.aggregate("_v", F.lit(0.0), lambda a, v: a + term(v))
 
+def _sums_in_row(df: DataFrame, text: str, kept: Sequence[str], known: Mapping[str, float]) -> DataFrame:
+    """Sums over the sentiment words of each row, beside its ``kept`` columns."""
+    rows = df.withColumn("_s", _scorer(known)(F.col(text)))
     return rows.select(
         *kept,
-        F.struct(F.size("_t").alias("n"), *_base(F.col(text))).alias("_base"),
-        F.when(F.size("_v") > 0, total(lambda v: v)).alias("_sum"),
-        total(lambda v: F.when(v > 0, v + 1).otherwise(0.0)).alias("_pos"),
-        total(lambda v: F.when(v < 0, 1 - v).otherwise(0.0)).alias("_neg"),
-        F.size(F.filter("_v", lambda v: v != 0)).alias("_hits"),
+        F.struct(F.col("_s.n"), *_base(F.col(text))).alias("_base"),
+        F.col("_s.total").alias("_sum"), F.col("_s.positive").alias("_pos"),
+        F.col("_s.negative").alias("_neg"), F.col("_s.hits").alias("_hits"),
     )
 
 

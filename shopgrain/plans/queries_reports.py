@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from shopgrain.functions import dictionaries as D
 from shopgrain.operators import reports
+from shopgrain.operators.checkpoints import new_path
 from shopgrain.plans.registry import query
 from shopgrain.plans.views import Views
+from shopgrain.sources import files
 
 
 @query("value_counts", """
@@ -150,8 +152,10 @@ def _(v: Views):
 
 
 @query("write_high_risk", """
-SELECT product_id, product_risk_tier FROM enriched WHERE product_risk_tier = 'High Risk'""", ["enriched"])
+SELECT product_id, sentiment_label, product_risk_tier FROM enriched WHERE product_risk_tier = 'High Risk'""", ["enriched"])
 def _(v: Views):
-    return v.enriched.where(F.col("product_risk_tier") == "High Risk").select("product_id", "product_risk_tier")
-
-
+    """The enriched table is published by risk tier; reading the high-risk slice opens its folder alone."""
+    path = new_path(v.spark, "enriched")
+    files.publish(v.enriched, path, ["product_risk_tier"])
+    slice_ = files.published(v.spark, path).where(F.col("product_risk_tier") == "High Risk")
+    return slice_.select("product_id", "sentiment_label", "product_risk_tier")

@@ -133,9 +133,8 @@ def _(v: Views):
 SELECT product_id, product_name, sentiment_compound, sentiment_label
 FROM reviews JOIN labelled USING (product_id)""", ["reviews", "labelled"])
 def _(v: Views):
-    base = v.reviews.select("product_id", "product_name")
-    scores = v.sentiment.select("product_id", "sentiment_compound", "sentiment_label")
-    return sentiment.attach(base, scores, "product_id")
+    scored = sentiment.sentiment(v.cleaned, "product_id", "combined_text", v.lexicon, carry=["product_name"])
+    return scored.select("product_id", "product_name", "sentiment_compound", "sentiment_label")
 
 
 @query("content_text", """
@@ -166,9 +165,10 @@ def _(v: Views):
         "product_id", "product_name", F.col("predicted_category").alias("category"),
         F.col("brand_extracted").alias("brand"), F.col("price_mentioned").alias("price"), "rating",
         F.col("word_count").alias("review_count"), F.col("features_mentioned").alias("features"),
-        F.col("clean_review").alias("review_text"),
+        F.col("clean_review").alias("review_text"), "combined_text",
     )
-    rows = sentiment.attach(base, v.sentiment.select("product_id", "sentiment_label"), "product_id")
+    carry = [c for c in base.columns if c not in ("product_id", "combined_text")]
+    rows = sentiment.sentiment(base, "product_id", "combined_text", v.lexicon, carry)
     return search.product_document(rows).select("product_id", "document")
 
 

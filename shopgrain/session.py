@@ -9,7 +9,7 @@ def local_session(cores: int = 8, partitions: int = 8, **extra: str) -> SparkSes
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName("shopgrain")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "12g")
+        .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")

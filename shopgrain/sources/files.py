@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -163,9 +164,83 @@ def write_table(
         raise ValueError("fmt is 'parquet' or 'csv'")
 
 
-def write_slice(df: DataFrame, test: Column, path: str) -> None:
-    """Write only the rows that pass the test."""
-    write_table(df.where(test), path)
+#: Name of the file that says which version of a published table is current.
+POINTER = "_CURRENT"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """A path and the file system that holds it, wherever that is."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+    """Write df as a new version of the table at ``path``, then make it the current one; returns its folder.
+
+    The version is written whole beside the earlier ones. Readers see it only after the pointer file is
+    replaced, which is one rename, so a run that is interrupted leaves the earlier table as it was, and a
+    second run replaces the first. Earlier versions stay for readers that are under way; ``drop_versions``
+    removes them.
+    """
+    spark = df.sparkSession
+    version = f"v-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(f"{path}/{version}")
+    pointer, system = _hadoop(spark, f"{path}/{POINTER}")
+    staged, _ = _hadoop(spark, f"{path}/{POINTER}-{version}")
+    out = system.create(staged, True)
+    out.write(bytearray(version, "ascii"))
+    out.close()
+    jvm = spark.sparkContext._jvm
+    overwrite = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    kinds = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    kinds[0] = overwrite
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        system.makeQualified(pointer).toUri(), spark.sparkContext._jsc.hadoopConfiguration()
+    )
+    context.rename(system.makeQualified(staged), system.makeQualified(pointer), kinds)
+    return f"{path}/{version}"
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Folder of the current version of a published table; none if nothing was published."""
+    pointer, system = _hadoop(spark, f"{path}/{POINTER}")
+    if not system.exists(pointer):
+        return None
+    source = system.open(pointer)
+    version = "".join(chr(source.read()) for _ in range(system.getFileStatus(pointer).getLen()))
+    source.close()
+    return f"{path}/{version}"
+
+
+def published(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The current version of a published table; filters on its partition columns prune folders."""
+    folder = current_version(spark, path)
+    if folder is None:
+        raise FileNotFoundError(f"nothing is published at {path}")
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(folder)
+
+
+def drop_versions(spark: SparkSession, path: str) -> int:
+    """Remove all versions but the current one; returns how many went."""
+    folder, system = _hadoop(spark, path)
+    current = current_version(spark, path)
+    old = [
+        s.getPath() for s in system.listStatus(folder)
+        if s.getPath().getName().startswith("v-") and current and not current.endswith(s.getPath().getName())
+    ]
+    return sum(bool(system.delete(p, True)) for p in old)
+
+
+def replace_slices(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace only those slices of a partitioned table that df has rows of; the other slices stay."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
+
+
+def write_slice(df: DataFrame, test: Column, path: str) -> DataFrame:
+    """Publish the rows that pass the test as a table of their own and read them back."""
+    publish(df.where(test), path)
+    return published(df.sparkSession, path, df.schema)
 
 
 def write_vectors(df: DataFrame, path: str, key: str, vector: str = "vector") -> None:
