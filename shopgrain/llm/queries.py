@@ -13,6 +13,7 @@ from shopgrain.llm import (
     embedding_dedup,
     language_id,
     language_model,
+    periodic_runs,
     pii,
     prefix_trie,
     secret_scan,
@@ -173,6 +174,35 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def looped(docs: DataFrame) -> DataFrame:
+    """Documents whose number's checksum ends in 0 repeat a part of their words to the end, as the contract derives them."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split(text_or_empty("text"), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    changed = F.coalesce(h % 10 == 0, F.lit(False))
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(changed, words).alias("w"))
+    rows = rows.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    a, n, w = F.col("a"), F.col("n"), F.col("w")
+    p = 1 + F.floor((n - a) / (3 + F.col("g") % 8))
+    again = F.transform(w, lambda x, i: F.when(i < a, x).otherwise(F.get(w, (a + (i - a) % p).cast("int"))))
+    return rows.select("doc_id", F.when(n > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(looped(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    # The greatest length / period by cross products; the first of equals stays.
+    best = F.aggregate(
+        "runs", F.get("runs", F.lit(0)),
+        lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b),
+    )
+    rows = found.select("doc_id", "runs", best.alias("best"), lines.alias("lines"), "collapsed")
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join("lines", ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Conversations that share first turns, as the contract derives them; and the ids of all."""
     known = conversations.where(F.col("conv_id").isNotNull())
@@ -242,6 +272,6 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_containment, op3_pii, op4_suffixes, op5_embeddings, op6_simhash, op7_sentencepiece, op8_language, op9_language_model, op10_secrets, op12_prefix_trie, op13_packing)
+    f.__name__: f for f in (op1_warc, op2_containment, op3_pii, op4_suffixes, op5_embeddings, op6_simhash, op7_sentencepiece, op8_language, op9_language_model, op10_secrets, op11_runs, op12_prefix_trie, op13_packing)
 }
 ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op2_containment": OP2_SQL, "op5_embeddings": OP5_SQL, "op12_prefix_trie": OP12_SQL}

@@ -231,7 +231,8 @@ def plan(lengths: Sequence[int], counts: Sequence[int], capacity: Capacity) -> n
                 many[g] -= n
                 slot = g if many[g] == 0 else groups
             else:
-                n, start, left, slot = count - rank, sequences, whole, groups
+                # As many as the rest of this length needs; the next step goes on filling them.
+                n, start, left, slot = -(-(count - rank) // int((whole // need).min())), sequences, whole, groups
                 sequences += n
             steps.append((length, rank, start, capacity.tokens - int(left[0]), n))
             if slot == groups:
