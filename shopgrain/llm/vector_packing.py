@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -36,16 +37,32 @@ from tokenizers import Tokenizer
 from shopgrain.llm.common import columns_of, free_name, slices, text_or_empty
 from shopgrain.operators.checkpoints import materialise
 
-#: Text per table of words; words and parts of words kept from one table for the next.
-BATCH_BYTES, KEPT_WORDS = 1 << 20, 200_000
-_SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+#: Text per table of words, and words kept from one table for the next (as many again are kept if asked for lately).
+BATCH_BYTES, KEPT_WORDS = 2 << 20, 150_000
 
 # The normaliser and splitter that the short way for plain words stands for.
 _PLAIN_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 _PLAIN_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-#: The same splitter for lower-case words of printable ASCII and the letters and signs from U+00C0 to U+00FF.
-_PLAIN_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
-_PLAIN_WORD = re.compile("[!-~À-ÿ]+")
+
+#: What a byte is: white space, a letter, a digit, another sign, or none that the short way takes.
+_BLANK, _LETTER, _DIGIT, _SIGN, _OTHER = range(5)
+_LEAD = 0xC3  # first byte of the signs from U+00C0 to U+00FF; the second byte tells them apart
+
+
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """Kinds of the bytes of ASCII, and of the second bytes after ``_LEAD``.
+
+    An apostrophe may start a contraction and "<" an added token, so words with them are not plain.
+    """
+    one, two = np.full(256, _OTHER, np.uint8), np.full(256, _OTHER, np.uint8)
+    one[33:127] = _SIGN
+    for first, last in ((48, 58), (65, 91), (97, 123)):
+        one[first:last] = _DIGIT if first == 48 else _LETTER
+    one[[39, 60]] = _OTHER
+    one[[32, 9, 10, 11, 12, 13]] = _BLANK
+    two[0x80:0xC0] = _LETTER
+    two[[0x97, 0xB7]] = _SIGN  # the signs of multiplication and division
+    return one, two
 
 
 def _byte_signs() -> dict[int, str]:
@@ -59,8 +76,9 @@ class WordIds:
     """Token ids of words, worked out once each.
 
     White space is dropped by the tokenizer and no token reaches over it, so a text's ids are those of its
-    words. For words of plain signs the library's merges are asked directly, part by part; all others,
-    and words of tokenizers with another normaliser or splitter, go through the whole library.
+    words. Words of plain signs are cut into runs of letters, single digits and runs of signs, as the splitter
+    does, and the library's merges are asked for each run; all others, and words of tokenizers with another
+    normaliser or splitter, go through the whole library.
     """
 
     def __init__(self, file: str):
@@ -70,46 +88,44 @@ class WordIds:
         split, *rest = (said.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         if split.get("type") != "Split" or not split.get("invert") or "\\s" not in json.dumps(split["pattern"]):
             raise ValueError("this tokenizer does not drop white space; words can't be encoded alone")
-        self.special = [t["content"] for t in said.get("added_tokens", ())]
-        if any(re.search(r"\s", t) for t in self.special):
+        special = [t["content"] for t in said.get("added_tokens", ())]
+        if any(re.search(r"\s", t) for t in special):
             raise ValueError("an added token of this tokenizer holds white space")
-        self.plain = (
+        plain = (
             (said.get("normalizer") or {}).get("normalizers") == _PLAIN_NORMALIZER
             and split["pattern"] == {"Regex": _PLAIN_SPLIT}
             and [r["type"] for r in rest] == ["ByteLevel"] and not rest[0]["use_regex"]
             and not rest[0]["add_prefix_space"] and not said["model"].get("dropout")
+            and all("<" in t for t in special)
         )
+        self.one, self.two = _kinds()
+        if not plain:
+            self.one[self.one != _BLANK] = _OTHER
         self.signs = _byte_signs()
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _part(self, part: str) -> bytes:
-        known = self.parts.get(part)
-        if known is None:
-            spelt = part.encode().decode("latin-1").translate(self.signs)
-            known = np.array([t.id for t in self.tokenizer.model.tokenize(spelt)], "<u4").tobytes()
-            self.parts[part] = known
-        return known
-
-    def ids(self, words: Sequence[bytes]) -> list[bytes]:
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def ids(self, words: Sequence[bytes], plain: Sequence[bool]) -> list[bytes]:
         """Of each word the ids, four bytes each, little end first."""
-        for kept in (self.words, self.parts):
-            if len(kept) > KEPT_WORDS:
-                kept.clear()
-        slow = []
-        for word in words:
-            if word in self.words:
+        if len(self.new) > KEPT_WORDS:
+            self.new, self.old = {}, self.new
+        known, slow = self.new, []
+        tokenize = self.tokenizer.model.tokenize
+        for word, short in zip(words, plain, strict=True):
+            if word in known:
                 continue
-            text = word.decode()
-            bare = text.strip(" \t\n\x0b\f\r")
-            if self.plain and _PLAIN_WORD.fullmatch(bare) and not any(s in bare for s in self.special):
-                self.words[word] = b"".join(map(self._part, _PLAIN_PARTS.findall(bare.lower())))
+            if word in self.old:
+                known[word] = self.old[word]
+            elif short:
+                spelt = word.decode("latin-1")
+                codes = [t.id for t in tokenize(spelt if word.isascii() else spelt.translate(self.signs))]
+                known[word] = struct.pack(f"<{len(codes)}I", *codes)
             else:
-                slow.append((word, text))
-        coded = self.tokenizer.encode_batch_fast([t for _, t in slow], add_special_tokens=False) if slow else []
-        for (word, _), code in zip(slow, coded, strict=True):
-            self.words[word] = np.array(code.ids, "<u4").tobytes()
-        return [self.words[w] for w in words]
+                slow.append(word)
+        coded = self.tokenizer.encode_batch_fast([w.decode() for w in slow], add_special_tokens=False) if slow else []
+        for word, code in zip(slow, coded, strict=True):
+            known[word] = struct.pack(f"<{len(code.ids)}I", *code.ids)
+        return [known[w] for w in words]
 
 
 @lru_cache(maxsize=2)
@@ -121,17 +137,46 @@ def token_ids(texts: pa.Array, table: WordIds) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts one after another, and how many each text has."""
     texts = pa.concat_arrays([texts])
     offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
-    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[: offsets[-1]]
-    space = _SPACE[data]
-    begins = ~space
-    begins[1:] &= space[:-1]
-    begins[offsets[:-1][np.diff(offsets) > 0]] = True
-    starts = np.flatnonzero(begins)
-    words = pa.BinaryArray.from_buffers(
-        pa.binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data)).astype(np.int32)), pa.py_buffer(data)]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    if not len(data):
+        return np.empty(0, "<u4"), np.zeros(len(texts), np.int64)
+    kind = table.one[data]
+    lead = np.flatnonzero(data[:-1] == _LEAD)
+    if (table.one[33:127] != _OTHER).any():
+        kind[lead] = kind[lead + 1] = table.two[data[lead + 1]]
+    second = np.zeros(len(data), bool)
+    second[lead + 1] = True
+    # Words begin after white space and where a text does.
+    blank = kind == _BLANK
+    begins = ~blank
+    begins[1:] &= blank[:-1]
+    at_text = offsets[:-1][np.diff(offsets) > 0]
+    begins[at_text] = ~blank[at_text]
+    words = np.flatnonzero(begins)
+    plain = np.ones(len(words), bool)
+    odd = np.flatnonzero(kind == _OTHER)
+    plain[np.searchsorted(words, odd, side="right") - 1] = False
+    # Parts of plain words begin where the kind changes, and at every digit; other words are one part.
+    of_byte = np.cumsum(begins, dtype=np.int32) - 1
+    free = ~blank
+    free[free] = plain[of_byte[free]]
+    changes = np.ones(len(data), bool)
+    changes[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    starts = np.flatnonzero(begins | (changes & free & ~second))
+    short = plain[of_byte[starts]]
+    small = data.copy()
+    upper = free & (data >= 65) & (data <= 90)
+    upper |= free & second & (data <= 0x9E) & (data != 0x97)
+    small[upper] += 32
+    packed = np.cumsum(~blank, dtype=np.int32)
+    parts = pa.BinaryArray.from_buffers(
+        pa.binary(), len(starts), [None, pa.py_buffer(np.append(packed[starts] - 1, packed[-1]).astype(np.int32)), pa.py_buffer(small[~blank])]
     ).dictionary_encode()
-    coded = table.ids(words.dictionary.to_pylist())
-    at = words.indices.to_numpy()
+    at = parts.indices.to_numpy()
+    flags = np.zeros(len(parts.dictionary), bool)
+    flags[at] = short
+    coded = table.ids(parts.dictionary.to_pylist(), flags.tolist())
     sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
     flat = np.frombuffer(b"".join(coded), "<u4")
     first, long = np.cumsum(sizes) - sizes, sizes[at]
