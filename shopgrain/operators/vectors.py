@@ -1,9 +1,9 @@
 """Exact and approximate nearest neighbours over a table of vectors.
 
-Items stay where they are: each task scores its own batches against a block of query
-vectors with one matrix product and keeps k rows per query, so no pair table exists
-and only k rows per query and task are shuffled. The number of queries is counted
-first; beyond one block the items are read once per block.
+Items and queries meet in cells, in Spark: items are dealt over the rows of a grid and queries
+over its columns, by hash. A cell holds a bounded block of each, whose scores are matrix products;
+it keeps k rows per query, so no pair table exists and only k rows per query and cell go on. Both
+tables are read once, whatever their sizes, and no query passes through the driver.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from pyspark.sql.window import Window
 from shopgrain.operators.checkpoints import materialise
 from shopgrain.operators.ordering import topk
 
-BLOCK = 4096
+#: Queries and items of a cell, and items scored at once.
+BLOCK, ITEM_BLOCK, SLICE = 4096, 16_384, 2048
 
 # The helpers travel with the tasks, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -52,25 +53,29 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return spots[order[:k]]
 
 
-def _blocks(queries: DataFrame, block: int) -> Iterator[list]:
-    """Query rows in driver-sized blocks; the count decides how many there are."""
-    n = queries.count()
-    parts = -(-n // block)
-    if parts <= 1:
-        yield queries.collect()
-        return
-    for part in range(parts):
-        yield queries.where(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part).collect()
+def _paired(queries: DataFrame, items: DataFrame, task, schema: str, block: int) -> DataFrame:
+    """``task(items, queries)`` over all cells; each item meets each query in one cell.
+
+    Sizes are counted first. An item goes to as many cells as there are blocks of queries, a query to as
+    many as there are blocks of items; both ids spread evenly by hash.
+    """
+    across, down = -(-queries.count() // block), -(-items.count() // ITEM_BLOCK)
+    if not across or not down:
+        return items.sparkSession.createDataFrame([], schema)
+    row, col = F.pmod(F.xxhash64("item_id"), F.lit(down)), F.pmod(F.xxhash64("query_id"), F.lit(across))
+    left = items.withColumns({"_row": row, "_col": F.explode(F.sequence(F.lit(0), F.lit(across - 1)))})
+    right = queries.withColumns({"_col": col, "_row": F.explode(F.sequence(F.lit(0), F.lit(down - 1)))})
+    return left.groupBy("_row", "_col").cogroup(right.groupBy("_row", "_col")).applyInArrow(task, schema)
 
 
-def _scorer(rows: list, columns: Sequence[str], k: int, metric: str, sim_weight: float,
+def _scorer(asked: pa.Table, columns: Sequence[str], k: int, metric: str, sim_weight: float,
             other_category: float | None, query_type):
-    """Function from an iterator of item batches to the k best rows per query and task."""
-    qids = [r["query_id"] for r in rows]
-    qvec = np.array([r["vector"] for r in rows], dtype=float)
-    cats = np.array([r["category"] for r in rows], dtype=object) if "category" in rows[0] else None
-    low = np.array([r["low"] for r in rows], dtype=float) if "low" in rows[0] else None
-    high = np.array([r["high"] for r in rows], dtype=float) if "high" in rows[0] else None
+    """Function from an iterator of item batches to the k best rows per query."""
+    qids = asked["query_id"].to_pylist()
+    qvec = _matrix(asked["vector"])
+    cats = asked["category"].to_pylist() if "category" in asked.column_names else None
+    low = asked["low"].to_numpy() if "low" in asked.column_names else None
+    high = asked["high"].to_numpy() if "high" in asked.column_names else None
     place = {q: i for i, q in enumerate(qids)}
     if metric == "cosine":
         qvec = _unit(qvec)
@@ -97,14 +102,14 @@ def _scorer(rows: list, columns: Sequence[str], k: int, metric: str, sim_weight:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            table = {c: batch.column(i) for i, c in enumerate(columns)}
+            table = {c: batch.column(c) for c in columns}
             ids = table["item_id"].to_numpy(zero_copy_only=False)
             scores = score(table)
-            found = table["category"].to_pylist() if cats is not None and "category" in columns else None
+            found = np.array(table["category"].to_pylist(), dtype=object) if cats is not None and "category" in columns else None
             for qi in range(len(qids)):
                 lists = [(0, scores[qi])]
                 if found is not None and cats[qi] is not None:
-                    same = np.array([c == cats[qi] for c in found])
+                    same = np.equal(found, cats[qi]).astype(bool)
                     if other_category is None:
                         lists.append((1, np.where(same, scores[qi], -np.inf)))
                     else:
@@ -147,26 +152,17 @@ def vector_search(
     None restricts to the category, or to nothing when the category has no items.
     Filter ``items`` first for any other condition.
     """
-    spark = items.sparkSession
     columns = items.columns
     query_kind = queries.schema["query_id"].dataType.simpleString()
     item_kind = items.schema["item_id"].dataType.simpleString()
     query_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[query_kind]
     schema = f"query_id {query_kind}, matched int, item_id {item_kind}, raw double"
-    out = None
-    for rows in _blocks(queries, block):
-        if not rows:
-            continue
-        shared = spark.sparkContext.broadcast([r.asDict() for r in rows])
-
-        def task(batches, shared=shared):
-            run = _scorer(shared.value, columns, k, metric, sim_weight, other_category, query_type)
-            return run(batches)
-
-        part = items.mapInArrow(task, schema)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        out = spark.createDataFrame([], schema)
+
+    def task(mine: pa.Table, asked: pa.Table) -> pa.Table:
+        run = _scorer(asked, columns, k, metric, sim_weight, other_category, query_type)
+        return pa.Table.from_batches(list(run(mine.to_batches(max_chunksize=SLICE))))
+
+    out = _paired(queries, items, task, schema, block)
     order = [F.desc(F.round("raw", 6)), F.asc("item_id")]
     # k rows per query and tag first, so the last window sees at most 2k rows per query.
     best = topk(out, ["query_id", "matched"], order, k)
@@ -178,36 +174,23 @@ def vector_search(
 
 def similarity_range(queries: DataFrame, items: DataFrame, block: int = BLOCK) -> DataFrame:
     """queries with ``low`` and ``high``: the smallest and largest dot product with any item."""
-    spark = items.sparkSession
     kind = queries.schema["query_id"].dataType.simpleString()
     query_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    out = None
-    for rows in _blocks(queries.select("query_id", "vector"), block):
-        if not rows:
-            continue
-        shared = spark.sparkContext.broadcast([(r["query_id"], list(r["vector"])) for r in rows])
-
-        def task(batches, shared=shared):
-            ids = [q for q, _ in shared.value]
-            qvec = np.array([v for _, v in shared.value], dtype=float)
-            low = np.full(len(ids), np.inf)
-            high = np.full(len(ids), -np.inf)
-            for batch in batches:
-                if batch.num_rows:
-                    sims = qvec @ _matrix(batch.column(0)).T
-                    low = np.minimum(low, sims.min(axis=1))
-                    high = np.maximum(high, sims.max(axis=1))
-            seen = np.flatnonzero(np.isfinite(low))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[i] for i in seen], query_type),
-                 pa.array(low[seen], pa.float64()), pa.array(high[seen], pa.float64())],
-                names=["query_id", "low", "high"],
-            )
 
-        part = items.select("vector").mapInArrow(task, f"query_id {kind}, low double, high double")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return queries.withColumns({"low": F.lit(0.0), "high": F.lit(0.0)})
+    def task(mine: pa.Table, asked: pa.Table) -> pa.Table:
+        qvec = _matrix(asked["vector"])
+        low, high = np.full(len(qvec), np.inf), np.full(len(qvec), -np.inf)
+        for batch in mine.to_batches(max_chunksize=SLICE):
+            sims = qvec @ _matrix(batch.column("vector")).T
+            low, high = np.minimum(low, sims.min(axis=1, initial=np.inf)), np.maximum(high, sims.max(axis=1, initial=-np.inf))
+        seen = np.isfinite(low)
+        return pa.table({
+            "query_id": asked["query_id"].cast(query_type).filter(pa.array(seen)),
+            "low": low[seen], "high": high[seen],
+        })
+
+    rows = queries.select("query_id", "vector")
+    out = _paired(rows, items.select("item_id", "vector"), task, f"query_id {kind}, low double, high double", block)
     ends = out.groupBy("query_id").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     return queries.join(ends, "query_id")
 

@@ -44,6 +44,25 @@ def test_vector_search_is_exact(spark, data, block, parts):
     assert found(got) == ranked(unit(queries) @ unit(items).T, 7)
 
 
+def test_vector_search_over_a_grid_of_cells(spark, data, monkeypatch):
+    monkeypatch.setattr(vectors, "ITEM_BLOCK", 37)
+    monkeypatch.setattr(vectors, "SLICE", 10)
+    items, queries = data
+    got = vectors.vector_search(table(spark, queries, "query_id"), table(spark, items), 7, block=5)
+    assert found(got) == ranked(unit(queries) @ unit(items).T, 7)
+    ends = vectors.similarity_range(table(spark, queries, "query_id"), table(spark, items), block=5)
+    dots = queries @ items.T
+    rows = sorted((r["query_id"], r["low"], r["high"]) for r in ends.collect())
+    assert [r[0] for r in rows] == list(range(12))
+    assert [r[1] for r in rows] == pytest.approx(dots.min(axis=1)) and [r[2] for r in rows] == pytest.approx(dots.max(axis=1))
+
+
+def test_queries_stay_in_spark():
+    import inspect
+
+    assert ".collect()" not in inspect.getsource(vectors)
+
+
 def test_vector_search_equal_scores_go_by_id(spark):
     items = table(spark, [[1, 0]] * 9 + [[0, 1]]).repartition(5)
     got = vectors.vector_search(table(spark, [[2, 0]], "query_id"), items, 4)
