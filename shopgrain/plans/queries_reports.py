@@ -157,5 +157,5 @@ def _(v: Views):
     """The enriched table is published by risk tier; reading the high-risk slice opens its folder alone."""
     path = new_path(v.spark, "enriched")
     files.publish(v.enriched, path, ["product_risk_tier"])
-    slice_ = files.published(v.spark, path).where(F.col("product_risk_tier") == "High Risk")
+    slice_ = files.published(v.spark, path, v.enriched.schema).where(F.col("product_risk_tier") == "High Risk")
     return slice_.select("product_id", "sentiment_label", "product_risk_tier")

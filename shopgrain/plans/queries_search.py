@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 from shopgrain.functions import dictionaries as D
 from shopgrain.functions import numbers as N
 from shopgrain.functions import textual as X
-from shopgrain.operators import evaluate, factors, ordering, recommend, search, tfidf, vectors
-from shopgrain.operators.checkpoints import materialise
+from shopgrain.operators import evaluate, factors, ordering, recommend, search, tfidf, vector_index, vectors
+from shopgrain.operators.checkpoints import materialise, new_path
 from shopgrain.plans import ctes
 from shopgrain.plans.registry import query
 from shopgrain.plans.views import Views
@@ -88,9 +88,10 @@ def _(v: Views):
 
 @query("approx_vector_search")
 def _(v: Views):
-    return vectors.approx_vector_search(
-        label_centroids(v), v.vectors.select("item_id", "vector"), 5, dims=64
-    )
+    """Through a stored index: cells are trained, vectors filed by cell, and only probed cells read."""
+    asked, path = materialise(label_centroids(v), "centroids"), new_path(v.spark, "vector-index")
+    index = vector_index.build(v.vectors.select("item_id", "vector"), path, k=5, asked=asked)
+    return vector_index.search(v.spark, index, asked, 5)
 
 
 # Terms of the published index, and components of its content and its user vectors.
