@@ -44,22 +44,48 @@ DIMS, NOISE, WITHIN, BATCH, RATE, ROUNDS, TRAINERS, SEED = 24, 64, 4, 2048, 0.1,
 LEAST_DRAWS, MOST_PASSES, PART = 8_000_000, 24, 1 << 24
 _BLOCK = 1 << 16
 _BATCH_BYTES, _HELD = 1 << 20, 150_000
+#: Numbers of a block that stays in a core's cache.
+_CACHED = 1 << 16
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+_LOWERED = np.frombuffer(_LOWER, np.uint8)
+_BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 
 
 def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(_LOWER).split()  # bytes: ASCII white space only
 
 
+def parsed(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of some texts, the number of each word's entry there, and how many words each text has."""
+    texts = pa.concat_arrays([texts])
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    inside = ~_BLANK[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    first = offsets[:-1][np.diff(offsets) > 0]
+    begins[first] = inside[first]
+    starts = np.flatnonzero(begins)
+    packed = np.cumsum(inside, dtype=np.int32)
+    ends = np.append(packed[starts] - 1, packed[-1:] if len(packed) else 0).astype(np.int32)
+    found = pa.BinaryArray.from_buffers(
+        pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(_LOWERED[data[inside]])]
+    ).dictionary_encode()
+    upto = np.searchsorted(starts, offsets)
+    return found.dictionary, found.indices.to_numpy(), np.diff(upto)
+
+
 def count_tokens(texts: DataFrame) -> DataFrame:
     """``token`` (empty for the end) and ``n`` over all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
         for batch in batches:
-            for text in batch["text"]:
-                held.update(words(text.as_py()))
-                held[b""] += 1
+            for part in slices(batch["text"], _BATCH_BYTES):
+                distinct, at, _ = parsed(part)
+                held.update(dict(zip(distinct.to_pylist(), np.bincount(at, minlength=len(distinct)).tolist(), strict=True)))
+                held[b""] += len(part)
                 if len(held) > _HELD:
                     yield _counted(held)
                     held.clear()
@@ -134,25 +160,33 @@ class Vocabulary:
         of = self.bucket_of[self.unit]
         return np.where(of < 0, 0.0, np.log10((self.n + 0.5) / self.within[of]))
 
-    def sequences(self, texts: list[str]) -> tuple[list[list[bytes]], list[np.ndarray]]:
-        """Words of each text, and their places in the arrays (-1: not there)."""
-        split, get = [words(t) for t in texts], self.place.get
-        return split, [np.fromiter((get(w, -1) for w in ws), np.int64, len(ws)) for ws in split]
+    def places(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Of some words their places in the arrays (-1: not there), and their buckets."""
+        words, get, k = distinct.to_pylist(), self.place.get, len(self.within)
+        place = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        buckets = np.full(len(words), -1)
+        rare = np.flatnonzero(place < 0)
+        buckets[rare] = [bucket(words[i], k) for i in rare.tolist()]
+        return place, buckets
 
-    def triples(self, split: list[list[bytes]], places: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    def triples(self, units: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
         """The two units before every token of some texts, ends included, its unit, and its text."""
-        long = np.array([len(p) + 1 for p in places])
-        after, flat = np.cumsum(long), np.concatenate([np.append(p, -2) for p in places])
-        target = np.append(self.unit, self.end)[np.maximum(flat, -1)]
-        doc = np.repeat(np.arange(len(places)), long)
-        rank = np.arange(len(flat)) - (after - long)[doc]
-        rare = np.flatnonzero(flat == -1)
-        k = len(self.within)
-        target[rare] = self.bucket_unit[[bucket(split[d][j], k) for d, j in zip(doc[rare].tolist(), rank[rare].tolist(), strict=True)]] if len(rare) else 0
+        long = counts + 1
+        doc, after = np.repeat(np.arange(len(counts)), long), np.cumsum(long)
+        target = np.empty(len(doc), np.int64)
+        target[after - 1] = self.end
+        word = np.ones(len(doc), bool)
+        word[after - 1] = False
+        target[word] = units
+        rank = np.arange(len(doc)) - (after - long)[doc]
         one = np.where(rank > 0, np.roll(target, 1), START)
         two = np.where(rank > 1, np.roll(target, 2), START)
         return two, one, target, doc
 
+    def units(self, place: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+        """Units of words by place or else bucket."""
+        return np.where(place < 0, self.bucket_unit[buckets], np.append(self.unit, 0)[place])
+
 
 def _most_frequent(counts: DataFrame, most: int) -> list:
     """Tokens above a frequency, in order, ``most`` at most; only these come to the driver.
@@ -184,18 +218,36 @@ def cuts(p: np.ndarray) -> np.ndarray:
 
 def _add_rows(values: np.ndarray, seen: np.ndarray, at: np.ndarray, grad: np.ndarray) -> None:
     """AdaGrad for the rows ``at``, which may repeat and are in order."""
-    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    total, at = np.add.reduceat(grad, first, axis=0), at[first]
-    seen[at] += total * total
-    values[at] += np.float32(RATE) * total / np.sqrt(seen[at])
-
-
-def _chosen(s: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log-softmax of one entry of each row; s is overwritten."""
-    most = s.max(1)
-    out = s[np.arange(len(s)), at] - most
-    s -= most[:, None]
-    return out - np.log(np.exp(s, out=s).sum(1))
+    new = np.append(True, at[1:] != at[:-1])
+    first = np.flatnonzero(new)
+    total, at = grad.take(first, axis=0), at[first]
+    size = np.diff(np.append(first, len(grad)))
+    many = np.flatnonzero(size > 1)
+    if len(many):
+        # Only rows that repeat are summed.
+        rows = np.flatnonzero(np.repeat(size > 1, size))
+        total[many] = np.add.reduceat(grad.take(rows, axis=0), np.cumsum(size[many]) - size[many], axis=0)
+    scale = seen.take(at, axis=0)
+    scale += total * total
+    seen[at] = scale
+    np.sqrt(scale, out=scale)
+    total /= scale
+    total *= np.float32(RATE)
+    total += values.take(at, axis=0)
+    values[at] = total
+
+
+def _chosen(h: np.ndarray, weights: np.ndarray, at: np.ndarray, safe: bool) -> np.ndarray:
+    """Log-softmax of one entry of each row of h times weights; ``safe`` if no value can overflow the exponential."""
+    out, ones = np.empty(len(h), np.float32), np.ones(len(weights), np.float32)
+    rows = max(64, _CACHED // len(weights))
+    for i in range(0, len(h), rows):
+        s = h[i : i + rows] @ weights.T
+        if not safe:
+            s -= s.max(1, keepdims=True)
+        mine = s[np.arange(len(s)), at[i : i + rows]]
+        out[i : i + rows] = mine - np.log(np.exp(s, out=s) @ ones)
+    return out
 
 
 def _log_softmax(s: np.ndarray) -> np.ndarray:
@@ -252,23 +304,23 @@ class LogBilinear:
     def scorer(self):
         """A function: log10 probability of each target after its two units before."""
         r, q, a, b, bias, qc, bc = self.parts()
-        ra, rb, first = r @ a, r @ b, self.first
+        # Biases go along as one more dimension.
+        ra, rb, first = np.pad(r @ a, ((0, 0), (0, 1)), constant_values=1), np.pad(r @ b, ((0, 0), (0, 1))), self.first
+        units, classes = np.column_stack((q, bias)), np.column_stack((qc, bc))
+        reach = math.sqrt(max(np.square(x).sum(1).max() for x in (units, classes)))
 
         def logs(two: np.ndarray, one: np.ndarray, target: np.ndarray) -> np.ndarray:
             order = np.argsort(target, kind="stable")
             t = target[order]
-            h, out = ra[one[order]] + rb[two[order]], np.empty(len(t), np.float32)
+            h = ra.take(one[order], axis=0)
+            h += rb.take(two[order], axis=0)
             c = np.searchsorted(first, t, side="right") - 1
-            for i in range(0, len(t), 2048):
-                s = h[i : i + 2048] @ qc.T
-                s += bc
-                out[i : i + 2048] = _chosen(s, c[i : i + 2048])
-            for k in np.unique(c):
-                x, y = first[k], first[k + 1]
-                if y - x > 1:
-                    for i in range(*np.searchsorted(c, [k, k + 1]), 2048):
-                        j = min(i + 2048, int(np.searchsorted(c, k, side="right")))
-                        out[i:j] += _chosen(h[i:j] @ q[x:y].T + bias[x:y], t[i:j] - x)
+            safe = reach * math.sqrt(np.einsum("ij,ij->i", h, h).max(initial=0)) < 80
+            out = _chosen(h, classes, c, safe)
+            edges = np.searchsorted(c, np.arange(len(first)))
+            for k in np.flatnonzero((np.diff(edges) > 0) & (np.diff(first) > 1)):
+                i, j = edges[k], edges[k + 1]
+                out[i:j] += _chosen(h[i:j], units[first[k] : first[k + 1]], t[i:j] - first[k], safe)
             back = np.empty(len(t))
             back[order] = out
             return back / math.log(10)
@@ -290,40 +342,49 @@ class LogBilinear:
             order = np.argsort(target)
             t, c1, c2 = target[order], one[order], two[order]
             n, c = len(t), np.searchsorted(first, t, side="right") - 1
-            r1, r2 = r[c1], r[c2]
+            r1, r2 = r.take(c1, axis=0), r.take(c2, axis=0)
             h = r1 @ a + r2 @ b
             # The chance of being data, taken from what is, and of what is noise; the batch shares its noise.
             drawn = np.searchsorted(upto, rng.random(NOISE) * upto[-1], side="right").clip(0, len(upto) - 1)
-            true = (1 - _chance((h * qc[c]).sum(1) + bc[c] - class_offset[c])) / n
-            false = -_chance(h @ qc[drawn].T + bc[drawn] - class_offset[drawn]) / n
-            back = true[:, None] * qc[c] + false @ qc[drawn]
+            mine, others = qc.take(c, axis=0), qc.take(drawn, axis=0)
+            true = (1 - _chance(_dots(h, mine) + bc[c] - class_offset[c])) / n
+            false = h @ others.T
+            false += bc[drawn] - class_offset[drawn]
+            false = _chance(false)
+            false *= np.float32(-1 / n)
+            back = true[:, None] * mine
+            back += false @ others
             # Within a class the noise of a triple is the target of others of the batch in its class.
             start, size = np.searchsorted(c, c, side="left"), np.searchsorted(c, c, side="right")
             size -= start
-            vectors, place = q[t], np.arange(n) - start
+            vectors, place = q.take(t, axis=0), np.arange(n) - start
+            level = (bias[t] - offset[t]).astype(np.float32)
             alone = (size == 1) | (first[c + 1] - first[c] == 1)
-            own = np.where(alone, 0, (1 - _chance((h * vectors).sum(1) + bias[t] - offset[t])) / n)
+            own = np.where(alone, np.float32(0), (1 - _chance(_dots(h, vectors) + level)) / n)
             back += own[:, None] * vectors
             grad, grad_bias = own[:, None] * h, own.copy()
             for _ in range(WITHIN):
                 shift = 1 + (rng.random(len(first))[c] * (size - 1)).astype(np.int64)
                 other = start + (place + shift) % size
-                u = vectors[other]
-                f = np.where(alone, 0, -_chance((h * u).sum(1) + bias[t[other]] - offset[t[other]]) / n)
-                back += f[:, None] * u
+                u = vectors.take(other, axis=0)
+                f = np.where(alone, np.float32(0), _chance(_dots(h, u) + level[other]) / np.float32(-n))
+                u *= f[:, None]
+                back += u
                 at = start + (place - shift) % size  # whose noise this triple's target is
-                grad += f[at, None] * h[at]
-                grad_bias += f[at]
+                theirs, g = h.take(at, axis=0), f[at]
+                theirs *= g[:, None]
+                grad += theirs
+                grad_bias += g
             ga, gb, g1, g2 = r1.T @ back, r2.T @ back, back @ a.T, back @ b.T
             classes_at = np.concatenate((c, drawn))
             o = np.argsort(classes_at)
-            _add_rows(qc, sqc, classes_at[o], np.concatenate((true[:, None] * h, false.T @ h))[o])
+            _add_rows(qc, sqc, classes_at[o], np.concatenate((true[:, None] * h, false.T @ h)).take(o, axis=0))
             _add_rows(bc, sbc, classes_at[o], np.concatenate((true, false.sum(0)))[o])
             _add_rows(q, sq, t, grad)
             _add_rows(bias, sbias, t, grad_bias)
             before = np.concatenate((c1, c2))
             o = np.argsort(before)
-            _add_rows(r, sr, before[o], np.concatenate((g1, g2))[o])
+            _add_rows(r, sr, before[o], np.concatenate((g1, g2)).take(o, axis=0))
             for w, s, g in ((a, sa, ga), (b, sb, gb)):
                 s += g * g
                 w += np.float32(RATE) * g / np.sqrt(s)
@@ -332,7 +393,16 @@ class LogBilinear:
 
 
 def _chance(logit: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+    """The logistic function; ``logit`` is overwritten."""
+    np.negative(logit, out=logit)
+    np.minimum(logit, 80, out=logit)
+    np.exp(logit, out=logit)
+    logit += 1
+    return np.reciprocal(logit, out=logit)
+
+
+def _dots(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", x, y)
 
 
 def passes(total: int) -> tuple[int, int]:
@@ -391,7 +461,8 @@ def _trainer(vocabulary, start, first: np.ndarray, noise: np.ndarray, step: int,
 
         for batch in batches:
             for part in slices(batch["text"], _BATCH_BYTES):
-                triples = v.triples(*v.sequences(part.to_pylist()))[:3]
+                distinct, at, counts = parsed(part)
+                triples = v.triples(v.units(*v.places(distinct))[at], counts)[:3]
                 n += len(triples[0])
                 if again == 1:
                     run(triples)
@@ -420,6 +491,7 @@ def _average(key, rows):
 
 
 _RARE = pa.list_(pa.struct([("token", pa.string()), ("tf", pa.int32()), ("within", pa.float64())]))
+_PARTIAL = pa.struct([("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("rare", _RARE)])
 PARTIAL = "n_tokens:long,n_known:long,base:double,score:double,rare:array<struct<token:string,tf:int,within:double>>"
 
 
@@ -432,22 +504,35 @@ def _partial(vocabulary, model, first: np.ndarray):
         logs = LogBilinear.unpacked(v.size, model.value, first).scorer()
         base, share = np.append(v.base(v.n), 0.0), np.append(v.share(), 0.0)
         end = float(v.base(np.array([v.ends]))[0])
-        out, k = [], len(v.within)
+        out = []
         for part in slices(texts, _BATCH_BYTES):
-            split, places = v.sequences(part.to_pylist())
-            two, one, target, doc = v.triples(split, places)
-            scores = np.bincount(doc, logs(two, one, target), len(part))
-            for i, (ws, p) in enumerate(zip(split, places, strict=True)):
-                rare = Counter(ws[j] for j in np.flatnonzero(p < 0))
-                out.append(
-                    {
-                        "n_tokens": len(ws) + 1, "n_known": int((p >= 0).sum()) + (v.ends > 0),
-                        "base": float(base[p].sum()) + end, "score": float(scores[i] + share[p].sum()),
-                        "rare": [{"token": w.decode(), "tf": n, "within": v.within[bucket(w, k)]} for w, n in rare.items()],
-                    }
-                )
-        kind = pa.struct([("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("rare", _RARE)])
-        return pa.array(out, kind)
+            distinct, at, counts = parsed(part)
+            place, buckets = v.places(distinct)
+            two, one, target, doc = v.triples(v.units(place, buckets)[at], counts)
+            n, of = len(part), np.repeat(np.arange(len(part)), counts)
+
+            def total(values: np.ndarray, n=n, of=of, at=at) -> np.ndarray:
+                return np.bincount(of, values[at], n)
+
+            # Rare words of each text, with how often they occur there.
+            rare = np.flatnonzero(place[at] < 0)
+            pairs, tf = np.unique(of[rare] * max(len(distinct), 1) + at[rare], return_counts=True)
+            text_of, word = np.divmod(pairs, max(len(distinct), 1))
+            entries = pa.StructArray.from_arrays(
+                [distinct.take(pa.array(word)).cast(pa.string()), pa.array(tf, pa.int32()), pa.array(v.within[buckets[word]], pa.float64())],
+                fields=list(_RARE.value_type),
+            )
+            ends = np.append(0, np.cumsum(np.bincount(text_of, minlength=n))).astype(np.int32)
+            out.append(pa.StructArray.from_arrays(
+                [
+                    pa.array(counts + 1, pa.int64()), pa.array(total(place >= 0).astype(np.int64) + (v.ends > 0)),
+                    pa.array(total(base[place]) + end),
+                    pa.array(np.bincount(doc, logs(two, one, target), n) + total(share[place])),
+                    pa.ListArray.from_arrays(pa.array(ends), entries).cast(_RARE),
+                ],
+                fields=list(_PARTIAL),
+            ))
+        return pa.concat_arrays(out) if out else pa.array([], _PARTIAL)
 
     return partial
 
