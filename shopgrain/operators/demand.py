@@ -6,12 +6,15 @@ one row per calendar day and windows over a category stay small whatever the vol
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from shopgrain.operators.checkpoints import materialise
 from shopgrain.operators.features import minmax
 
 
@@ -149,40 +152,90 @@ def base_demand(df: DataFrame, col: str = "category") -> DataFrame:
     return df.groupBy(col).agg(F.greatest(F.lit(1), F.floor(n / 30)).cast("bigint").alias("base_demand"))
 
 
+#: Weight of the squared coefficients against a squared error, per training row.
+RIDGE = 1e-4
+
+
+def _normal_equations(rows: DataFrame, inputs: int, horizon: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each step ahead the sums of cross products of inputs ``u`` with inputs and target, and the rows.
+
+    One pass: every task adds up its rows for all steps, and the sums of tasks are added by Spark; what
+    reaches the driver is as large as the model. A step counts the rows that know its target.
+    """
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((horizon, inputs, inputs + 1))
+        n = np.zeros(horizon, np.int64)
+        for batch in batches:
+            u = np.array(batch.column(0).flatten().to_numpy(zero_copy_only=False), float).reshape(-1, inputs)
+            y = np.array(batch.column(1).flatten().to_numpy(zero_copy_only=False), float).reshape(-1, horizon)
+            for h in range(horizon):
+                known = ~np.isnan(y[:, h])
+                x = u[known]
+                total[h] += x.T @ np.column_stack((x, y[known, h]))
+                n[h] += len(x)
+        at = [(h, i) for h in range(horizon) for i in range(inputs)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([h for h, _ in at], pa.int32()), pa.array([i for _, i in at], pa.int32()),
+                pa.array([int(n[h]) for h, _ in at], pa.int64()),
+                pa.array([total[h, i].tolist() for h, i in at], pa.list_(pa.float64())),
+            ],
+            ["h", "i", "n", "x"],
+        )
+
+    parts = rows.select("u", "y").mapInArrow(partial, "h int, i int, n long, x array<double>")
+    sums = parts.groupBy("h", "i").agg(F.sum("n"), *(F.sum(F.col("x")[j]) for j in range(inputs + 1))).collect()
+    total, n = np.zeros((horizon, inputs, inputs + 1)), np.zeros(horizon)
+    for h, i, rows_, *x in sums:
+        total[h, i], n[h] = x, rows_
+    return total, n
+
+
+def _coefficients(total: np.ndarray, n: np.ndarray) -> list[list[float]]:
+    """Least squares with a small weight on all coefficients but the first, the constant."""
+    weight = np.eye(total.shape[1])
+    weight[0, 0] = 0
+    return [
+        np.linalg.lstsq(g[:, :-1] + RIDGE * rows * weight, g[:, -1], rcond=None)[0].tolist()
+        for g, rows in zip(total, n, strict=True)
+    ]
+
+
 def lag_regression(
     df: DataFrame, value: str = "demand_scaled", lags: int = 7, horizon: int = 7,
     calendar_features: Sequence[str] = ("dow_scaled", "weekend", "month_scaled"),
     test_share: float = 0.3,
 ) -> DataFrame:
-    """Direct linear forecasts from lags and calendar, one model per step ahead.
+    """Direct linear forecasts from lags and calendar, one model per step ahead, all fitted in one pass.
 
     Trained on the early part of the calendar, returned for the late part:
-    (category, date, step, actual, forecast).
+    (category, date, step, actual, forecast). Rows without all lags or calendar features are left out.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
     w = _series("category")
     names = [f"lag{i}" for i in range(lags)]
     rows = df.withColumns({n: F.lag(value, i).over(w) for i, n in enumerate(names)})
-    rows = rows.withColumns({f"y{h}": F.lead(value, h).over(w) for h in range(1, horizon + 1)})
-    rows = rows.dropna(subset=names)
-    inputs = [*names, *calendar_features]
-    rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(rows)
+    ahead = F.array(*(F.lead(value, h).over(w).cast("double") for h in range(1, horizon + 1)))
+    inputs = [F.lit(1.0), *(F.col(c).cast("double") for c in (*names, *calendar_features))]
+    rows = rows.withColumn("y", ahead).dropna(subset=[*names, *calendar_features])
+    rows = materialise(rows.select("category", "date", F.array(*inputs).alias("u"), "y"), "lags")
     first, last = F.unix_date(F.min("date")), F.unix_date(F.max("date"))
     cut = rows.agg(F.date_from_unix_date((first + (last - first) * (1 - test_share)).cast("int")))
     late = F.col("date") > cut.scalar()
-    rows = rows.select(
-        "category", "date", "features", late.alias("_late"), *[f"y{h}" for h in range(1, horizon + 1)]
-    ).persist()
-    out = None
-    for h in range(1, horizon + 1):
-        step = rows.where(F.col(f"y{h}").isNotNull()).withColumnRenamed(f"y{h}", "actual")
-        model = LinearRegression(labelCol="actual", predictionCol="forecast", regParam=1e-4).fit(
-            step.where("NOT _late")
-        )
-        part = model.transform(step.where("_late")).select(
-            "category", "date", F.lit(h).alias("step"), "actual", "forecast"
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    found = _coefficients(*_normal_equations(rows.where(~late), len(inputs), horizon))
+    models = F.array(*(F.array(*map(F.lit, c)) for c in found))
+    forecast = F.aggregate(F.zip_with("u", "model", lambda x, c: x * c), F.lit(0.0), lambda a, b: a + b)
+    steps = F.transform(models, lambda m, i: F.struct((i + 1).alias("step"), F.get("y", i).alias("actual"), m.alias("model")))
+    return (
+        rows.where(late).select("category", "date", "u", F.inline(steps)).where(F.col("actual").isNotNull())
+        .select("category", "date", "step", "actual", forecast.alias("forecast"))
+    )
+
+
+def whole_horizon(forecasts: DataFrame, horizon: int = 7) -> DataFrame:
+    """(category, date, y, yhat) of the days whose steps are all known."""
+    steps = F.sort_array(F.collect_list(F.struct("step", "actual", "forecast")))  # ``horizon`` entries at most
+    rows = forecasts.groupBy("category", "date").agg(steps.alias("s")).where(F.size("s") == horizon)
+    return rows.select(
+        "category", "date", F.transform("s", lambda s: s["actual"]).alias("y"), F.transform("s", lambda s: s["forecast"]).alias("yhat")
+    )

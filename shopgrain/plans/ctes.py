@@ -264,9 +264,9 @@ def with_views(needs: Sequence[str], body: str) -> str:
     if not order:
         return body
     parts = ",\n".join(f"{n} AS ({VIEWS[n][1].strip()})" for n in order)
-    head = "WITH " + parts + "\n"
     # A body with its own WITH continues the list.
     stripped = body.strip()
-    if stripped.upper().startswith("WITH "):
-        return head.rstrip() + ",\n" + stripped[5:]
-    return head + stripped
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if stripped.upper().startswith(start):
+            return start + parts + ",\n" + stripped[len(start):]
+    return "WITH " + parts + "\n" + stripped

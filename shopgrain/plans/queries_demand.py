@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from shopgrain.operators import demand, evaluate
+from shopgrain.operators.checkpoints import materialise
 from shopgrain.plans.registry import query
 from shopgrain.plans.views import Views
 
@@ -152,35 +153,67 @@ def _(v: Views):
     return _text_date(rows.withColumn("forecast", F.round("forecast", 6)))
 
 
-@query("lag_regression_forecast")
+# The normal equations of each step ahead, solved by elimination.
+_REGRESSION = f"""
+lagged AS (SELECT category, date, demand_scaled, dow_scaled, weekend, month_scaled,
+ list(demand_scaled) OVER (PARTITION BY category ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS back,
+ list(demand_scaled) OVER (PARTITION BY category ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 7 FOLLOWING) AS ahead
+ FROM ({_SCALED})),
+inputs AS (SELECT category, date, list_concat([1.0::DOUBLE], list_reverse(back), [dow_scaled, weekend, month_scaled]) AS u,
+ ahead FROM lagged WHERE len(back) = 7),
+cut AS (SELECT (DATE '1970-01-01' + floor(epoch(min(date)) / 86400 + (epoch(max(date)) - epoch(min(date))) / 86400 * 0.7)::INTEGER)
+ AS day FROM inputs),
+train AS (SELECT h, list_append(u, ahead[h]) AS e FROM (SELECT *, unnest(range(1, 8)) AS h FROM inputs, cut WHERE date <= day)
+ WHERE ahead[h] IS NOT NULL),
+gram AS (SELECT h, i, j, sum(e[i] * e[j]) + CASE WHEN i = j AND i > 1 THEN 1e-4 * count(*) ELSE 0 END AS v
+ FROM train, (SELECT unnest(range(1, 12)) AS i), (SELECT unnest(range(1, 13)) AS j) GROUP BY h, i, j),
+system AS (SELECT h, list(r ORDER BY i) AS m FROM (SELECT h, i, list(v ORDER BY j) AS r FROM gram GROUP BY ALL) GROUP BY 1),
+solved AS (
+ SELECT h, 1 AS k, m FROM system
+ UNION ALL
+ SELECT h, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda x: x / m[k][k])
+  ELSE list_transform(r, lambda x, j: x - r[k] / m[k][k] * m[k][j]) END) FROM solved WHERE k <= 11),
+regressed AS (SELECT category, date, h AS step, ahead[h] AS actual,
+ list_dot_product(u, list_transform(m, lambda r: r[12])) AS forecast
+ FROM inputs, cut, solved WHERE k = 12 AND date > day AND ahead[h] IS NOT NULL)"""
+
+
+@query("lag_regression_forecast", f"""
+WITH RECURSIVE {_REGRESSION} SELECT category, strftime(date, '%Y-%m-%d') AS date, step::INTEGER AS step, round(actual, 6) AS actual,
+ round(forecast, 6) AS forecast FROM regressed""", ["spine"])
 def _(v: Views):
     rows = demand.lag_regression(demand.scaled_features(v.spine))
-    return _text_date(rows.withColumn("forecast", F.round("forecast", 3)))
+    return _text_date(rows.withColumn("actual", F.round("actual", 6)).withColumn("forecast", F.round("forecast", 6)))
 
 
 def model_forecasts(v: Views):
-    """Seven-day forecasts of three simple models on every window of every category."""
+    """Seven-day forecasts of three simple models and the regression, on the windows of its test days."""
     scaled = demand.scaled_features(v.spine)
+    fitted = materialise(demand.whole_horizon(demand.lag_regression(scaled)), "regression")
     windows = demand.sequences(scaled, ["demand_scaled"], "demand_scaled")
+    windows = windows.join(fitted.select("category", "date"), ["category", "date"], "left_semi")
     past = F.transform("x", lambda r: r[0])
     mean = F.aggregate(F.slice(past, -7, 7), F.lit(0.0), lambda a, b: a + b) / 7
     models = {
         "naive": demand.naive(windows).select("y", "yhat"),
         "seasonal": windows.select("y", F.slice(past, -7, 7).alias("yhat")),
         "mean": windows.select("y", F.array_repeat(mean, 7).alias("yhat")),
+        "regression": fitted.join(windows.select("category", "date"), ["category", "date"], "left_semi").select("y", "yhat"),
     }
     parts = [df.withColumn("model", F.lit(name)) for name, df in models.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-_FORECASTS = f"""
+_FORECASTS = f"""{_REGRESSION},
 s AS ({_SCALED}), w AS (SELECT category, date, list(demand_scaled) OVER a AS x, list(demand_scaled) OVER b AS y FROM s
  WINDOW a AS (PARTITION BY category ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW),
   b AS (PARTITION BY category ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 7 FOLLOWING)),
-ok AS (SELECT * FROM w WHERE len(x) = 30 AND len(y) = 7),
+ok AS (SELECT w.* FROM w, cut WHERE len(x) = 30 AND len(y) = 7 AND date > day),
+fitted AS (SELECT category, date, list(forecast ORDER BY step) AS yhat FROM regressed GROUP BY ALL),
 f AS (SELECT 'naive' AS model, y, list_transform(y, lambda q: x[30]) AS yhat FROM ok
  UNION ALL SELECT 'seasonal', y, x[24:30] FROM ok
- UNION ALL SELECT 'mean', y, list_transform(y, lambda q: list_avg(x[24:30])) FROM ok),
+ UNION ALL SELECT 'mean', y, list_transform(y, lambda q: list_avg(x[24:30])) FROM ok
+ UNION ALL SELECT 'regression', y, yhat FROM ok JOIN fitted USING (category, date)),
 e AS (SELECT model, y[i] AS a, yhat[i] AS b, sign(y[7] - y[1]) = sign(yhat[7] - yhat[1]) AS dir
  FROM (SELECT *, unnest(range(1, 8)) AS i FROM f)),
 metrics AS (SELECT model, avg(abs(a - b)) AS mae, sqrt(avg((a - b) * (a - b))) AS rmse,
@@ -190,7 +223,7 @@ metrics AS (SELECT model, avg(abs(a - b)) AS mae, sqrt(avg((a - b) * (a - b))) A
 
 
 @query("forecast_metrics", f"""
-WITH {_FORECASTS} SELECT model, round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(mape, 2) AS mape,
+WITH RECURSIVE {_FORECASTS} SELECT model, round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(mape, 2) AS mape,
  round(smape, 4) AS smape, round(wape, 4) AS wape, round(dir_acc, 6) AS dir_acc FROM metrics""", ["spine"])
 def _(v: Views):
     m = evaluate.forecast_metrics(model_forecasts(v))
@@ -199,7 +232,7 @@ def _(v: Views):
 
 
 @query("best_model", f"""
-WITH {_FORECASTS}, base AS (SELECT mae AS baseline_mae FROM metrics WHERE model = 'naive')
+WITH RECURSIVE {_FORECASTS}, base AS (SELECT mae AS baseline_mae FROM metrics WHERE model = 'naive')
 SELECT model AS best_model, round(mae, 6) AS mae, round(baseline_mae, 6) AS baseline_mae,
  round((baseline_mae - mae) / baseline_mae * 100, 4) AS improvement_pct
 FROM metrics, base WHERE model <> 'naive' ORDER BY metrics.mae LIMIT 1""", ["spine"])
