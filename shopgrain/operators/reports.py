@@ -102,6 +102,13 @@ def catalogue_summary(df: DataFrame) -> DataFrame:
     )
 
 
+def pipeline_summary(df: DataFrame) -> DataFrame:
+    """The catalogue summary and the names of the columns with their places."""
+    spark, fields = df.sparkSession, "metric string, key string, value double"
+    names = spark.createDataFrame([("columns", c, float(i)) for i, c in enumerate(df.columns)], fields)
+    return catalogue_summary(df).unionByName(names)
+
+
 def nlp_summary(df: DataFrame, top: int = 10) -> DataFrame:
     """Distributions of the text stage, of categories and brands the ``top`` largest, and its totals."""
     flagged = F.col("fake_review_flag").cast("int")

@@ -6,6 +6,7 @@ from shopgrain.plans import (  # noqa: F401
     queries_reports,
     queries_search,
     queries_sources,
+    queries_sql,
     queries_streams,
     queries_text,
 )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shopgrain.functions import numbers as N
 from shopgrain.functions import textual as X
 from shopgrain.operators import cleaning, evaluate, features, ordering
+from shopgrain.operators.checkpoints import new_path
 from shopgrain.plans.registry import query
 from shopgrain.plans.views import Views
 from shopgrain.sources import files
@@ -23,7 +24,10 @@ def _(v: Views):
 @query("write_product_index", """
 SELECT product_idx, product_id, product_name, category, price, rating FROM products""", ["products"])
 def _(v: Views):
-    return cleaning.product_index(v.products)
+    path = new_path(v.spark, "product-index")
+    index = cleaning.product_index(v.products)
+    files.publish(index, path)
+    return files.published(v.spark, path, index.schema)
 
 
 @query("standardise_columns", """

@@ -60,6 +60,18 @@ def _(v: Views):
     return reports.catalogue_summary(v.products)
 
 
+@query("pipeline_summary", """
+SELECT 'sources' AS metric, source AS key, count(*)::DOUBLE AS value FROM products GROUP BY ALL
+UNION ALL SELECT 'total_records', '', count(*)::DOUBLE FROM products
+UNION ALL SELECT 'avg_rating', '', round(avg(rating), 2) FROM products
+UNION ALL SELECT 'avg_price', '', round(avg(price), 2) FROM products
+UNION ALL SELECT 'n_columns', '', 13.0::DOUBLE
+UNION ALL SELECT 'columns', unnest(['product_idx', 'product_id', 'product_name', 'category', 'brand', 'source', 'list_price',
+ 'price', 'rating', 'review_count', 'is_bestseller', 'image_url', 'discount_pct']), unnest(range(13))::DOUBLE""", ["products"])
+def _(v: Views):
+    return reports.pipeline_summary(v.products)
+
+
 @query("nlp_summary", """
 WITH counts AS (
  SELECT 'sentiment_distribution' AS metric, sentiment_label AS key, count(*)::DOUBLE AS value FROM enriched GROUP BY ALL

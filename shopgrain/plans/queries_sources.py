@@ -29,10 +29,8 @@ def with_header(lines: DataFrame, header: str) -> DataFrame:
     return lines.mapInArrow(add, "value string")
 
 
-@query("scan_csv_skip_bad", """
-SELECT p_partkey AS asin, CASE WHEN p_partkey % 10 <> 5 THEN p_name END AS title,
- CASE WHEN p_partkey % 10 <> 5 THEN p_retailprice END AS price FROM part WHERE p_partkey % 10 NOT IN (3, 4)""")
-def _(v: Views):
+def raw_csv(v: Views) -> str:
+    """Parts as CSV lines, some of them short or with surplus fields, empty or not; returns their folder."""
     k = F.col("p_partkey")
     quoted = F.concat(F.lit('"'), F.replace("p_name", F.lit('"'), F.lit('""')), F.lit('"'))
     whole = F.concat_ws(",", k, quoted, "p_retailprice")
@@ -42,7 +40,28 @@ def _(v: Views):
     )
     path = new_path(v.spark, "csv")
     with_header(v.table("part").select(line.alias("value")), "asin,title,price").write.text(path)
-    return files.scan_csv(v.spark, path, CSV_SCHEMA)
+    return path
+
+
+@query("scan_csv_skip_bad", """
+SELECT p_partkey AS asin, CASE WHEN p_partkey % 10 <> 5 THEN p_name END AS title,
+ CASE WHEN p_partkey % 10 <> 5 THEN p_retailprice END AS price FROM part WHERE p_partkey % 10 NOT IN (3, 4)""")
+def _(v: Views):
+    return files.scan_csv(v.spark, raw_csv(v), CSV_SCHEMA)
+
+
+@query("scan_csv_quarantine", """
+SELECT p_partkey AS asin, CASE WHEN p_partkey % 10 IN (3, 4) THEN 'more than 3 fields' END AS reason,
+ p_partkey % 10 IN (3, 4) AS has_line FROM part""")
+def _(v: Views):
+    """Good and quarantined rows together are the lines written."""
+    bad = new_path(v.spark, "quarantine")
+    good = files.scan_csv(v.spark, raw_csv(v), CSV_SCHEMA, corrupt_to=bad)
+    kept = files.published(v.spark, bad, T.StructType([T.StructField(c, T.StringType()) for c in ("line", "file", "reason")]))
+    number = F.substring_index("line", ",", 1).cast("bigint")
+    return good.select("asin", F.lit(None).cast("string").alias("reason"), F.lit(False).alias("has_line")).unionByName(
+        kept.select(number.alias("asin"), "reason", (F.col("line").isNotNull() & F.col("file").endswith(".txt")).alias("has_line"))
+    )
 
 
 @query("scan_optional", "SELECT s_suppkey, s_name FROM supplier")

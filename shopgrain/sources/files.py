@@ -11,30 +11,63 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from shopgrain.operators.checkpoints import new_path
 from shopgrain.operators.ordering import surrogate_id
 
 
+#: A sign that no line holds: it separates nothing when lines are read, and marks where a row ends.
+_END = "\x01"
+
+
+def _csv_lines(spark: SparkSession, path: str, schema: T.StructType, extra: str, multi_line: bool) -> DataFrame:
+    """(line, file) of all rows behind the headers; with ``multi_line`` rows with exactly one surplus field are missing.
+
+    Lines are read as they are, by a separator that none holds. Rows with line breaks have to be parsed to find
+    their ends: they are read with one column too many, and only rows with one surplus field fill it without
+    an error and leave no raw line; no file is named.
+    """
+    reader = spark.read.options(header=True, enforceSchema=True, mode="PERMISSIVE")
+    if not multi_line:
+        lines = reader.schema("line string").options(sep=_END, quote="", escape="").csv(path)
+        return lines.select("line", F.col("_metadata.file_path").alias("file")).where(F.col("line").isNotNull())
+    raw = "_raw_line"
+    caught = T.StructType([*schema.fields, T.StructField(extra, T.StringType()), T.StructField(raw, T.StringType())])
+    reader = reader.schema(caught).options(multiLine=True, quote='"', escape='"')
+    lines = reader.options(columnNameOfCorruptRecord=raw, columnPruning=False).csv(path)
+    kept = lines.where(F.col(raw).isNotNull() & F.col(extra).isNull())
+    return kept.select(F.col(raw).alias("line"), F.lit(None).cast("string").alias("file"))
+
+
 def scan_csv(
-    spark: SparkSession, path: str, schema: T.StructType, extra: str = "_extra", multi_line: bool = False
+    spark: SparkSession, path: str, schema: T.StructType, extra: str = "_extra", multi_line: bool = False,
+    corrupt_to: str | None = None,
 ) -> DataFrame:
     """CSV with a header; rows with too many fields are skipped, also if these are empty; short rows padded.
 
-    A file is split over tasks unless ``multi_line`` asks for fields with line breaks. Rows are read with
-    one column too many: only rows with exactly one surplus field fill it without an error and are skipped.
-    To all others one field is added: it shows where a row ends, and stands behind the schema if it fits.
+    A file is split over tasks unless ``multi_line`` asks for fields with line breaks. To every line one field is
+    added: it shows where a row ends, and stands behind the schema if the row fits.
+
+    With ``corrupt_to`` the rows that do not fit are published there as (line, file, reason), and the good rows come
+    from the same read: it is written once, good and bad apart. Not for ``multi_line``, which can't see all bad rows.
     """
-    raw, end = "_raw_line", "\x01"
-    wide = T.StructType([*schema.fields, T.StructField(extra, T.StringType())])
-    caught = T.StructType([*wide.fields, T.StructField(raw, T.StringType())])
+    if corrupt_to and multi_line:
+        raise ValueError("rows with line breaks can't be put in quarantine")
     quoting = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-    reader = spark.read.schema(caught).options(header=True, multiLine=multi_line, enforceSchema=True, **quoting)
-    lines = reader.options(columnNameOfCorruptRecord=raw, columnPruning=False).csv(path).where(F.col(raw).isNotNull() & F.col(extra).isNull())
-    ended = F.concat(F.col(raw), F.lit("," + end))
-    fields = lines.select(F.from_csv(ended, ", ".join(f"`{f.name}` string" for f in wide), quoting).alias("f"), F.col(raw))
+    lines = _csv_lines(spark, path, schema, extra, multi_line)
+    strings = ", ".join(f"`{f.name}` string" for f in [*schema, T.StructField(extra, T.StringType())])
+    fields = lines.withColumn("f", F.from_csv(F.concat("line", F.lit("," + _END)), strings, quoting))
     last = F.col("f").getField(extra)
-    short = F.array_contains(F.array(*(F.col("f").getField(f.name) for f in schema)), end)
-    whole = F.from_csv(F.col(raw), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), quoting)
-    return fields.where((last == end) | (last.isNull() & short)).select(whole.alias("r")).select("r.*")
+    short = F.array_contains(F.array(*(F.col("f").getField(f.name) for f in schema)), _END)
+    fits = F.coalesce((last == _END) | (last.isNull() & short), F.lit(False))
+    whole = F.from_csv(F.col("line"), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), quoting)
+    if corrupt_to is None:
+        return fields.where(fits).select(whole.alias("r")).select("r.*")
+    staged = new_path(spark, "csv-lines")
+    fields.select("line", "file", (~fits).alias("bad")).write.partitionBy("bad").parquet(staged)
+    read = spark.read.schema("line string, file string, bad boolean").parquet(staged)
+    reason = F.lit(f"more than {len(schema)} fields")
+    publish(read.where("bad").select("line", "file", reason.alias("reason")), corrupt_to)
+    return read.where("NOT bad").select(whole.alias("r")).select("r.*")
 
 
 def local_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType) -> DataFrame:
@@ -237,7 +270,12 @@ def replace_slices(df: DataFrame, path: str, partition_by: Sequence[str]) -> Non
     writer.partitionBy(*partition_by).parquet(path)
 
 
-def write_slice(df: DataFrame, test: Column, path: str) -> DataFrame:
+def write_slice(df: DataFrame, test: Column, path: str) -> None:
+    """Write only the rows that pass the test."""
+    write_table(df.where(test), path)
+
+
+def publish_slice(df: DataFrame, test: Column, path: str) -> DataFrame:
     """Publish the rows that pass the test as a table of their own and read them back."""
     publish(df.where(test), path)
     return published(df.sparkSession, path, df.schema)

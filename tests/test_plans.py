@@ -61,7 +61,7 @@ def test_an_interrupted_publish_leaves_the_old_table(spark, tmp_path):
 
 
 def test_empty_slices_keep_their_columns(spark, tmp_path):
-    kept = files.write_slice(spark.range(4), F.col("id") > 10, str(tmp_path / "none"))
+    kept = files.publish_slice(spark.range(4), F.col("id") > 10, str(tmp_path / "none"))
     assert kept.columns == ["id"] and kept.count() == 0
 
 

@@ -32,6 +32,23 @@ def test_csv_counts_empty_surplus_fields(spark, tmp_path, multi_line):
     assert got.select("b").count() == 5
 
 
+def test_csv_quarantine_keeps_every_line(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text('a,b\n1,2\n3,4,\n5\n6,"x,y"\n9,10,,11\n12,"q""r"\n')
+    (tmp_path / "in" / "b.csv").write_text("a,b\n7,8,z\n13,\na,b\n")
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    good = files.scan_csv(spark, str(tmp_path / "in"), schema, corrupt_to=str(tmp_path / "bad"))
+    assert sorted(map(tuple, good.collect()), key=str) == sorted(
+        [("1", "2"), ("5", None), ("6", "x,y"), ("12", 'q"r'), ("13", None), ("a", "b")], key=str
+    )
+    bad = files.published(spark, str(tmp_path / "bad")).collect()
+    assert {(r["line"], r["file"].rsplit("/", 1)[1], r["reason"]) for r in bad} == {
+        ("3,4,", "a.csv", "more than 2 fields"), ("9,10,,11", "a.csv", "more than 2 fields"), ("7,8,z", "b.csv", "more than 2 fields")
+    }
+    with pytest.raises(ValueError):
+        files.scan_csv(spark, str(tmp_path), schema, multi_line=True, corrupt_to="x")
+
+
 def test_csv_is_split(spark, tmp_path, monkeypatch):
     (tmp_path / "a.csv").write_text("asin,title,price\n" + "1,a title,2\n" * 20_000)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
