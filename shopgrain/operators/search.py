@@ -35,6 +35,7 @@ def keyword_search(
         F.coalesce("price", F.lit(0.0)).alias("price"),
         F.coalesce("rating", F.lit(0.0)).alias("rating"),
         F.round("_raw", 4).alias("score"),
+        _text(df, "sentiment_label", "N/A").alias("sentiment"), _text(df, "image_url", "").alias("image_url"),
     )
 
 

@@ -110,12 +110,17 @@ SELECT * EXCLUDE (is_bestseller, filled),
  CASE WHEN coalesce(rating, 3.0) = 0 THEN NULL
   ELSE {half_even('coalesce(price, 0) / coalesce(rating, 3.0)', 2)} END AS price_per_rating
 FROM features0"""),
-    "quality0": (("features",), """
+    "product_scores": (("enriched",), """
+SELECT substr(product_id, 2)::BIGINT AS product_idx, sentiment_compound, sentiment_label, fake_review_score, product_risk_tier,
+ features_mentioned, clean_review FROM enriched WHERE product_id LIKE 'S%'"""),
+    "enriched_products": (("products", "product_scores"), """
+SELECT * FROM products JOIN product_scores USING (product_idx)"""),
+    "quality0": (("features", "product_scores"), """
 SELECT *, greatest(1, least(5, coalesce(rating, 3.0))) AS qr, ln(1 + review_count) AS qp,
- coalesce(value_score, 50.0) AS qv FROM features"""),
+ coalesce(value_score, 50.0) AS qv FROM features JOIN product_scores USING (product_idx)"""),
     "quality": (("quality0",), """
-SELECT *, 0.35 * rating_score + 0.20 * popularity_part + 0.20 * value_part + 0.15 * 0.5 + 0.10 * 1.0
- AS quality_score
+SELECT *, 0.35 * rating_score + 0.20 * popularity_part + 0.20 * value_part
+ + 0.15 * ((sentiment_compound + 1) / 2) + 0.10 * (1 - fake_review_score / 100) AS quality_score
 FROM (SELECT * EXCLUDE (qr, qp, qv),
   CASE WHEN max(qr) OVER () = min(qr) OVER () THEN 0
    ELSE (qr - min(qr) OVER ()) / (max(qr) OVER () - min(qr) OVER ()) END AS rating_score,

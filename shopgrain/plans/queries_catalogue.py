@@ -161,10 +161,11 @@ def _(v: Views):
 @query("lookup_by_index", """
 SELECT product_idx, product_id, product_name, category, coalesce(price, 0) AS price, list_price,
  coalesce(discount_pct, 0) AS discount_pct, coalesce(rating, 0) AS rating, review_count, brand,
- 'N/A' AS sentiment, 0.0::DOUBLE AS fake_score, 'N/A' AS risk_tier, coalesce(image_url, '') AS image_url,
- coalesce(value_score, 0) AS value_score FROM features WHERE product_idx = 39""", ["features"])
+ sentiment_label AS sentiment, fake_review_score::DOUBLE AS fake_score, product_risk_tier AS risk_tier,
+ coalesce(image_url, '') AS image_url, coalesce(value_score, 0) AS value_score
+FROM features JOIN product_scores USING (product_idx) WHERE product_idx = 39""", ["features", "product_scores"])
 def _(v: Views):
-    return cleaning.product_detail(v.features, 39)
+    return cleaning.product_detail(v.features.join(v.product_scores, "product_idx"), 39)
 
 
 @query("contains_search", """

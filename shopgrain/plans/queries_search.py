@@ -20,14 +20,15 @@ COSINE = "list_dot_product({a}, {b}) / (sqrt(list_dot_product({a}, {a})) * sqrt(
 
 @query("keyword_search", """
 SELECT row_number() OVER (ORDER BY round(raw, 6) DESC, product_idx)::INTEGER AS rank, product_id,
- product_name, category, coalesce(price, 0) AS price, coalesce(rating, 0) AS rating, round(raw, 4) AS score
+ product_name, category, coalesce(price, 0) AS price, coalesce(rating, 0) AS rating, round(raw, 4) AS score,
+ sentiment_label AS sentiment, coalesce(image_url, '') AS image_url
 FROM (SELECT *, len(list_intersect(list_distinct(string_split(lower(product_name), ' ')), ['best', 'red', 'ring']))
   / 4 * 0.7 + coalesce(nullif(rating, 0), 3) / 5 * 0.3 AS raw
- FROM products WHERE coalesce(rating, 0) >= 1 AND coalesce(price, 0) <= 900)
-WHERE raw > 0 ORDER BY round(raw, 6) DESC, product_idx LIMIT 25""", ["products"])
+ FROM enriched_products WHERE coalesce(rating, 0) >= 1 AND coalesce(price, 0) <= 900)
+WHERE raw > 0 ORDER BY round(raw, 6) DESC, product_idx LIMIT 25""", ["enriched_products"])
 def _(v: Views):
     return search.keyword_search(
-        v.products, "Best red ring", k=25, category="no such", min_rating=1.0, max_price=900.0
+        v.enriched_products, "Best red ring", k=25, category="no such", min_rating=1.0, max_price=900.0
     )
 
 
@@ -317,23 +318,24 @@ def _(v: Views):
 @query("format_recommendations", """
 SELECT row_number() OVER (ORDER BY rating DESC NULLS LAST, product_idx)::INTEGER AS rank, product_idx,
  left(product_name, 70) AS product_name, category, coalesce(price, 0) AS price, coalesce(rating, 0) AS rating,
- round(coalesce(rating, 0) / 5, 4) AS score, 'N/A' AS sentiment FROM products QUALIFY rank <= 10""", ["products"])
+ round(coalesce(rating, 0) / 5, 4) AS score, sentiment_label AS sentiment
+FROM enriched_products QUALIFY rank <= 10""", ["enriched_products"])
 def _(v: Views):
-    return recommend.format_recs(recommend.top_rated(v.products, 10))
+    return recommend.format_recs(recommend.top_rated(v.enriched_products, 10))
 
 
 @query("compare_products", """
-WITH s AS (SELECT category, product_idx, round(coalesce(rating, 0) * 20 + (100 - 0) * 0.3
+WITH s AS (SELECT category, product_idx, round(coalesce(rating, 0) * 20 + (100 - fake_review_score) * 0.3
  + least(review_count, 300000) / 300000 * 30, 6) AS score,
- row_number() OVER (PARTITION BY category ORDER BY review_count DESC, product_idx) AS rk FROM products)
+ row_number() OVER (PARTITION BY category ORDER BY review_count DESC, product_idx) AS rk FROM enriched_products)
 SELECT a.category, a.product_idx AS a, b.product_idx AS b, a.score AS score_a, b.score AS score_b,
  CASE WHEN a.score >= b.score THEN a.product_idx ELSE b.product_idx END AS winner
-FROM s a JOIN s b ON a.category = b.category AND a.rk = 1 AND b.rk = 2""", ["products"])
+FROM s a JOIN s b ON a.category = b.category AND a.rk = 1 AND b.rk = 2""", ["enriched_products"])
 def _(v: Views):
-    rows = v.products.select("category", "product_idx", "rating", "review_count")
+    rows = v.enriched_products.select("category", "product_idx", "rating", "review_count", "fake_review_score")
     best = ordering.topk(rows, ["category"], [F.desc("review_count"), F.asc("product_idx")], 2)
     scored = best.withColumn(
-        "score", F.round(N.compare_score(F.col("rating"), F.lit(0.0), F.col("review_count")), 6)
+        "score", F.round(N.compare_score(F.col("rating"), F.col("fake_review_score"), F.col("review_count")), 6)
     )
     return recommend.compare_pairs(scored.where("rank = 1"), scored.where("rank = 2"), "category")
 

@@ -116,13 +116,26 @@ class Views:
         """Products as a written table, for queries that read them several times."""
         return materialise(self.products, "products")
 
+    @cached_property
+    def product_scores(self) -> DataFrame:
+        """What the text stage finds in each product's own review."""
+        found = OwnReviews(self.spark, self.sf_dir).enriched
+        return found.select(
+            F.substring("product_id", 2, 20).cast("bigint").alias("product_idx"), "sentiment_compound", "sentiment_label",
+            "fake_review_score", "product_risk_tier", "features_mentioned", "clean_review",
+        )
+
+    @cached_property
+    def enriched_products(self) -> DataFrame:
+        return self.products.join(self.product_scores, "product_idx")
+
     @cached_property
     def features(self) -> DataFrame:
         return features.engineer_features(self.stored_products)
 
     @cached_property
     def quality(self) -> DataFrame:
-        return features.quality_score(self.features)
+        return features.quality_score(self.features.join(self.product_scores, "product_idx"))
 
     @cached_property
     def stored_quality(self) -> DataFrame:
@@ -145,18 +158,21 @@ class Views:
                 F.when(doc % 12 != 0, (doc % 6).cast("double")).alias("rating"),
             )
         )
-        k = F.col("p_partkey")
+        return long.unionByName(self.brief_reviews)
+
+    @cached_property
+    def brief_reviews(self) -> DataFrame:
+        """One short review of each part."""
+        part, k = self.table("part"), F.col("p_partkey")
         short = F.when(k % 8 == 7, F.concat(F.lit("Nice "), F.col("p_name"), F.lit(" for the kitchen")))
         for i, s in enumerate(SHORT_REVIEWS):
             short = short.when(k % 8 == i, F.lit(s).cast("string"))
-        brief = part.select(
+        return part.select(
             F.concat(F.lit("S"), k.cast("string")).alias("product_id"),
             F.col("p_name").alias("product_name"),
             short.alias("review_text"),
             F.when(k % 11 != 0, (F.floor(k / 8) % 6).cast("double")).alias("rating"),
         )
-        return long.unionByName(brief)
-
     @cached_property
     def cleaned(self) -> DataFrame:
         r = self.reviews.withColumns(
@@ -212,7 +228,7 @@ class Views:
         return self.dictionary_stage.select(
             "product_id", "product_name", "rating", "text_length", "word_count", "has_review",
             "predicted_category", "brand_extracted", "price_mentioned", "features_mentioned",
-            "feature_count", "combined_text", score.alias("fake_review_score"),
+            "feature_count", "clean_review", "combined_text", score.alias("fake_review_score"),
         ).withColumn("fake_review_flag", F.col("fake_review_score") >= 50)
 
     @cached_property
@@ -275,3 +291,11 @@ class Views:
             ((F.col("vec_id") * 7 % 51) / 10.0).alias("rating"),
             (F.col("vec_id") % 100).cast("double").alias("price"),
         )
+
+
+class OwnReviews(Views):
+    """The same views over the short reviews of the products alone."""
+
+    @cached_property
+    def reviews(self) -> DataFrame:
+        return self.brief_reviews
