@@ -118,15 +118,17 @@ def _(v: Views):
 
 
 def product_content(v: Views):
-    """Names, categories and brands of products as content text."""
-    none = F.lit("")
-    text = X.content_text(F.col("product_name"), F.col("category"), F.col("brand"), none, none, None)
-    return v.stored_products.select("product_idx", text.alias("content"))
+    """Names, categories, brands, reviews and mentioned features of products as content text."""
+    columns = ("product_name", "category", "brand", "clean_review", "features_mentioned")
+    rows = v.stored_products.join(v.product_scores, "product_idx")
+    return rows.select("product_idx", X.content_text(*map(F.col, columns)).alias("content"))
 
 
-_CONTENT = """
+_CONTENT = f"""
 ptok AS (SELECT product_idx AS key, list_filter(string_split_regex(lower(concat_ws(' ', product_name, product_name,
-  category, brand)), '[^\\p{L}\\p{N}_]+'), lambda w: length(w) > 1) AS t FROM products),
+  category, brand, CASE WHEN length(clean_review) > 10 THEN clean_review END,
+  CASE WHEN features_mentioned <> 'none' THEN replace(features_mentioned, ',', ' ') END)), '[^\\p{{L}}\\p{{N}}_]+'),
+  lambda w: length(w) > 1 AND w NOT IN {ctes.words_in(D.STOP_WORDS)}) AS t FROM enriched_products),
 prow AS (SELECT key, unnest(t) AS term FROM ptok UNION ALL SELECT key, t[i] || ' ' || t[i + 1]
  FROM (SELECT key, t, unnest(range(1, len(t))) AS i FROM ptok WHERE len(t) > 1)),
 pn AS (SELECT key, term, count(*) AS tf FROM prow GROUP BY ALL),
@@ -156,7 +158,7 @@ pairs AS (SELECT anchor, q.product_idx, 0.45 * coalesce(cosine, 0) + 0.25 * qual
  UNION ALL SELECT -1, product_idx, quality_score FROM quality)
 SELECT anchor AS query_id, product_idx, round(raw, 4) AS score,
  row_number() OVER (PARTITION BY anchor ORDER BY round(raw, 6) DESC, product_idx)::INTEGER AS rank
-FROM pairs QUALIFY rank <= 10""", ["products", "quality"])
+FROM pairs QUALIFY rank <= 10""", ["products", "quality", "enriched_products"])
 def _(v: Views):
     weights, _ = tfidf.tfidf(product_content(v), "product_idx", "content", INDEX_TERMS)
     # Read for the anchors and again for all items.
@@ -196,7 +198,7 @@ pairs AS (SELECT query_id, product_idx, (0.45 * coalesce(cosine, 0) + 0.25 * qua
  FROM ask CROSS JOIN quality LEFT JOIN near USING (query_id, product_idx))
 SELECT query_id, product_idx, round(raw, 4) AS score,
  row_number() OVER (PARTITION BY query_id ORDER BY round(raw, 6) DESC, product_idx)::INTEGER AS rank
-FROM pairs QUALIFY rank <= 10""", ["products", "quality"])
+FROM pairs QUALIFY rank <= 10""", ["products", "quality", "enriched_products"])
 def _(v: Views):
     weights, vocab = tfidf.tfidf(product_content(v), "product_idx", "content", INDEX_TERMS)
     asks = local_table(v.spark, REQUESTS, REQUEST_SCHEMA)
@@ -458,7 +460,7 @@ def _filled(hits):
     )
 
 
-@query("build_context", f"WITH {_HITS}, {_CONTEXT} SELECT query_id, context FROM context", ["products"])
+@query("build_context", f"WITH {_HITS}, {_CONTEXT} SELECT query_id, context FROM context", ["products", "enriched_products"])
 def _(v: Views):
     return search.build_context(_filled(keyword_hits(v)[1]), style="line")
 
@@ -484,7 +486,7 @@ history AS (SELECT conv_id, string_agg('User: ' || ask || '\nAssistant: ' || rep
  FROM (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) <= 3) GROUP BY 1)
 SELECT query_id, {_sql_text(search.PROMPT_HEAD)} || coalesce(context, '') || '\n\nHISTORY:\n' || coalesce(history, '')
  || '\n\nQUESTION: ' || text || '\n' || {_sql_text(search.PROMPT_TAIL)} AS prompt
-FROM ask LEFT JOIN context USING (query_id) LEFT JOIN history ON conv_id = query_id""", ["products"])
+FROM ask LEFT JOIN context USING (query_id) LEFT JOIN history ON conv_id = query_id""", ["products", "enriched_products"])
 def _(v: Views):
     asks, hits = keyword_hits(v)
     history = search.last_turns(v.table("conversations")).withColumnRenamed("conv_id", "query_id")
@@ -502,7 +504,7 @@ SELECT query_id, coalesce(n, 0) AS n_sources, CASE WHEN n IS NULL THEN 'I couldn
  ELSE 'Based on our database, I found ' || n || ' relevant products. Top match: ' || left(product_name, 50) || ' at $'
  || printf('%.2f', round(price, 2)) || ' with ' || printf('%.1f', round(rating, 1)) || '/5 rating.' END AS answer
 FROM ask LEFT JOIN (SELECT query_id, count(*) AS n FROM hits GROUP BY 1) USING (query_id)
-LEFT JOIN (SELECT * FROM hits WHERE rank = 1) USING (query_id)""", ["products"])
+LEFT JOIN (SELECT * FROM hits WHERE rank = 1) USING (query_id)""", ["products", "enriched_products"])
 def _(v: Views):
     asks, hits = keyword_hits(v)
     return search.fallback_answer(asks.select("query_id"), hits)
@@ -512,7 +514,7 @@ def _(v: Views):
 WITH {_HITS}
 SELECT query_id, text, coalesce(n, 0) AS n_retrieved, coalesce(product_name, '') AS top_product
 FROM ask LEFT JOIN (SELECT query_id, count(*) AS n FROM hits GROUP BY 1) USING (query_id)
-LEFT JOIN (SELECT query_id, product_name FROM hits WHERE rank = 1) USING (query_id)""", ["products"])
+LEFT JOIN (SELECT query_id, product_name FROM hits WHERE rank = 1) USING (query_id)""", ["products", "enriched_products"])
 def _(v: Views):
     asks, hits = keyword_hits(v)
     return search.batch_queries(asks.select("query_id", "text"), hits)
