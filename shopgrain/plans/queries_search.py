@@ -28,7 +28,7 @@ FROM (SELECT *, len(list_intersect(list_distinct(string_split(lower(product_name
 WHERE raw > 0 ORDER BY round(raw, 6) DESC, product_idx LIMIT 25""", ["enriched_products"])
 def _(v: Views):
     return search.keyword_search(
-        v.enriched_products, "Best red ring", k=25, category="no such", min_rating=1.0, max_price=900.0
+        v.labelled_products, "Best red ring", k=25, category="no such", min_rating=1.0, max_price=900.0
     )
 
 
@@ -323,7 +323,7 @@ SELECT row_number() OVER (ORDER BY rating DESC NULLS LAST, product_idx)::INTEGER
  round(coalesce(rating, 0) / 5, 4) AS score, sentiment_label AS sentiment
 FROM enriched_products QUALIFY rank <= 10""", ["enriched_products"])
 def _(v: Views):
-    return recommend.format_recs(recommend.top_rated(v.enriched_products, 10))
+    return recommend.format_recs(recommend.top_rated(v.labelled_products, 10))
 
 
 @query("compare_products", """

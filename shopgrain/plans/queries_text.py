@@ -177,7 +177,7 @@ SELECT 'prod_' || product_idx AS id, left(product_name, 100) AS product_name, ca
  coalesce(price, 0) AS price, coalesce(rating, 0) AS rating, brand, sentiment_label AS sentiment, product_idx
 FROM enriched_products""", ["enriched_products"])
 def _(v: Views):
-    return search.document_metadata(v.enriched_products).select("id", "metadata.*")
+    return search.document_metadata(v.labelled_products).select("id", "metadata.*")
 
 
 @query("truncate_display", """

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.functions import dictionaries as D
@@ -116,19 +116,37 @@ class Views:
         """Products as a written table, for queries that read them several times."""
         return materialise(self.products, "products")
 
+    @cached_property
+    def product_sentiment(self) -> DataFrame:
+        """Sentiment of each product's own review."""
+        own = OwnReviews(self.spark, self.sf_dir)
+        return own.sentiment.select(own.product_number, "sentiment_compound", "sentiment_label")
+
     @cached_property
     def product_scores(self) -> DataFrame:
-        """What the text stage finds in each product's own review."""
-        found = OwnReviews(self.spark, self.sf_dir).enriched
-        return found.select(
-            F.substring("product_id", 2, 20).cast("bigint").alias("product_idx"), "sentiment_compound", "sentiment_label",
-            "fake_review_score", "product_risk_tier", "features_mentioned", "clean_review",
+        """Sentiment, fake score, risk, features and cleaned text of each product's own review."""
+        own = OwnReviews(self.spark, self.sf_dir)
+        found = own.matched.withColumn("features", X.mentions(MATCHER.found("hits"), D.FEATURE_KEYWORDS))
+        found = found.withColumns(
+            {"features_mentioned": X.mention_list("features"), "feature_count": F.size("features").cast("bigint")}
+        )
+        found = found.withColumn("fake_review_score", trust.fake_score("clean_review", "rating", "batch", "feature_count"))
+        carry = ["rating", "fake_review_score", "features_mentioned", "clean_review"]
+        both = sentiment.sentiment(found, "product_id", "combined_text", own.lexicon, carry)
+        return both.select(
+            own.product_number, "sentiment_compound", "sentiment_label", "fake_review_score",
+            trust.risk_tier("fake_review_score", "sentiment_compound", "rating").alias("product_risk_tier"),
+            "features_mentioned", "clean_review",
         )
 
     @cached_property
     def enriched_products(self) -> DataFrame:
         return self.products.join(self.product_scores, "product_idx")
 
+    @cached_property
+    def labelled_products(self) -> DataFrame:
+        return self.products.join(self.product_sentiment, "product_idx")
+
     @cached_property
     def features(self) -> DataFrame:
         return features.engineer_features(self.stored_products)
@@ -228,7 +246,7 @@ class Views:
         return self.dictionary_stage.select(
             "product_id", "product_name", "rating", "text_length", "word_count", "has_review",
             "predicted_category", "brand_extracted", "price_mentioned", "features_mentioned",
-            "feature_count", "clean_review", "combined_text", score.alias("fake_review_score"),
+            "feature_count", "combined_text", score.alias("fake_review_score"),
         ).withColumn("fake_review_flag", F.col("fake_review_score") >= 50)
 
     @cached_property
@@ -296,6 +314,11 @@ class Views:
 class OwnReviews(Views):
     """The same views over the short reviews of the products alone."""
 
+    @property
+    def product_number(self) -> Column:
+        """The product that a review's id belongs to."""
+        return F.expr("CAST(substring(product_id, 2) AS BIGINT)").alias("product_idx")
+
     @cached_property
     def reviews(self) -> DataFrame:
         return self.brief_reviews
