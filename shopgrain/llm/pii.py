@@ -1,7 +1,8 @@
 """Personal data: patterns propose spans, checksums confirm them, words nearby adjust the score.
 
 Base kinds (email, ip, card, phone) are kept whenever their pattern and check hold; their score says
-how sure the context makes them. Further kinds (iban, ssn, id_card) are kept only when the score,
+how sure the context makes them. Context is whole words (English, French, German, Spanish) within
+``NEAR`` signs. Further kinds (iban, ssn) are kept only when the score,
 checksum and context together reach ``LEAST_SCORE``.
 
 Defined results: a null text is the empty text and has no spans; the whole text is read, whatever its
@@ -25,14 +26,34 @@ KINDS = (*BASE, "iban", "ssn")
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8, "ssn": 0.35}
 FOR, AGAINST, LEAST_SCORE, NEAR = 0.25, -0.3, 0.7, 48
 CONTEXT = {
-    "email": ("mail", "contact", "write", "@"),
-    "ip": ("ip", "address", "host", "server", "login"),
-    "card": ("card", "visa", "credit", "payment", "carte", "karte", "tarjeta"),
-    "phone": ("phone", "tel", "call", "mobile", "fax", "contact"),
-    "iban": ("iban", "account", "bank", "konto", "compte", "cuenta"),
-    "ssn": ("ssn", "social security", "social-security"),
+    "email": ("mail", "email", "e-mail", "contact", "write", "courriel", "contacter", "kontakt", "schreiben", "correo", "contacto"),
+    "ip": ("ip", "address", "host", "server", "login", "adresse", "serveur", "rechner", "dirección", "servidor"),
+    "card": ("card", "visa", "credit", "payment", "carte", "crédit", "paiement", "karte", "kreditkarte", "zahlung", "tarjeta", "crédito", "pago"),
+    "phone": ("phone", "tel", "call", "mobile", "fax", "contact", "téléphone", "appeler", "telefon", "anruf", "handy", "teléfono", "llamar", "móvil"),
+    "iban": ("iban", "account", "bank", "compte", "banque", "konto", "cuenta", "banco"),
+    "ssn": ("ssn", "social security", "social-security", "sécurité sociale", "sozialversicherung", "seguridad social"),
 }
-DOUBTS = ("version", "example", "sample", "test", "isbn", "invoice", "order no")
+DOUBTS = (
+    "version", "example", "sample", "test", "isbn", "invoice", "order no", "exemple", "facture", "beispiel", "rechnung",
+    "ejemplo", "prueba", "factura",
+)
+
+
+def _any_word(words: tuple[str, ...]) -> re.Pattern:
+    """One of some words, whole: no letter or digit stands next to it."""
+    return re.compile(rf"(?<![^\W_])(?:{'|'.join(map(re.escape, words))})(?![^\W_])")
+
+
+_CONTEXT, _DOUBTS = {kind: _any_word(words) for kind, words in CONTEXT.items()}, _any_word(DOUBTS)
+
+# Signs of an international account number, by country.
+IBAN_LENGTHS = dict(
+    AD=24, AE=23, AL=28, AT=20, AZ=28, BA=20, BE=16, BG=22, BH=22, BR=29, BY=28, CH=21, CR=22, CY=28, CZ=24, DE=22, DK=18,
+    DO=28, EE=20, EG=29, ES=24, FI=18, FO=18, FR=27, GB=22, GE=22, GI=23, GL=18, GR=27, GT=28, HR=21, HU=28, IE=22, IL=23,
+    IQ=23, IS=26, IT=27, JO=30, KW=30, KZ=20, LB=28, LC=32, LI=21, LT=20, LU=20, LV=21, MC=27, MD=24, ME=22, MK=19, MR=27,
+    MT=31, MU=30, NL=18, NO=15, PK=24, PL=28, PS=29, PT=25, QA=29, RO=24, RS=22, SA=24, SC=31, SE=24, SI=19, SK=24, SM=27,
+    ST=25, SV=28, TL=23, TN=24, TR=26, UA=29, VA=22, VG=24, XK=20,
+)
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -40,7 +61,7 @@ _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _DIGITS = re.compile(r"[0-9]")
 
@@ -95,18 +116,36 @@ def proposals(text: str) -> Iterator[tuple[str, int, int]]:
         if 10 <= len(_digits(m[0])) <= 15:
             yield "phone", *m.span()
     for m in _IBAN.finditer(text):
-        if 15 <= len(code := m[0].replace(" ", "")) <= 34 and mod97(code):
-            yield "iban", *m.span()
+        end = _account_end(text, m.start(), IBAN_LENGTHS.get(m[0][:2], 0))
+        if end and mod97(text[m.start() : end].replace(" ", "")):
+            yield "iban", m.start(), end
     for m in _SSN.finditer(text):
         area, group, serial = m[0].split("-")
         if area not in ("000", "666") and area < "900" and group != "00" and serial != "0000":
             yield "ssn", *m.span()
 
 
+def _account_end(text: str, start: int, signs: int) -> int:
+    """Where so many capitals and digits end, single blanks between them left out; 0 if there are fewer or more.
+
+    The country says how many there are, so a capital word behind the number does not count as a part of it.
+    """
+    at, seen = start, 0
+    while seen < signs:
+        if text[at : at + 1] == " " and seen:
+            at += 1
+        sign = text[at : at + 1]
+        if not (sign.isascii() and (sign.isdigit() or sign.isupper())):
+            return 0
+        at, seen = at + 1, seen + 1
+    behind = text[at : at + 1]
+    return 0 if not signs or (behind.isascii() and behind.isalnum()) else at
+
+
 def score(text: str, kind: str, start: int, end: int) -> float:
     """The prior of the kind, moved by words within ``NEAR`` signs before and after the span."""
     near = f"{text[max(0, start - NEAR):start]} {text[end:end + NEAR]}".lower()
-    moved = FOR * any(w in near for w in CONTEXT[kind]) + AGAINST * any(w in near for w in DOUBTS)
+    moved = FOR * bool(_CONTEXT[kind].search(near)) + AGAINST * bool(_DOUBTS.search(near))
     return round(min(1.0, max(0.0, PRIOR[kind] + moved)), 2)
 
 

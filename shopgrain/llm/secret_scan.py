@@ -48,7 +48,11 @@ BASE_RULES = (
 )
 EXTRA_RULES = (
     Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", hints=("private key",)),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", hints=("eyj",)),
+    # Only at the start of a word, and without going back in it: linear however often a text says "eyJ".
+    Rule(
+        "jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}+\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+", hints=("eyj",),
+        version=2,
+    ),
     Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,255}", hints=("gh",)),
 )
 RULES = BASE_RULES + EXTRA_RULES

@@ -94,11 +94,34 @@ def test_checksums_and_context():
 
 
 def test_long_texts_take_linear_time():
-    for text in ("a" * 400_000, "a" * 200_000 + "@", "1" * 400_000, "1." * 200_000, "+1" + "(" * 400_000, "@" * 400_000):
+    for text in ("a" * 400_000, "a" * 200_000 + "@", "1" * 400_000, "1." * 200_000, "+1" + "(" * 400_000, "@" * 400_000, "eyJ" * 130_000, "DE89 " * 80_000, "DE89" * 100_000):
         pii.find_pii(text)
         secret_scan.find_secrets(text, secret_scan.RULES, {r.key for r in secret_scan.RULES})
 
 
+def test_context_is_whole_words():
+    ip = "10.0.0.1"
+    assert pii.score(f"shipping {ip}", "ip", 9, 17) == pii.PRIOR["ip"]
+    assert pii.score(f"ip {ip}", "ip", 3, 11) > pii.PRIOR["ip"] and pii.score(f"Serveur: {ip}", "ip", 9, 17) > pii.PRIOR["ip"]
+    assert pii.score(f"the latest {ip}", "ip", 11, 19) == pii.PRIOR["ip"] > pii.score(f"a test {ip}", "ip", 7, 15)
+    assert pii.score("hotel +49 30 123456", "phone", 6, 19) == pii.PRIOR["phone"]
+
+
+def test_account_numbers_end_where_their_country_says():
+    code = "ES91 2100 0418 4502 0005 1332"
+    for behind in ("", " IN", " AND more", ".", " 12"):
+        found = [(s["start"], s["end"]) for s in pii.find_pii(f"x {code}{behind}") if s["kind"] == "iban"]
+        assert found == [(2, 2 + len(code))], behind
+    for wrong in (code + "1", code[:-1], code.replace("ES", "DE"), code.replace("91", "92"), "ZZ91 2100 0418 4502 0005 1332"):
+        assert not [s for s in pii.find_pii(wrong) if s["kind"] == "iban"]
+
+
+def test_web_tokens():
+    token = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NSJ9.abcdefghij_-0123"
+    found = [s for s in secret_scan.find_secrets(f"a {token}.", secret_scan.RULES, {r.key for r in secret_scan.RULES}) if s["kind"] == "jwt"]
+    assert [(s["start"], s["end"]) for s in found] == [(2, 2 + len(token))]
+
+
 def test_queries_on_whole_documents(spark, sf_dir, texts):
     for query, plain in ((queries.op3_pii, plain_pii), (queries.op10_secrets, plain_secrets)):
         got = {r["doc_id"]: r for r in query(spark, sf_dir).collect()}
