@@ -1,21 +1,32 @@
 """Truncated, uncentred SVD of a sparse table by randomised subspace iteration.
 
-The matrix stays a long table (row, col, value). Every product with it is a join
-and a grouped sum that combines on the map side, so a row or column that holds a
-large share of all entries is split over tasks. Only Gram matrices of
-``rank + oversample`` squared numbers reach the driver.
+The entries are packed once into cells of a grid: hashes of row and column name the cell, and a cell that
+holds a large share of a hot row or column is split further by a hash of both, so each is bounded. A product
+sends every dense row to the cells that hold it, once each however many entries it has there; a task multiplies
+one cell with numpy and hands on one partial row per row of its cell, and these meet in grouped sums that
+combine on the map side. Only Gram matrices of ``rank + oversample`` squared numbers reach the driver.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil, sqrt
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.operators.checkpoints import materialise
+from shopgrain.operators.checkpoints import materialise, new_path
+
+# Bytes of dense rows that a task holds for one cell, if every entry needs a row of its own.
+CELL_BYTES = 64 << 20
+# Cells in a file: a reader holds whole batches of them.
+CELLS_PER_FILE = 16
+# Partial Gram matrices that reach the driver.
+MERGED = 8
+# Entries multiplied at a time within a cell.
+CHUNK = 1 << 14
 
 
 @dataclass
@@ -33,27 +44,32 @@ def _names(width: int) -> list[str]:
 
 
 def _gram(df: DataFrame, names: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
-    """Sum over rows of x x^T, of x, and the number of rows; one partial result per task."""
+    """Sum over rows of x x^T, of x, and the number of rows; ``MERGED`` partial results reach the driver."""
     width = len(names)
 
     def partial(batches):
-        total = np.zeros((width + 1, width))
-        n = 0
+        total, n = np.zeros((width + 1, width)), 0
         for pdf in batches:
             x = pdf.to_numpy(dtype=float)
             total[:width] += x.T @ x
             total[width] += x.sum(axis=0)
             n += len(x)
         if n:
-            yield pd.DataFrame({"i": np.arange(width + 1), "n": n, "x": list(total)})
+            yield pd.DataFrame({"n": [n], "x": [total.tobytes()]})
 
-    parts = df.select(*names).mapInPandas(partial, "i int, n long, x array<double>")
-    sums = [F.sum(F.col("x")[j]).alias(f"x{j}") for j in range(width)]
-    rows = sorted(parts.groupBy("i").agg(F.sum("n").alias("n"), *sums).collect())
-    if not rows:
-        return np.zeros((width, width)), np.zeros(width), 0
-    total = np.array([r[2:] for r in rows])
-    return total[:width], total[width], rows[0]["n"]
+    def merge(batches):
+        total, n = np.zeros((width + 1) * width), 0
+        for pdf in batches:
+            for x in pdf["x"]:
+                total += np.frombuffer(x)
+            n += int(pdf["n"].sum())
+        if n:
+            yield pd.DataFrame({"n": [n], "x": [total.tobytes()]})
+
+    kind = "n long, x binary"
+    parts = df.select(*names).mapInPandas(partial, kind).repartition(MERGED).mapInPandas(merge, kind).collect()
+    total = sum((np.frombuffer(r["x"]) for r in parts), np.zeros((width + 1) * width)).reshape(width + 1, width)
+    return total[:width], total[width], sum(r["n"] for r in parts)
 
 
 def _times(df: DataFrame, key: str, names: list[str], matrix: np.ndarray) -> DataFrame:
@@ -71,69 +87,176 @@ def _times(df: DataFrame, key: str, names: list[str], matrix: np.ndarray) -> Dat
     return df.select(key, *names).mapInPandas(multiply, schema)
 
 
-def _orthonormal(df: DataFrame, key: str, names: list[str]) -> tuple[DataFrame, list[str]]:
-    values, vectors = np.linalg.eigh(_gram(df, names)[0])
+def _whitening(gram: np.ndarray) -> np.ndarray:
+    """The matrix that makes columns with this Gram matrix orthonormal; directions of no weight go."""
+    values, vectors = np.linalg.eigh(gram)
     keep = values > max(values.max(), 0.0) * 1e-12
-    basis = vectors[:, keep] / np.sqrt(values[keep])
-    return _times(df, key, names, basis), _names(int(keep.sum()))
+    return vectors[:, keep] / np.sqrt(values[keep])
+
+
+@dataclass
+class Cells:
+    """A sparse matrix in packed cells, and for every row and column the cells that hold it."""
+
+    table: DataFrame
+    uses: dict[str, DataFrame]
+
 
+def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One cell as a row: its distinct ids, and its entries as places among them."""
+    out = pdf[["rb", "cb", "part"]].head(1).reset_index(drop=True)
+    for side in ("row", "col"):
+        places, ids = pd.factorize(pdf[side], use_na_sentinel=False)
+        out[side] = [ids.tolist()]
+        out[f"{side}_at"] = [places.astype(np.int32).tobytes()]
+    out["value"] = [pdf["value"].to_numpy(dtype=float).tobytes()]
+    return out
 
-def _multiply(entries: DataFrame, on: str, to: str, dense: DataFrame, names: list[str]) -> DataFrame:
-    """Sparse times dense: join on one index, weighted sums by the other."""
-    sums = [F.sum(F.col("value") * F.col(n)).alias(n) for n in names]
-    return entries.join(dense, on).groupBy(to).agg(*sums)
+
+def pack_cells(entries: DataFrame, width: int) -> Cells:
+    """Cells of (row, col, value), sized so that products with ``width`` columns stay bounded.
+
+    The grid has as many cells as the entries need, or as tasks can run. Its shape follows the numbers of
+    rows and columns, which need not be exact: it changes balance, never results.
+    """
+    tasks = entries.sparkSession.sparkContext.defaultParallelism
+    n, rows, cols = entries.agg(
+        F.count("*"), F.approx_count_distinct("row"), F.approx_count_distinct("col")
+    ).first()
+    size = max(1, min(CELL_BYTES // (8 * width), ceil(n / tasks)))
+    rows, cols = max(rows, 1), max(cols, 1)
+    down = max(1, min(rows, round(sqrt(n / size * rows / cols))))
+    across = max(1, min(cols, ceil(n / size / down)))
+    placed = entries.select(
+        F.pmod(F.xxhash64("row"), F.lit(down)).cast("int").alias("rb"),
+        F.pmod(F.xxhash64("col"), F.lit(across)).cast("int").alias("cb"), "row", "col", "value",
+    )
+    parts = placed.groupBy("rb", "cb").agg(F.ceil(F.count("*") / size).alias("parts"))
+    split = placed.join(parts, ["rb", "cb"]).withColumn(
+        "part", F.pmod(F.xxhash64("row", "col"), F.col("parts")).cast("int")
+    )
+    kinds = {side: entries.schema[side].dataType.simpleString() for side in ("row", "col")}
+    schema = ("rb int, cb int, part int, " + ", ".join(f"{s} array<{k}>, {s}_at binary" for s, k in kinds.items())
+              + ", value binary")
+    packed = split.drop("parts").groupBy("rb", "cb", "part").applyInPandas(_pack, schema)
+    path = new_path(entries.sparkSession, "cells")
+    packed.write.option("maxRecordsPerFile", CELLS_PER_FILE).parquet(path)
+    table = entries.sparkSession.read.schema(packed.schema).parquet(path)
+    at = F.struct("rb", "cb", "part").alias("at")
+    uses = {
+        side: materialise(
+            table.select(F.explode(side).alias(side), at).groupBy(side).agg(F.collect_list("at").alias("at")), "uses"
+        )
+        for side in kinds
+    }
+    return Cells(table, uses)
+
+
+def _multiply(
+    cells: Cells, on: str, to: str, dense: DataFrame, names: list[str], matrix: np.ndarray | None = None
+) -> tuple[DataFrame, list[str]]:
+    """The sparse matrix (or its transpose) times (dense times matrix): rows named by ``to``."""
+    out = _names(len(names) if matrix is None else matrix.shape[1])
+    grid = ["rb", "cb", "part"]
+
+    def multiply(cell: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        if cell.empty or rows.empty:
+            return pd.DataFrame(columns=[to, *out])
+        cell = cell.iloc[0]
+        x = rows[names].to_numpy(dtype=float)
+        if matrix is not None:
+            x = x @ matrix
+        # The rows come in any order: bring them into the order of the cell's own list.
+        x = x[pd.Index(rows[on]).get_indexer(pd.Index(cell[on]))]
+        source = np.frombuffer(cell[f"{on}_at"], dtype=np.int32)
+        target = np.frombuffer(cell[f"{to}_at"], dtype=np.int32)
+        value = np.frombuffer(cell["value"], dtype=float)
+        order = np.argsort(target, kind="stable")
+        total = np.zeros((len(cell[to]), x.shape[1]))
+        for start in range(0, len(order), CHUNK):
+            some = order[start : start + CHUNK]
+            places = target[some]
+            first = np.flatnonzero(np.diff(places, prepend=-1))
+            total[places[first]] += np.add.reduceat(x[source[some]] * value[some, None], first)
+        return pd.DataFrame({to: cell[to], **{n: total[:, j] for j, n in enumerate(out)}})
+
+    kind = cells.uses[to].schema[to].dataType.simpleString()
+    schema = f"{to} {kind}, " + ", ".join(f"{n} double" for n in out)
+    copies = dense.join(cells.uses[on], on).select(on, *names, F.explode("at").alias("at"))
+    copies = copies.select(on, *names, "at.*")
+    parts = cells.table.groupBy(*grid).cogroup(copies.groupBy(*grid)).applyInPandas(multiply, schema)
+    return parts.groupBy(to).agg(*[F.sum(n).alias(n) for n in out]), out
 
 
 def _as_vectors(df: DataFrame, key: str, names: list[str]) -> DataFrame:
     return df.select(key, F.array(*names).alias("vector"))
 
 
+def _signs(ids: DataFrame, key: str, names: list[str], seed: int) -> DataFrame:
+    """Random signs from bits of a hash of the id: the same in every attempt."""
+    signs = ids.select(key)
+    for block in range((len(names) + 63) // 64):
+        signs = signs.withColumn(f"h{block}", F.xxhash64(key, F.lit(seed + block)))
+
+    def sign(j: int):
+        bit = F.shiftrightunsigned(F.col(f"h{j // 64}"), j % 64).bitwiseAND(F.lit(1))
+        return 1 - 2 * bit.cast("double")
+
+    return signs.select(key, *[sign(j).alias(n) for j, n in enumerate(names)])
+
+
 def truncated_svd(
     entries: DataFrame, row: str, col: str, value: str, rank: int,
-    oversample: int = 10, iterations: int = 2, seed: int = 42,
+    oversample: int = 10, tolerance: float = 0.02, rounds: int = 30, seed: int = 42,
 ) -> Factors:
-    """Rank-k factors of the sparse matrix given as (row, col, value), one entry per cell."""
+    """Rank-k factors of the sparse matrix given as (row, col, value), one entry per cell.
+
+    Rounds go on until no singular value moves by more than ``tolerance`` of the largest, ``rounds`` at most.
+    Rows, columns and values that are null are no entries; a matrix without weight has vectors of length 0.
+    """
     a = entries.select(
         F.col(row).alias("row"), F.col(col).alias("col"), F.col(value).cast("double").alias("value")
-    )
+    ).dropna()
     a = materialise(a, "entries")
     names = _names(rank + oversample)
-
-    # Random signs from bits of a hash of the column id: the same in every attempt.
-    signs = a
-    for block in range((len(names) + 63) // 64):
-        signs = signs.withColumn(f"h{block}", F.xxhash64("col", F.lit(seed + block)))
-
-    def sign(j: int):
-        bit = F.shiftrightunsigned(F.col(f"h{j // 64}"), j % 64).bitwiseAND(F.lit(1))
-        return 1 - 2 * bit.cast("double")
-
-    sample = signs.groupBy("row").agg(
-        *[F.sum(F.col("value") * sign(j)).alias(n) for j, n in enumerate(names)]
-    )
-    sample = materialise(sample, "sample")
-    for _ in range(iterations):
-        basis, names = _orthonormal(sample, "row", names)
-        back = materialise(_multiply(a, "row", "col", basis, names), "back")
-        basis, names = _orthonormal(back, "col", names)
-        sample = materialise(_multiply(a, "col", "row", basis, names), "sample")
-    basis, names = _orthonormal(sample, "row", names)
-    projected = materialise(_multiply(a, "row", "col", basis, names), "projected")
-    values, vectors = np.linalg.eigh(_gram(projected, names)[0])
-    # Directions of no weight are dropped, so a small matrix has fewer than `rank`.
-    top = np.argsort(values)[::-1][:rank]
-    top = top[values[top] > max(values.max(), 0.0) * 1e-12]
-    sigma = np.sqrt(values[top])
+    cells = pack_cells(a, len(names))
+    sample, names = _multiply(cells, "col", "row", _signs(cells.uses["col"], "col", names, seed), names)
+    sample, before = materialise(sample, "sample"), None
+    for _ in range(max(rounds, 1)):
+        basis = _whitening(_gram(sample, names)[0])
+        if not basis.size:
+            none = F.array().cast("array<double>").alias("vector")
+            return Factors(
+                cells.uses["row"].select(F.col("row").alias(row), none),
+                cells.uses["col"].select(F.col("col").alias(col), none), [], [],
+            )
+        projected, dims = _multiply(cells, "row", "col", sample, names, basis)
+        projected = materialise(projected, "projected")
+        gram = _gram(projected, dims)[0]
+        values, vectors = np.linalg.eigh(gram)
+        # Directions of no weight are dropped, so a small matrix has fewer than `rank`.
+        top = np.argsort(values)[::-1][:rank]
+        top = top[values[top] > max(values.max(initial=0.0), 0.0) * 1e-12]
+        sigma = np.sqrt(values[top])
+        if before is not None and len(before) == len(sigma) and abs(sigma - before).max() <= tolerance * sigma[0]:
+            break
+        before, kept = sigma, (sample, names)
+        sample, names = _multiply(cells, "col", "row", projected, dims, _whitening(gram))
+        sample = materialise(sample, "sample")
+    else:
+        sample, names = kept
+    row_table = _times(sample, "row", names, basis @ (vectors[:, top] * sigma))
+    col_table = _times(projected, "col", dims, vectors[:, top] / sigma)
     dims = _names(len(top))
-    row_table = _times(basis, "row", names, vectors[:, top] * sigma)
-    col_table = _times(projected, "col", names, vectors[:, top] / sigma)
 
     # Variance over rows of each kept direction against that of all columns.
     squares, total, n_rows = _gram(row_table, dims)
-    kept_var = np.diag(squares) / n_rows - (total / n_rows) ** 2
+    kept_var = np.diag(squares) / max(n_rows, 1) - (total / max(n_rows, 1)) ** 2
     full = a.groupBy("col").agg(
         F.sum(F.col("value") * F.col("value")).alias("sq"), F.sum("value").alias("s")
-    ).agg(F.sum(F.col("sq") / n_rows - (F.col("s") / n_rows) * (F.col("s") / n_rows))).first()[0]
+    ).agg(
+        F.sum(F.col("sq") / max(n_rows, 1) - (F.col("s") / max(n_rows, 1)) * (F.col("s") / max(n_rows, 1)))
+    ).first()[0]
     return Factors(
         _as_vectors(row_table, "row", dims).withColumnRenamed("row", row),
         _as_vectors(col_table, "col", dims).withColumnRenamed("col", col),
