@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,12 @@ def finished(v: Views, df: DataFrame, name: str) -> DataFrame:
     return v.spark.read.schema(df.schema).parquet(out)
 
 
+def ended(v: Views, source: DataFrame, build: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """The same for a stream with state, whose last days come out at the end of the input."""
+    out = new_path(v.spark, f"stream-{name}")
+    return streams.run_to_end(source, "ts", build, out, out + "-progress")[0]
+
+
 @query("stream_enrich", f"""
 WITH c AS (SELECT doc_id, {ctes.clean('text')} AS t FROM documents),
 cat AS (SELECT doc_id, arg_max(name, score * 1000 - ord) AS predicted_category FROM (
@@ -53,12 +61,18 @@ def _(v: Views):
 SELECT event_type AS category, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n, round(sum(value), 4) AS demand
 FROM events GROUP BY ALL""")
 def _(v: Views):
-    days = streams.stream_daily_demand(stream_of(v, "events"), "event_type", "ts", "value", "1 day")
-    done = finished(v, days, "stream-demand")
-    # The stream holds its last days back until later events close them; at the end of a bounded input the
-    # rows of these days are summed as they are.
-    held = v.table("events").join(done.select("date").distinct(), F.to_date("ts") == F.col("date"), "left_anti")
-    rest = streams.stream_daily_demand(held, "event_type", "ts", "value", "1 day")
-    return done.unionByName(rest).select(
+    source = stream_of(v, "events").select("event_type", "ts", "value")
+    days = ended(v, source, lambda df: streams.stream_daily_demand(df, "event_type", "ts", "value", "1 day"), "demand")
+    return days.select(
         "category", F.date_format("date", "yyyy-MM-dd").alias("date"), "n", F.round("demand", 4).alias("demand")
     )
+
+
+@query("stream_first", """
+SELECT user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, event_id, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type, ts::DATE ORDER BY ts, event_id) = 1""")
+def _(v: Views):
+    """The first event of each user, type and day; days leave the state two days later, or at the end."""
+    source = stream_of(v, "events").select("user_id", "event_type", "ts", "event_id", "value")
+    first = ended(v, source, lambda df: streams.stream_first(df, ["user_id", "event_type"], "ts", "2 days"), "first")
+    return first.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))

@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -156,6 +157,54 @@ def test_stream_dedup(spark, tmp_path):
     assert sorted(r["k"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
 
 
+def _day(n, hour=0):
+    return datetime.datetime(2024, 1, 1) + datetime.timedelta(days=n, hours=hour)
+
+
+def test_stream_ends_with_its_open_days(spark, tmp_path):
+    """Open days come out at the end, a late event is counted and changes nothing, state leaves."""
+    # Spark holds events against the watermark with which the batch before began to close days.
+    for row in [("a", _day(0), 1.0), ("b", _day(5), 2.0), ("b", _day(5, 1), 4.0), ("a", _day(0, 3), 9.0)]:
+        df = spark.createDataFrame([row], "k string, ts timestamp, q double")
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(1.1)
+    source = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+
+    def build(rows):
+        return streams.stream_daily_demand(rows, "k", "ts", "q", "1 day")
+
+    held = streams.run_once(build(source), str(tmp_path / "o1"), str(tmp_path / "c1"))
+    assert held.late_rows == 1 and held.state_rows == 1
+    days, report = streams.run_to_end(source, "ts", build, str(tmp_path / "o2"), str(tmp_path / "c2"))
+    want = [("a", datetime.date(2024, 1, 1), 1.0, 1), ("b", datetime.date(2024, 1, 6), 6.0, 2)]
+    assert sorted(map(tuple, days.collect())) == want
+    # Only the row that ended the stream is held.
+    assert report == streams.StreamReport(late_rows=1, state_rows=1)
+    again, report = streams.run_to_end(source, "ts", build, str(tmp_path / "o2"), str(tmp_path / "c2"))
+    assert sorted(map(tuple, again.collect())) == want and report.state_rows == 1
+
+
+def test_stream_first_keeps_the_first_row(spark, tmp_path):
+    rows = [("a", _day(0, 5), 1, None), ("a", _day(0, 2), 2, "x"), ("a", _day(0, 2), 1, "y"), ("a", _day(1), 7, "z"),
+            (None, _day(0), 3, "n"), ("b", None, 4, "no time")]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, id int, note string")
+    df.write.parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    got, report = streams.run_to_end(
+        source, "ts", lambda d: streams.stream_first(d, ["k"], "ts", "1 hour"), str(tmp_path / "o"), str(tmp_path / "c"))
+    assert got.columns == ["k", "ts", "id", "note"]
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, [rows[2], rows[3], rows[4]]))
+    assert report.state_rows == 1
+
+
+def test_stream_without_events_ends_empty(spark, tmp_path):
+    spark.createDataFrame([], "k string, ts timestamp, q double").write.parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema("k string, ts timestamp, q double").parquet(str(tmp_path / "in"))
+    got, _ = streams.run_to_end(
+        source, "ts", lambda d: streams.stream_first(d, ["k"], "ts", "1 day"), str(tmp_path / "o"), str(tmp_path / "c"))
+    assert got.collect() == []
+
+
 def test_trends_have_every_event_type(spark, tmp_path):
     rows = spark.createDataFrame([("2024-01-01 10:00:00", "view"), ("2024-01-02 10:00:00", "refund"),
                                   ("2024-01-02 11:00:00", "part.return")], "ts string, event_type string")
