@@ -4,6 +4,10 @@ The lexicon is a DataFrame ``(word, valence)``, so its size is free. One of up t
 ``FILTER_WORDS`` words travels with the tasks and is looked up inside each row, without a shuffle.
 Tokens meet a larger one in a join that drops all other words at once; only sentiment words reach the aggregate,
 never whole texts.
+
+An entry may have several words, with one blank between them. Where entries start at the same word the longest
+counts, and none counts that starts within an earlier match; a match counts as one sentiment word that is as long
+as its entry, at the place of its first word.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from shopgrain.functions import dictionaries as D
 from shopgrain.functions.textual import sentiment_label, words
@@ -38,6 +43,26 @@ def lexicon_table(spark: SparkSession, lexicon: Mapping[str, float] | None = Non
     return local_table(spark, list(entries.items()), LEXICON_SCHEMA)
 
 
+def scan_lexicon(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
+    """(word, valence) from files of lines ``entry, valence, ...``; further fields are notes.
+
+    Entries are brought into the form of tokens: lower case, without punctuation around words, one blank between
+    words. Those without a token and lines without a finite valence are left out; an entry that is named more
+    than once gets the mean.
+    """
+    lines = spark.read.schema("entry string, valence string").options(sep=sep, quote="").csv(path)
+    entry = F.array_join(sentiment_tokens(F.lower("entry")), " ")
+    valence = F.expr("try_cast(trim(valence) AS double)")
+    rows = lines.select(entry.alias("word"), valence.alias("valence"))
+    finite = F.abs("valence") < float("inf")
+    return rows.where((F.col("word") != "") & finite).groupBy("word").agg(F.avg("valence").alias("valence"))
+
+
+def _longest(lexicon: DataFrame) -> int:
+    """Words of the longest entry."""
+    return max(lexicon.agg(F.max(F.size(F.split("word", " ")))).first()[0] or 1, 1)
+
+
 def sentiment_tokens(text: Column) -> Column:
     """Words without the punctuation around them; single characters drop out."""
     bare = F.transform(words(text), lambda w: F.btrim(w, F.lit(".,!?")))
@@ -60,9 +85,9 @@ def _known(lexicon: DataFrame) -> dict[str, float] | None:
 
 
 def _tokens(
-    df: DataFrame, key: str, text: str, known: list[str] | None, base: Sequence[Column] = ()
+    df: DataFrame, key: str, text: str, known: list[str] | None, base: Sequence[Column] = (), longest: int = 1
 ) -> DataFrame:
-    """One row per token with the three before it; with ``base`` one more row per text.
+    """One row per token, and stretch of up to ``longest``, with the three before it; with ``base`` one more per text.
 
     Only ``known`` words become rows. The extra row alone carries the base struct, so it
     is not repeated per token.
@@ -74,22 +99,30 @@ def _tokens(
     def before(i: Column, back: int) -> Column:
         return F.when(i - back >= 0, F.get(F.col("_t"), i - back))
 
-    def entry(word: Column, pos: Column, carried: Column | None) -> Column:
+    def entry(word: Column, pos: Column, carried: Column | None, size: int = 1) -> Column:
         none = F.lit(None).cast("string")
         near = [none] * 3 if carried is not None else [before(pos, n) for n in (1, 2, 3)]
-        fields = [word.alias("word"), pos.alias("pos")]
+        fields = [word.alias("word"), pos.alias("pos"), F.lit(size).alias("len")]
         fields += [w.alias(f"w{n}") for n, w in enumerate(near, start=1)]
         if base:
             kind = prepared.schema["_b"].dataType
             fields.append((F.lit(None).cast(kind) if carried is None else carried).alias("base"))
         return F.struct(*fields)
 
-    spots = F.when(F.size("_t") > 0, F.sequence(F.lit(0), F.size("_t") - 1)).otherwise(
-        F.array().cast("array<int>")
-    )
-    if known is not None:
-        spots = F.filter(spots, lambda i: F.get(F.col("_t"), i).isin(known))
-    entries = F.transform(spots, lambda i: entry(F.get(F.col("_t"), i), i, None))
+    def phrase(i: Column, size: int) -> Column:
+        if size == 1:
+            return F.get(F.col("_t"), i)
+        return F.array_join(F.slice("_t", i + 1, F.lit(size)), " ")
+
+    def found(size: int) -> Column:
+        spots = F.when(F.size("_t") >= size, F.sequence(F.lit(0), F.size("_t") - size)).otherwise(
+            F.array().cast("array<int>")
+        )
+        if known is not None:
+            spots = F.filter(spots, lambda i: phrase(i, size).isin(known))
+        return F.transform(spots, lambda i: entry(phrase(i, size), i, None, size))
+
+    entries = found(1) if longest == 1 else F.concat(*[found(size) for size in range(1, longest + 1)])
     if base:
         # A word of its own per key: a shuffled join spreads these rows like any others.
         own = entry(F.concat(F.lit("\x01"), F.col(key).cast("string")), F.lit(-1), F.col("_b"))
@@ -97,6 +130,21 @@ def _tokens(
     return prepared.select(key, "_but", F.inline(entries))
 
 
+def _uncovered(hits: DataFrame, text: str, longest: int) -> DataFrame:
+    """Matches that count: the longest at a place, none that starts within an earlier one."""
+    if longest == 1:
+        return hits
+    before = Window.partitionBy(text).orderBy("pos").rangeBetween(Window.unboundedPreceding, -1)
+    rows = hits.withColumns(
+        {
+            "_reach": F.max(F.col("pos") + F.col("len")).over(before),
+            "_most": F.max("len").over(Window.partitionBy(text, "pos")),
+        }
+    )
+    kept = (F.coalesce("_reach", F.lit(0)) <= F.col("pos")) | (F.col("pos") < 0)
+    return rows.where(kept & (F.col("len") == F.col("_most"))).drop("_reach", "_most")
+
+
 def _moved(valence: Column, before: Sequence[Column], spot: Column, but: Column) -> Column:
     """Valence of a token after degree words, negations and "but" (places from 1, 0: none)."""
     value, sign = valence, F.signum(valence)
@@ -121,9 +169,13 @@ def _valence() -> Column:
 
 
 def token_valences(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
-    """(key, pos, valence) per sentiment word, with negations, degree words and "but"."""
-    known = _known(lexicon)
-    hits = lexicon_join(_tokens(df, key, text, None if known is None else sorted(known)), lexicon)
+    """(key, pos, valence) per sentiment word, with negations, degree words and "but".
+
+    With entries of several words ``key`` must tell the texts apart.
+    """
+    known, longest = _known(lexicon), _longest(lexicon)
+    tokens = _tokens(df, key, text, None if known is None else sorted(known), longest=longest)
+    hits = _uncovered(lexicon_join(tokens, lexicon), key, longest)
     return hits.select(key, "pos", _valence().alias("valence"))
 
 
@@ -140,7 +192,14 @@ def _scorer(known: Mapping[str, float]):
     """
     negations, up, down = frozenset(D.NEGATIONS), frozenset(D.INTENSIFIERS), frozenset(D.DAMPENERS)
     damping, degree, turned = DAMPING, DEGREE, NEGATED
-    valences = {w: float(v) for w, v in known.items() if v is not None}
+    # A word trie: each node maps the next word to a node, and None to the valence of the entry that ends there.
+    trie: dict = {}
+    for phrase, valence in known.items():
+        if phrase is not None and valence is not None:
+            node = trie
+            for word in phrase.split(" "):
+                node = node.setdefault(word, {})
+            node[None] = float(valence)
     fields = [f.split()[0] for f in SUMS.split(", ")]
 
     def sums(text: str | None) -> tuple:
@@ -148,10 +207,19 @@ def _scorer(known: Mapping[str, float]):
         tokens = [w for w in bare if len(w) > 1]
         but = tokens.index("but") if "but" in tokens else -1
         total, positive, negative, hits, found = 0.0, 0.0, 0.0, 0, False
+        reach = 0
         for i, word in enumerate(tokens):
-            valence = valences.get(word)
+            node, end, size, valence = trie.get(word), i + 1, 0, None
+            while node is not None:
+                if None in node:
+                    size, valence = end - i, node[None]
+                node = node.get(tokens[end]) if end < len(tokens) else None
+                end += 1
             if valence is None:
                 continue
+            covered, reach = i < reach, max(reach, i + size)
+            if covered:
+                continue
             found, value, sign = True, valence, (valence > 0) - (valence < 0)
             for back, damp in enumerate(damping, start=1):
                 if back > i:
@@ -170,7 +238,7 @@ def _scorer(known: Mapping[str, float]):
                 positive += value + 1
             elif value < 0:
                 negative += 1 - value
-            hits += value != 0
+            hits += size * (value != 0)
         return len(tokens), total if found else None, positive, negative, hits
 
     @F.pandas_udf(SUMS)
@@ -202,16 +270,17 @@ def _sums_by_join(df: DataFrame, text: str, kept: Sequence[str], lexicon: DataFr
     """The same by a join; rows are told apart by a number, as keys may repeat."""
     rows = df.withColumn("_row", F.monotonically_increasing_id())
     base = [*_base(F.col(text)), *[F.col(c).alias(f"_{i}") for i, c in enumerate(kept)]]
-    tokens = _tokens(rows, "_row", text, None, base).join(lexicon, "word", "left")
+    longest = _longest(lexicon)
+    tokens = _tokens(rows, "_row", text, None, base, longest).join(lexicon, "word", "left")
+    hits = _uncovered(tokens.where(F.col("valence").isNotNull() | (F.col("pos") < 0)), "_row", longest)
     v = F.col("v")
     sums = (
-        tokens.where(F.col("valence").isNotNull() | (F.col("pos") < 0))
-        .select("_row", "base", F.when(F.col("pos") >= 0, _valence()).alias("v"))
+        hits.select("_row", "base", "len", F.when(F.col("pos") >= 0, _valence()).alias("v"))
         .groupBy("_row").agg(
             F.sum(v).alias("_sum"),
             F.sum(F.when(v > 0, v + 1).otherwise(0.0)).alias("_pos"),
             F.sum(F.when(v < 0, 1 - v).otherwise(0.0)).alias("_neg"),
-            F.count(F.when(v != 0, 1)).alias("_hits"),
+            F.coalesce(F.sum(F.when(v != 0, F.col("len"))), F.lit(0)).alias("_hits"),
             F.first("base", ignorenulls=True).alias("_base"),
         )
     )

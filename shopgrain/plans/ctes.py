@@ -58,6 +58,19 @@ _SUFFIX = """CASE doc_id % 9
  ELSE '' END"""
 
 # Name -> (views it reads, body).
+# A valence after degree words and negations among the three words before it.
+_MOVES = f"""
+h1 AS (SELECT *, (v0 + sign(v0) * CASE WHEN w1 IN {words_in(D.INTENSIFIERS)} THEN 0.293
+   WHEN w1 IN {words_in(D.DAMPENERS)} THEN -0.293 ELSE 0 END)
+  * CASE WHEN w1 IN {words_in(D.NEGATIONS)} THEN -0.74 ELSE 1 END AS v1 FROM hit),
+h2 AS (SELECT *, (v1 + sign(v0) * CASE WHEN w2 IN {words_in(D.INTENSIFIERS)} THEN 0.293 * 0.95
+   WHEN w2 IN {words_in(D.DAMPENERS)} THEN -0.293 * 0.95 ELSE 0 END)
+  * CASE WHEN w2 IN {words_in(D.NEGATIONS)} THEN -0.74 ELSE 1 END AS v2 FROM h1),
+h3 AS (SELECT *, (v2 + sign(v0) * CASE WHEN w3 IN {words_in(D.INTENSIFIERS)} THEN 0.293 * 0.9
+   WHEN w3 IN {words_in(D.DAMPENERS)} THEN -0.293 * 0.9 ELSE 0 END)
+  * CASE WHEN w3 IN {words_in(D.NEGATIONS)} THEN -0.74 ELSE 1 END AS v3 FROM h2)
+"""
+
 VIEWS: dict[str, tuple[Sequence[str], str]] = {
     "products0": ((), """
 SELECT p_partkey AS product_idx, 'P' || p_partkey AS product_id, p_name AS product_name,
@@ -187,16 +200,7 @@ WITH spots AS (SELECT product_id, t, coalesce(list_position(t, 'but'), 0) AS but
 hit AS (SELECT product_id, but, i, valence AS v0, CASE WHEN i > 1 THEN t[i - 1] END AS w1,
   CASE WHEN i > 2 THEN t[i - 2] END AS w2, CASE WHEN i > 3 THEN t[i - 3] END AS w3
  FROM spots JOIN (VALUES {rows(D.SEED_LEXICON.items())}) x(word, valence) ON t[i] = word),
-h1 AS (SELECT *, (v0 + sign(v0) * CASE WHEN w1 IN {words_in(D.INTENSIFIERS)} THEN 0.293
-   WHEN w1 IN {words_in(D.DAMPENERS)} THEN -0.293 ELSE 0 END)
-  * CASE WHEN w1 IN {words_in(D.NEGATIONS)} THEN -0.74 ELSE 1 END AS v1 FROM hit),
-h2 AS (SELECT *, (v1 + sign(v0) * CASE WHEN w2 IN {words_in(D.INTENSIFIERS)} THEN 0.293 * 0.95
-   WHEN w2 IN {words_in(D.DAMPENERS)} THEN -0.293 * 0.95 ELSE 0 END)
-  * CASE WHEN w2 IN {words_in(D.NEGATIONS)} THEN -0.74 ELSE 1 END AS v2 FROM h1),
-h3 AS (SELECT *, (v2 + sign(v0) * CASE WHEN w3 IN {words_in(D.INTENSIFIERS)} THEN 0.293 * 0.9
-   WHEN w3 IN {words_in(D.DAMPENERS)} THEN -0.293 * 0.9 ELSE 0 END)
-  * CASE WHEN w3 IN {words_in(D.NEGATIONS)} THEN -0.74 ELSE 1 END AS v3 FROM h2)
-SELECT product_id, i AS pos, (v3 * CASE WHEN but > 0 AND i < but THEN 0.5 WHEN but > 0 AND i > but THEN 1.5
+{_MOVES}SELECT product_id, i AS pos, (v3 * CASE WHEN but > 0 AND i < but THEN 0.5 WHEN but > 0 AND i > but THEN 1.5
  ELSE 1 END)::DOUBLE AS v FROM h3"""),
     "sentiment": (("senti_words", "senti_hits"), """
 SELECT product_id,
@@ -213,6 +217,22 @@ FROM (SELECT product_id, length(trim(combined_text)) >= 3 AND n IS NOT NULL AS o
  LEFT JOIN (SELECT product_id, sum(v) AS s, sum(CASE WHEN v > 0 THEN v + 1 ELSE 0 END) AS ps,
    sum(CASE WHEN v < 0 THEN 1 - v ELSE 0 END) AS ng, count(*) FILTER (v <> 0) AS n
   FROM senti_hits GROUP BY 1) USING (product_id))"""),
+    "lexicon_entries": (("senti_words",), """
+SELECT DISTINCT w AS word, ((length(w) * 5 + ascii(w)) % 9 - 4)::DOUBLE AS valence
+FROM (SELECT unnest(t) AS w FROM senti_words) WHERE (length(w) * 7 + ascii(w)) % 11 < 2
+UNION SELECT t[1] || ' ' || t[2], (length(t[1] || t[2]) % 9 - 4.5)::DOUBLE FROM senti_words WHERE len(t) >= 2
+UNION SELECT t[2] || ' ' || t[3] || ' ' || t[4], (length(t[3]) % 7 - 3.5)::DOUBLE FROM senti_words WHERE len(t) >= 4"""),
+    "lexicon_hits": (("senti_words", "lexicon_entries"), f"""
+WITH spots AS (SELECT product_id, t, coalesce(list_position(t, 'but'), 0) AS but,
+  unnest(range(1, len(t) + 1)) AS i FROM senti_words WHERE len(t) > 0),
+parts AS (SELECT product_id, but, i, n, array_to_string(t[i:i + n - 1], ' ') AS word, CASE WHEN i > 1 THEN t[i - 1] END AS w1,
+  CASE WHEN i > 2 THEN t[i - 2] END AS w2, CASE WHEN i > 3 THEN t[i - 3] END AS w3
+ FROM spots, (VALUES (1), (2), (3)) l(n) WHERE i + n - 1 <= len(t)),
+hit AS (SELECT *, valence AS v0 FROM (SELECT *, max(n) OVER (PARTITION BY product_id, i) AS most,
+  max(i + n) OVER (PARTITION BY product_id ORDER BY i RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+  FROM parts JOIN lexicon_entries USING (word)) WHERE n = most AND coalesce(reach, 0) <= i),
+{_MOVES}SELECT product_id, n, (v3 * CASE WHEN but > 0 AND i < but THEN 0.5 WHEN but > 0 AND i > but THEN 1.5
+ ELSE 1 END)::DOUBLE AS v FROM h3"""),
     "labelled": (("sentiment",), """
 SELECT *, CASE WHEN sentiment_compound >= 0.05 THEN 'Positive' WHEN sentiment_compound <= -0.05
  THEN 'Negative' ELSE 'Neutral' END AS sentiment_label FROM sentiment"""),

@@ -8,6 +8,7 @@ from shopgrain.functions import dictionaries as D
 from shopgrain.functions import textual as X
 from shopgrain.functions import trust
 from shopgrain.operators import reports, search, sentiment
+from shopgrain.operators.checkpoints import materialise, new_path
 from shopgrain.plans import ctes
 from shopgrain.plans.registry import query
 from shopgrain.plans.views import MATCHER, Views
@@ -115,6 +116,42 @@ def _(v: Views):
     return v.sentiment.drop("sentiment_label")
 
 
+@query("sentiment_lexicon", """
+SELECT product_id, coalesce(CASE WHEN ok THEN round(c / sqrt(c * c + 15), 4) END, 0.0)::DOUBLE AS sentiment_compound,
+ coalesce(CASE WHEN ok THEN round((size - n) / (ps + ng + size - n
+  + CASE WHEN ps <> ng THEN bang ELSE 0 END), 4) END, 1.0)::DOUBLE AS sentiment_neutral
+FROM (SELECT product_id, length(trim(combined_text)) >= 3 AND s IS NOT NULL AS ok, bang, ps, ng, n, len(t) AS size,
+  s + CASE WHEN s > 0 THEN bang WHEN s < 0 THEN -bang ELSE 0 END AS c
+ FROM (SELECT *, least(length(combined_text) - length(replace(combined_text, '!', '')), 4) * 0.292 AS bang
+  FROM senti_words)
+ LEFT JOIN (SELECT product_id, sum(v) AS s, sum(CASE WHEN v > 0 THEN v + 1 ELSE 0 END) AS ps,
+   sum(CASE WHEN v < 0 THEN 1 - v ELSE 0 END) AS ng, coalesce(sum(n) FILTER (v <> 0), 0) AS n
+  FROM lexicon_hits GROUP BY 1) USING (product_id))""", ["senti_words", "lexicon_hits"])
+def _(v: Views):
+    """Sentiment by a lexicon file of thousands of entries, some of two and three words."""
+    t = F.col("t")
+    texts = v.cleaned.select(sentiment.sentiment_tokens(F.col("combined_text")).alias("t"))
+    word = F.col("word")
+
+    def phrase(first: int, size: int):
+        return F.array_join(F.slice(t, first, size), " ")
+
+    single = texts.select(F.explode("t").alias("word")).where((F.length(word) * 7 + F.ascii(word)) % 11 < 2)
+    pairs = texts.where(F.size(t) >= 2)
+    triples = texts.where(F.size(t) >= 4)
+    entries = single.select(word, ((F.length(word) * 5 + F.ascii(word)) % 9 - 4).cast("double").alias("valence"))
+    entries = entries.unionByName(pairs.select(
+        phrase(1, 2).alias("word"), ((F.length(phrase(1, 2)) - 1) % 9 - 4.5).alias("valence")
+    )).unionByName(triples.select(
+        phrase(2, 3).alias("word"), (F.length(F.get(t, F.lit(2))) % 7 - 3.5).alias("valence")
+    ))
+    path = new_path(v.spark, "lexicon")
+    entries.distinct().write.option("sep", "\t").csv(path)
+    lexicon = materialise(sentiment.scan_lexicon(v.spark, path), "lexicon")
+    scores = sentiment.sentiment(v.cleaned, "product_id", "combined_text", lexicon)
+    return scores.select("product_id", "sentiment_compound", "sentiment_neutral")
+
+
 @query("sentiment_label", "SELECT product_id, sentiment_label FROM labelled", ["labelled"])
 def _(v: Views):
     return v.sentiment.select("product_id", "sentiment_label")

@@ -87,6 +87,36 @@ def test_sentiment_keeps_rows_with_equal_keys_apart(spark, monkeypatch, joined):
     ]
 
 
+@pytest.mark.parametrize("joined", [False, True])
+def test_lexicon_file_with_phrases(spark, monkeypatch, tmp_path, joined):
+    """Longest entry at a place, none within an earlier one; a phrase is one sentiment word of its length."""
+    if joined:
+        monkeypatch.setattr(sentiment, "FILTER_WORDS", 2)
+    (tmp_path / "words.txt").write_text(
+        "good\t1.9\tnote\nBad  Ass!\t2.0\nbad\t-2.5\nass kicking good\t3.0\n\t1\nugly\tn/a\nfine\t1\nFine\t2\n"
+        "inf\tInfinity\nzero sum\t0\n", encoding="utf-8"
+    )
+    lexicon = sentiment.scan_lexicon(spark, str(tmp_path))
+    assert sorted(map(tuple, lexicon.collect())) == [
+        ("ass kicking good", 3.0), ("bad", -2.5), ("bad ass", 2.0), ("fine", 1.5), ("good", 1.9), ("zero sum", 0.0)]
+    cases = {
+        "a bad ass phone": (2.0, 1, 3), "bad phone": (-2.5, 1, 3.5), "bad ass kicking good thing": (2.0, 3, 3),
+        "not bad ass": (2.0 * -0.74, 1, 2.48), "ass kicking good": (3.0, 0, 4), "bad ass": (2.0, 0, 3), "ass kicking": None,
+        "fine zero sum": (1.5, 2, 2.5), "": None,
+    }
+    # "good" lies within the phrase that "bad ass" covers: covered matches count as cover themselves.
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "id int, t string")
+    got = {r["id"]: r for r in sentiment.sentiment(df, "id", "t", lexicon).collect()}
+    # "a" has one letter and is no token.
+    for i, (text, want) in enumerate(cases.items()):
+        if want is None:
+            assert got[i]["sentiment_compound"] == 0.0 and got[i]["sentiment_neutral"] == 1.0
+        else:
+            total, neutral, weight = want
+            assert got[i]["sentiment_compound"] == pytest.approx(compound(total), abs=1e-4), text
+            assert got[i]["sentiment_neutral"] == pytest.approx(neutral / (weight + neutral), abs=1e-4), text
+
+
 def compound(s):
     return round(s / math.sqrt(s * s + 15), 4)
 
