@@ -57,6 +57,27 @@ def test_vector_search_over_a_grid_of_cells(spark, data, monkeypatch):
     assert [r[1] for r in rows] == pytest.approx(dots.min(axis=1)) and [r[2] for r in rows] == pytest.approx(dots.max(axis=1))
 
 
+def test_cells_of_several_blocks_and_tasks_meet(spark, data, monkeypatch):
+    """Without merged partitions: both sides of a cell must be dealt to the same task."""
+    monkeypatch.setattr(vectors, "ITEM_BLOCK", 37)
+    items, queries = data
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "31")
+    try:
+        asked, rows = table(spark, queries, "query_id"), table(spark, items)
+        assert found(vectors.vector_search(asked, rows, 7)) == ranked(unit(queries) @ unit(items).T, 7)
+        dots = queries @ items.T
+        ends = sorted((r["query_id"], r["low"], r["high"]) for r in vectors.similarity_range(asked, rows).collect())
+        assert [r[1] for r in ends] == pytest.approx(dots.min(axis=1)) and [r[2] for r in ends] == pytest.approx(dots.max(axis=1))
+        # Fewer queries than columns of the grid: some cells hold items only.
+        few = vectors.vector_search(table(spark, queries[:2], "query_id"), rows, 7, block=1)
+        assert found(few) == ranked(unit(queries[:2]) @ unit(items).T, 7)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_queries_stay_in_spark():
     import inspect
 
