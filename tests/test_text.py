@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shopgrain.functions import dictionaries as D
 from shopgrain.functions import textual as X
-from shopgrain.functions import trust
+from shopgrain.functions import matching, trust
 from shopgrain.operators import search, sentiment, tfidf
 
 
@@ -280,3 +280,21 @@ def test_matcher_agrees_with_contains(spark, native):
     for ours, plain in pairs:
         rows = df.orderBy("i").select(ours.alias("a"), plain.alias("b")).collect()
         assert [r["a"] for r in rows] == [r["b"] for r in rows]
+
+
+def test_texts_become_strings_a_slice_at_a_time(spark):
+    """Python's memory must not follow the texts of a whole batch."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array([f"good phone {i} " + "x" * 20_000 for i in range(2_000)] + [None, ""])
+    scan, score = matching._scan(["phone"]).func, sentiment._scorer({"good": 2.0}).func
+    tracemalloc.start()
+    hits = [h for part in scan(iter([texts])) for h in part.to_pylist()]
+    scores = score(texts).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert hits == [[0]] * 2_000 + [None, []]
+    assert [s["total"] for s in scores] == [2.0] * 2_000 + [None, None]
+    assert peak < 20 << 20
