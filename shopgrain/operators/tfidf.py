@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shopgrain.functions.dictionaries import STOP_WORDS
+from shopgrain.operators.checkpoints import materialise
+
+#: Hash buckets whose loads bound the counts of terms; a task holds one number for each.
+BUCKETS = 1 << 20
 
 
 def term_list(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
@@ -17,25 +21,48 @@ def term_list(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
     return F.filter(split, lambda w: (F.length(w) > 1) & ~w.isin(list(stop_words)))
 
 
+def terms_of(tokens: Column, bigrams: bool = True) -> Column:
+    """The words of a text and, with ``bigrams``, the pairs of neighbours."""
+    if not bigrams:
+        return tokens
+    pairs = F.transform(
+        F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - 1, F.lit(0))),
+        lambda w, i: F.concat_ws(" ", w, F.get(tokens, i + 1)),
+    )
+    return F.concat(tokens, pairs)
+
+
 def term_counts(
     df: DataFrame, key: str, text: str, stop_words: Sequence[str] = STOP_WORDS, bigrams: bool = True
 ) -> DataFrame:
     """(key, term, tf); equal terms of a text merge before the shuffle."""
-    kept = term_list(F.col(text), stop_words)
-    tokens = df.select(key, kept.alias("_t"))
-    terms = F.col("_t")
-    if bigrams:
-        pairs = F.transform(
-            F.slice("_t", F.lit(1), F.greatest(F.size("_t") - 1, F.lit(0))),
-            lambda w, i: F.concat_ws(" ", w, F.get(F.col("_t"), i + 1)),
-        )
-        terms = F.concat(terms, pairs)
+    tokens = df.select(key, term_list(F.col(text), stop_words).alias("_t"))
     return (
-        tokens.select(key, F.explode(terms).alias("term"))
+        tokens.select(key, F.explode(terms_of(F.col("_t"), bigrams)).alias("term"))
         .groupBy(key, "term").agg(F.count("*").alias("tf"))
     )
 
 
+def _bucket(term: str = "term") -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+
+
+def frequent_terms(tokens: DataFrame, max_terms: int, bigrams: bool = True) -> DataFrame | None:
+    """(bucket): hash buckets that hold every term which can be among the ``max_terms`` most frequent.
+
+    The ``max_terms``-th most frequent word occurs n times, so no term that occurs less often is wanted, and a
+    term occurs at most as often as all terms of its bucket (Park, Chen and Yu). None if any term can be wanted.
+    """
+    words = tokens.select(F.explode("_t").alias("term")).groupBy("term").agg(F.count("*").alias("total"))
+    top = words.orderBy(F.desc("total")).limit(max_terms)
+    found, least = top.agg(F.count("*"), F.min("total")).first()
+    if found < max_terms or least < 2:
+        return None
+    terms = tokens.select(F.explode(terms_of(F.col("_t"), bigrams)).alias("term"))
+    loads = terms.select(_bucket().alias("bucket")).groupBy("bucket").agg(F.count("*").alias("load"))
+    return materialise(loads.where(F.col("load") >= least).select("bucket"), "buckets")
+
+
 def vocabulary(counts: DataFrame, n_docs: Column, max_terms: int | None = None) -> DataFrame:
     """Terms, all or the ``max_terms`` most frequent, with their smooth inverse document frequency."""
     found = counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
@@ -64,10 +91,24 @@ def tfidf(
     df: DataFrame, key: str, text: str, max_terms: int | None = None,
     stop_words: Sequence[str] = STOP_WORDS, bigrams: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """(weights, vocabulary) of a table of texts."""
-    counts = term_counts(df, key, text, stop_words, bigrams)
-    vocab = vocabulary(counts, df.agg(F.count("*")).scalar(), max_terms)
-    return weigh(counts, key, vocab), vocab
+    """(weights, vocabulary) of a table of texts.
+
+    With ``max_terms``, rows of terms that are too rare for the vocabulary are dropped before any shuffle. Rows are
+    dealt by key alone, which serves the counts and the lengths alike.
+    """
+    tokens = materialise(df.select(key, term_list(F.col(text), stop_words).alias("_t")), "tokens")
+    terms = tokens.select(key, F.explode(terms_of(F.col("_t"), bigrams)).alias("term"))
+    kept = None if max_terms is None else frequent_terms(tokens, max_terms, bigrams)
+    if kept is not None:
+        terms = terms.withColumn("bucket", _bucket()).join(kept, "bucket", "left_semi").select(key, "term")
+    n_docs = F.lit(tokens.count())
+    counts = terms.groupBy(key, "term").agg(F.count("*").alias("tf"))
+    if max_terms is None:
+        vocab = vocabulary(counts, n_docs)
+        return weigh(counts, key, vocab), vocab
+    vocab = materialise(vocabulary(counts, n_docs, max_terms), "vocabulary")
+    wanted = terms.join(vocab.select("term"), "term", "left_semi").select(key, "term")
+    return weigh(wanted.repartition(key).groupBy(key, "term").agg(F.count("*").alias("tf")), key, vocab), vocab
 
 
 def project(

@@ -287,3 +287,30 @@ def test_compare_pairs_first_wins_ties(spark):
     b = spark.createDataFrame([("x", 3, 5.0), ("y", 4, 2.0)], "k string, product_idx int, score double")
     got = {r["k"]: r["winner"] for r in recommend.compare_pairs(a, b, "k").collect()}
     assert got == {"x": 1, "y": 4}
+
+
+def test_frequent_terms_are_exact_and_drop_rare_ones(spark):
+    """Pruned by bucket loads; repeated and null keys count as one text."""
+    from collections import Counter
+
+    from shopgrain.operators import tfidf
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.4, 40) if x < 5000) for _ in range(300)]
+    keys = [None if i % 50 == 7 else i // 2 if i < 40 else i for i in range(300)]
+    df = spark.createDataFrame(list(zip(keys, texts)), "key bigint, text string")
+    tf = {}
+    for k, t in zip(keys, texts):
+        w = t.split()
+        tf.setdefault(k, Counter()).update(w + [" ".join(p) for p in zip(w, w[1:])])
+    total = sum(tf.values(), Counter())
+    best = sorted(total, key=lambda x: (-total[x], x))[:30]
+    df_of = {x: sum(x in c for c in tf.values()) for x in best}
+    weights, vocab = tfidf.tfidf(df, "key", "text", 30)
+    assert {r["term"]: r["df"] for r in vocab.collect()} == df_of
+    raw = {(k, x): (1 + np.log(c[x])) * (np.log(301 / (1 + df_of[x])) + 1) for k, c in tf.items() for x in best if x in c}
+    norm = {k: sum(v * v for (q, _), v in raw.items() if q == k) ** 0.5 for k in tf}
+    got = {(r["key"], r["term"]): r["weight"] for r in weights.collect()}
+    assert got == pytest.approx({p: v / norm[p[0]] for p, v in raw.items()})
+    tokens = df.select(tfidf.term_list(F.col("text")).alias("_t"))
+    assert tfidf.frequent_terms(tokens, 30).count() < len(total) / 10
