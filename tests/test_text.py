@@ -298,3 +298,16 @@ def test_texts_become_strings_a_slice_at_a_time(spark):
     assert hits == [[0]] * 2_000 + [None, []]
     assert [s["total"] for s in scores] == [2.0] * 2_000 + [None, None]
     assert peak < 20 << 20
+
+
+def test_a_joined_lexicon_makes_rows_of_its_own_words_only(spark):
+    lexicon = spark.createDataFrame([("good", 2.0), ("not so bad", 1.0), (None, 3.0)], "word string, valence double")
+    bitmap = sentiment._bitmap(lexicon)
+    assert sum(b.bit_count() for b in bitmap) == 2 and len(bitmap) * 8 == sentiment.BITS
+    texts = ["plain words " * 500 + "good", None, "", "but it is not so bad, not so", "a ñandú good!"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").coalesce(1)
+    found = df.select("i", sentiment._candidates(bitmap, 3)("t").alias("f")).orderBy("i").collect()
+    assert [[(h["word"], h["pos"], h["len"], h["w1"]) for h in r["f"]["hits"]] for r in found] == [
+        [("good", 1000, 1, "words")], [], [], [("not so bad", 3, 3, "is")], [("good", 1, 1, "ñandú")]
+    ]
+    assert [(r["f"]["n"], r["f"]["but"]) for r in found] == [(1001, 0), (0, 0), (0, 0), (8, 1), (2, 0)]
