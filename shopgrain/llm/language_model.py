@@ -21,12 +21,12 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +49,8 @@ _CACHED = 1 << 16
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _LOWERED = np.frombuffer(_LOWER, np.uint8)
 _BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+#: The table of CRC-32: what a byte makes of the checksum before it.
+_CRC = np.array([zlib.crc32(bytes([b ^ 255])) ^ 0xFF000000 for b in range(256)], np.uint32)
 
 
 def words(text: str) -> list[bytes]:
@@ -80,35 +82,53 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     """``token`` (empty for the end) and ``n`` over all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held, size, ends = [], 0, 0
         for batch in batches:
             for part in slices(batch["text"], _BATCH_BYTES):
                 distinct, at, _ = parsed(part)
-                held.update(dict(zip(distinct.to_pylist(), np.bincount(at, minlength=len(distinct)).tolist(), strict=True)))
-                held[b""] += len(part)
-                if len(held) > _HELD:
-                    yield _counted(held)
-                    held.clear()
-        yield _counted(held)
+                held.append(pa.table({"token": distinct, "n": np.bincount(at, minlength=len(distinct)).astype(np.int64)}))
+                size, ends = size + len(distinct), ends + len(part)
+                if size > 2 * _HELD:
+                    held, size = [merged := _summed(held)], len(merged)
+                    if size > _HELD:
+                        yield from _counted(merged)
+                        held, size = [], 0
+        held.append(pa.table({"token": pa.array([b""], pa.binary()), "n": pa.array([ends], pa.int64())}))
+        yield from _counted(_summed(held))
 
     counts = texts.select("text").mapInArrow(count, "token string, n long")
     return counts.groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def _counted(held: Counter) -> pa.RecordBatch:
-    tokens = pa.array(list(held), pa.binary()).cast(pa.string())
-    return pa.RecordBatch.from_arrays([tokens, pa.array(list(held.values()), pa.int64())], ["token", "n"])
+def _summed(counts: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(counts).group_by("token").aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+
+
+def _counted(counts: pa.Table) -> list[pa.RecordBatch]:
+    return counts.set_column(0, "token", counts["token"].cast(pa.string())).to_batches()
 
 
 def bucket(word: bytes, buckets: int) -> int:
     return zlib.crc32(word[-3:]) % buckets
 
 
+def buckets_of(words: pa.Array, buckets: int) -> np.ndarray:
+    """``bucket`` of every word of an array without nulls."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    data, size, ends = np.frombuffer(words.buffers()[2] or b"", np.uint8), np.diff(offsets), offsets[1:]
+    crc = np.full(len(words), 0xFFFFFFFF, np.uint32)
+    for back in (3, 2, 1):
+        there = np.flatnonzero(size >= back)
+        before = crc[there]
+        crc[there] = _CRC[(before ^ data[ends[there] - back]) & 255] ^ (before >> 8)
+    return (~crc).astype(np.int64) % buckets
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """The most frequent tokens, bounded by ``FREQUENT``, the units, and totals over all training tokens."""
 
-    place: dict[bytes, int]  # of a token in the arrays n and unit
+    tokens: pa.Array  # in the order of the arrays n and unit
     n: np.ndarray
     unit: np.ndarray
     end: int  # its unit
@@ -143,7 +163,7 @@ class Vocabulary:
         bucket_of = np.full(len(mass) + 1, -1)
         bucket_of[unit[1 + own :]] = np.arange(buckets)
         return cls(
-            {w: i for i, w in enumerate(tokens)}, seen, np.append(unit[1 : 1 + own], unit[1 + own + of[own:]]),
+            pa.array(tokens, pa.binary()), seen, np.append(unit[1 : 1 + own], unit[1 + own + of[own:]]),
             int(unit[0]), unit[1 + own :], bucket_of, n + 0.5 * (v + 1), np.append(0, mass[order]),
             total, distinct, ends,
         )
@@ -162,11 +182,9 @@ class Vocabulary:
 
     def places(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Of some words their places in the arrays (-1: not there), and their buckets."""
-        words, get, k = distinct.to_pylist(), self.place.get, len(self.within)
-        place = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        buckets = np.full(len(words), -1)
-        rare = np.flatnonzero(place < 0)
-        buckets[rare] = [bucket(words[i], k) for i in rare.tolist()]
+        place = pc.index_in(distinct, value_set=self.tokens).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        buckets, rare = np.full(len(place), -1), np.flatnonzero(place < 0)
+        buckets[rare] = buckets_of(distinct.take(pa.array(rare)), len(self.within))
         return place, buckets
 
     def triples(self, units: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -216,34 +234,36 @@ def cuts(p: np.ndarray) -> np.ndarray:
     return np.append(1 + np.unique((middle * wanted).astype(np.int64), return_index=True)[1], len(p))
 
 
-def _add_rows(values: np.ndarray, seen: np.ndarray, at: np.ndarray, grad: np.ndarray) -> None:
-    """AdaGrad for the rows ``at``, which may repeat and are in order."""
-    new = np.append(True, at[1:] != at[:-1])
-    first = np.flatnonzero(new)
-    total, at = grad.take(first, axis=0), at[first]
-    size = np.diff(np.append(first, len(grad)))
+def _add_rows(at: np.ndarray, *weights: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+    """AdaGrad for the rows ``at``, which may repeat: of each of some weights, their sums of squares and gradients."""
+    order = np.argsort(at)
+    at = at[order]
+    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    at, size = at[first], np.diff(np.append(first, len(at)))
+    # Only rows that repeat are summed.
     many = np.flatnonzero(size > 1)
-    if len(many):
-        # Only rows that repeat are summed.
-        rows = np.flatnonzero(np.repeat(size > 1, size))
-        total[many] = np.add.reduceat(grad.take(rows, axis=0), np.cumsum(size[many]) - size[many], axis=0)
-    scale = seen.take(at, axis=0)
-    scale += total * total
-    seen[at] = scale
-    np.sqrt(scale, out=scale)
-    total /= scale
-    total *= np.float32(RATE)
-    total += values.take(at, axis=0)
-    values[at] = total
-
-
-def _chosen(h: np.ndarray, weights: np.ndarray, at: np.ndarray, safe: bool) -> np.ndarray:
-    """Log-softmax of one entry of each row of h times weights; ``safe`` if no value can overflow the exponential."""
+    rows, starts = order[np.repeat(size > 1, size)], np.cumsum(size[many]) - size[many]
+    for values, seen, grad in weights:
+        total = grad.take(order[first], axis=0)
+        if len(many):
+            total[many] = np.add.reduceat(grad.take(rows, axis=0), starts, axis=0)
+        scale = seen.take(at, axis=0)
+        scale += total * total
+        seen[at] = scale
+        np.sqrt(scale, out=scale)
+        total /= scale
+        total *= np.float32(RATE)
+        total += values.take(at, axis=0)
+        values[at] = total
+
+
+def _chosen(h: np.ndarray, weights: np.ndarray, at: np.ndarray, length: np.ndarray, reach: float, level: float) -> np.ndarray:
+    """Log-softmax of one entry of each row of h times weights; no product is beyond ``length`` of h times reach + level."""
     out, ones = np.empty(len(h), np.float32), np.ones(len(weights), np.float32)
     rows = max(64, _CACHED // len(weights))
     for i in range(0, len(h), rows):
         s = h[i : i + rows] @ weights.T
-        if not safe:
+        if length[i : i + rows].max() * reach + level >= 80:  # the exponential may overflow, or all be 0
             s -= s.max(1, keepdims=True)
         mine = s[np.arange(len(s)), at[i : i + rows]]
         out[i : i + rows] = mine - np.log(np.exp(s, out=s) @ ones)
@@ -307,20 +327,23 @@ class LogBilinear:
         # Biases go along as one more dimension.
         ra, rb, first = np.pad(r @ a, ((0, 0), (0, 1)), constant_values=1), np.pad(r @ b, ((0, 0), (0, 1))), self.first
         units, classes = np.column_stack((q, bias)), np.column_stack((qc, bc))
-        reach = math.sqrt(max(np.square(x).sum(1).max() for x in (units, classes)))
+        levels = [float(abs(x).max(initial=0)) for x in (bc, bias)]
+        reach_classes = math.sqrt(np.square(qc).sum(1).max())
+        reaches = np.sqrt(np.maximum.reduceat(np.square(q).sum(1), first[:-1])).tolist()
+        class_of = np.repeat(np.arange(len(classes)), np.diff(first)).astype(np.uint16)
 
         def logs(two: np.ndarray, one: np.ndarray, target: np.ndarray) -> np.ndarray:
-            order = np.argsort(target, kind="stable")
-            t = target[order]
+            c = class_of[target - first[0]]
+            order = np.argsort(c, kind="stable")
+            t, c = target[order], c[order]
             h = ra.take(one[order], axis=0)
             h += rb.take(two[order], axis=0)
-            c = np.searchsorted(first, t, side="right") - 1
-            safe = reach * math.sqrt(np.einsum("ij,ij->i", h, h).max(initial=0)) < 80
-            out = _chosen(h, classes, c, safe)
-            edges = np.searchsorted(c, np.arange(len(first)))
+            length = np.sqrt(np.einsum("ij,ij->i", h[:, :-1], h[:, :-1]))
+            out = _chosen(h, classes, c, length, reach_classes, levels[0])
+            edges = np.append(0, np.cumsum(np.bincount(c, minlength=len(classes))))
             for k in np.flatnonzero((np.diff(edges) > 0) & (np.diff(first) > 1)):
                 i, j = edges[k], edges[k + 1]
-                out[i:j] += _chosen(h[i:j], units[first[k] : first[k + 1]], t[i:j] - first[k], safe)
+                out[i:j] += _chosen(h[i:j], units[first[k] : first[k + 1]], t[i:j] - first[k], length[i:j], reaches[k], levels[1])
             back = np.empty(len(t))
             back[order] = out
             return back / math.log(10)
@@ -355,8 +378,9 @@ class LogBilinear:
             back = true[:, None] * mine
             back += false @ others
             # Within a class the noise of a triple is the target of others of the batch in its class.
-            start, size = np.searchsorted(c, c, side="left"), np.searchsorted(c, c, side="right")
-            size -= start
+            edges = np.searchsorted(c, np.arange(len(first)))
+            sizes = np.diff(edges)
+            start, size = edges[c], sizes[c]
             vectors, place = q.take(t, axis=0), np.arange(n) - start
             level = (bias[t] - offset[t]).astype(np.float32)
             alone = (size == 1) | (first[c + 1] - first[c] == 1)
@@ -364,27 +388,32 @@ class LogBilinear:
             back += own[:, None] * vectors
             grad, grad_bias = own[:, None] * h, own.copy()
             for _ in range(WITHIN):
-                shift = 1 + (rng.random(len(first))[c] * (size - 1)).astype(np.int64)
-                other = start + (place + shift) % size
+                shift = (1 + (rng.random(len(first))[:-1] * (sizes - 1)).astype(np.int64))[c]
+                other = place + shift
+                other -= size * (other >= size)
+                other += start
                 u = vectors.take(other, axis=0)
                 f = np.where(alone, np.float32(0), _chance(_dots(h, u) + level[other]) / np.float32(-n))
                 u *= f[:, None]
                 back += u
-                at = start + (place - shift) % size  # whose noise this triple's target is
+                at = place - shift  # whose noise this triple's target is
+                at += size * (at < 0)
+                at += start
                 theirs, g = h.take(at, axis=0), f[at]
                 theirs *= g[:, None]
                 grad += theirs
                 grad_bias += g
-            ga, gb, g1, g2 = r1.T @ back, r2.T @ back, back @ a.T, back @ b.T
-            classes_at = np.concatenate((c, drawn))
-            o = np.argsort(classes_at)
-            _add_rows(qc, sqc, classes_at[o], np.concatenate((true[:, None] * h, false.T @ h)).take(o, axis=0))
-            _add_rows(bc, sbc, classes_at[o], np.concatenate((true, false.sum(0)))[o])
-            _add_rows(q, sq, t, grad)
-            _add_rows(bias, sbias, t, grad_bias)
-            before = np.concatenate((c1, c2))
-            o = np.argsort(before)
-            _add_rows(r, sr, before[o], np.concatenate((g1, g2)).take(o, axis=0))
+            ga, gb = r1.T @ back, r2.T @ back
+            class_grad, context_grad = np.empty((n + NOISE, DIMS), np.float32), np.empty((2 * n, DIMS), np.float32)
+            np.multiply(true[:, None], h, out=class_grad[:n])
+            np.matmul(false.T, h, out=class_grad[n:])
+            np.matmul(back, a.T, out=context_grad[:n])
+            np.matmul(back, b.T, out=context_grad[n:])
+            _add_rows(
+                np.concatenate((c, drawn)), (qc, sqc, class_grad), (bc, sbc, np.concatenate((true, false.sum(0))))
+            )
+            _add_rows(t, (q, sq, grad), (bias, sbias, grad_bias))
+            _add_rows(np.concatenate((c1, c2)), (r, sr, context_grad))
             for w, s, g in ((a, sa, ga), (b, sb, gb)):
                 s += g * g
                 w += np.float32(RATE) * g / np.sqrt(s)
@@ -505,7 +534,7 @@ def _partial(vocabulary, model, first: np.ndarray):
         base, share = np.append(v.base(v.n), 0.0), np.append(v.share(), 0.0)
         end = float(v.base(np.array([v.ends]))[0])
         out = []
-        for part in slices(texts, _BATCH_BYTES):
+        for part in slices(texts, 2 * _BATCH_BYTES):  # the words of each are looked up together
             distinct, at, counts = parsed(part)
             place, buckets = v.places(distinct)
             two, one, target, doc = v.triples(v.units(place, buckets)[at], counts)

@@ -211,3 +211,22 @@ def test_weights_of_two_levels_are_those_scored():
     two, one, target = rng.integers(0, 90, 500), rng.integers(0, 90, 500), rng.integers(1, 90, 500)
     want = model.log10_rows(two * 90 + one)[np.arange(500), target]
     assert np.allclose(model.scorer()(two, one, target), want, atol=1e-4)
+
+
+def test_words_are_found_without_python_strings(rows):
+    """Places and buckets of a slice's words come from Arrow and are those of the single words; counts do not depend on slices."""
+    words = [b"", b"a", b"ab", b"abc", "größe".encode(), b"xyzabc", b"abc"]
+    assert language_model.buckets_of(pa.array([b"before", *words], pa.binary())[1:], 97).tolist() == [language_model.bucket(w, 97) for w in words]
+    known = language_model.Vocabulary.of(language_model.count_tokens(rows("text string", [("a a a b a a a a a c",), ("abc",)])))
+    place, buckets = known.places(pa.array([b"a", b"zz", b"abc"], pa.binary()))
+    assert known.tokens[int(place[0])].as_py() == b"a" and buckets[0] == -1 and known.n[place[0]] == 8
+    assert place[1] == -1 and buckets[1] == language_model.bucket(b"zz", len(known.within)) and known.n[place[2]] == 1
+
+
+def test_scores_where_exponentials_would_overflow():
+    rng = np.random.default_rng(0)
+    model = language_model.LogBilinear.new(90, rng.normal(size=90))
+    model.flat[: 2 * 90 * language_model.DIMS] *= 60  # products of hundreds
+    two, one, target = rng.integers(0, 90, 500), rng.integers(0, 90, 500), rng.integers(1, 90, 500)
+    got, want = model.scorer()(two, one, target), model.log10_rows(two * 90 + one)[np.arange(500), target]
+    assert np.isfinite(got).all() and np.allclose(got, want, rtol=1e-4, atol=1e-2)
