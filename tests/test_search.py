@@ -314,3 +314,31 @@ def test_frequent_terms_are_exact_and_drop_rare_ones(spark):
     assert got == pytest.approx({p: v / norm[p[0]] for p, v in raw.items()})
     tokens = df.select(tfidf.term_list(F.col("text")).alias("_t"))
     assert tfidf.frequent_terms(tokens, 30).count() < len(total) / 10
+
+
+@pytest.mark.parametrize("cell_bytes", [64 << 20, 8 * 6 * 9 * 8])
+def test_svd_of_few_columns_moves_no_dense_rows(spark, monkeypatch, cell_bytes):
+    """With a bounded vocabulary only sums as large as the small side are shuffled; results are those of the general way."""
+    monkeypatch.setattr(factors, "CELL_BYTES", cell_bytes)
+    monkeypatch.setattr(factors, "PACKED", 4)
+    rng = np.random.default_rng(7)
+    m = rng.standard_normal((90, 9)) @ np.diag(2.0 ** -np.arange(9)) * (rng.random((90, 9)) < 0.7)
+    rows = [(i, f"t{j}", float(m[i, j])) for i in range(90) for j in range(9) if m[i, j]]
+    entries = spark.createDataFrame(rows, "r bigint, c string, v double")
+
+    def never(*_):
+        raise AssertionError("dense rows of the large side are sent")
+
+    with monkeypatch.context() as only:
+        only.setattr(factors, "_multiply", never)
+        svd = factors.truncated_svd(entries, "r", "c", "v", rank=3, oversample=3, tolerance=1e-7)
+        got = {r["r"]: r["vector"] for r in svd.rows.collect()}, {r["c"]: r["vector"] for r in svd.cols.collect()}
+    assert svd.singular_values == pytest.approx(np.linalg.svd(m, compute_uv=False)[:3].tolist(), rel=1e-4)
+    assert sorted(got[0]) == [i for i in range(90) if m[i].any()] and len(got[1]) == 9
+    back = np.array([got[0].get(i, [0.0] * 3) for i in range(90)]) @ np.array([got[1][f"t{j}"] for j in range(9)]).T
+    u, s, vt = np.linalg.svd(m, full_matrices=False)
+    assert np.abs(back - (u[:, :3] * s[:3]) @ vt[:3]).max() < 0.01
+    monkeypatch.setattr(factors, "CELL_BYTES", 8)
+    general = factors.truncated_svd(entries, "r", "c", "v", rank=3, oversample=3, tolerance=1e-7)
+    assert general.singular_values == pytest.approx(svd.singular_values, rel=1e-4)
+    assert general.explained_variance == pytest.approx(svd.explained_variance, rel=1e-3)
