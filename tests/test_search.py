@@ -342,3 +342,53 @@ def test_svd_of_few_columns_moves_no_dense_rows(spark, monkeypatch, cell_bytes):
     general = factors.truncated_svd(entries, "r", "c", "v", rank=3, oversample=3, tolerance=1e-7)
     assert general.singular_values == pytest.approx(svd.singular_values, rel=1e-4)
     assert general.explained_variance == pytest.approx(svd.explained_variance, rel=1e-3)
+
+
+@pytest.mark.parametrize("cell_bytes", [64 << 20, 8 * 5 * 12])
+def test_products_of_a_large_matrix_shuffle_no_dense_rows(spark, monkeypatch, cell_bytes):
+    """However fine the grid is, a product writes each of its rows once and sends none; results are those of numpy."""
+    monkeypatch.setattr(factors, "CELL_BYTES", cell_bytes)
+    monkeypatch.setattr(factors, "BLOCK", 1)
+    monkeypatch.setattr(factors, "PACKED", 3)
+    monkeypatch.setattr(factors, "PIECE", 2)
+    monkeypatch.setattr(factors, "TOGETHER", 2)
+    rng = np.random.default_rng(11)
+    m = rng.standard_normal((60, 5)) @ np.diag(3.0 ** -np.arange(5)) @ rng.standard_normal((5, 70)) * (rng.random((60, 70)) < 0.3)
+    m[7], m[:, 9] = rng.standard_normal(70), rng.standard_normal(60)
+    rows = [(f"u{i}", j - 35, float(m[i, j])) for i in range(60) for j in range(70) if m[i, j]] + [(None, 1, 2.0)]
+    entries = spark.createDataFrame(rows, "row string, col bigint, value double")
+    cells = factors.pack_cells(entries.dropna(), 5)
+    assert cells.table.count() > 30
+    x = rng.standard_normal((60, 5))
+    dense = spark.createDataFrame([(f"u{i}", *map(float, x[i])) for i in range(60)], "row string, " + ", ".join(f"d{j} double" for j in range(5)))
+    got, names = factors._multiply(cells, "row", "col", dense, [f"d{j}" for j in range(5)])
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    found = {r["col"]: [r[n] for n in names] for r in got.collect()}
+    assert sorted(found) == list(range(-35, 35))
+    np.testing.assert_allclose([found[j - 35] for j in range(70)], m.T @ x, atol=1e-9)
+
+    plans, write = [], factors._written_blocks
+    monkeypatch.setattr(factors, "_written_blocks", lambda df, *a: plans.append(df) or write(df, *a))
+    signs = factors._sign_blocks(cells, "col", 5, 42)
+    plans.clear()
+    out, gram, total, n = factors._product(cells, "col", "row", signs)
+    assert len(plans) == 1 and "Exchange" not in plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert spark.read.parquet(out.path).agg(F.sum(F.length("x"))).first()[0] == 60 * 5 * 8
+    ids = cells.sides["col"].table.select("id")
+    of = {r["id"]: [r[f"d{j}"] for j in range(5)] for r in factors._signs(ids, "id", names, 42).collect()}
+    y = m @ np.array([of[j - 35] for j in range(70)])
+    np.testing.assert_allclose(gram, y.T @ y, rtol=1e-9, atol=1e-9)
+    np.testing.assert_allclose(total, y.sum(axis=0), atol=1e-9)
+    assert n == 60
+
+    monkeypatch.setattr(factors, "_strips", None)  # the way for a small side is not taken
+    monkeypatch.setattr(factors, "CELL_BYTES", min(cell_bytes, 70 * 8 * 9))
+    svd = factors.truncated_svd(entries, "row", "col", "value", rank=4, oversample=6, tolerance=1e-6)
+    u, s, vt = np.linalg.svd(m, full_matrices=False)
+    assert svd.singular_values == pytest.approx(s[:4].tolist(), rel=1e-3)
+    left = {r["row"]: r["vector"] for r in svd.rows.collect()}
+    right = {r["col"]: r["vector"] for r in svd.cols.collect()}
+    left = np.array([left[f"u{i}"] for i in range(60)])
+    back = left @ np.array([right[j - 35] for j in range(70)]).T
+    assert np.linalg.norm(back - (u[:, :4] * s[:4]) @ vt[:4]) < 0.05 * np.linalg.norm(back)
+    assert svd.explained_variance == pytest.approx((left.var(axis=0) / m.var(axis=0).sum()).tolist(), rel=1e-6)
