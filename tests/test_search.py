@@ -268,6 +268,54 @@ def test_recommend_users_against_numpy(spark):
     assert found(got) == want
 
 
+def sent_whole(plan):
+    """Whether rows of a Python function, whose size Spark does not know, are broadcast in a plan."""
+    lines, inside = plan.splitlines(), None
+    for line in lines:
+        depth = len(line) - len(line.lstrip(" :+-"))
+        inside = None if inside is not None and depth <= inside else inside
+        if inside is not None and "MapInArrow" in line:
+            return True
+        if inside is None and "BroadcastExchange" in line:
+            inside = depth
+    return False
+
+
+@pytest.mark.parametrize("query", ["recommend_user"])
+def test_dense_rows_of_factors_are_not_broadcast(spark, sf_dir, monkeypatch, query):
+    """At 60 times sf0.1 they are 850 MB, which the driver would have to hold."""
+    from shopgrain.plans.all_queries import QUERIES
+
+    seen = []
+    planned = lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString())
+    for module in (recommend, vectors):
+        def recorded(df, *args, write=module.materialise, **options):
+            planned(df)
+            return write(df, *args, **options)
+
+        monkeypatch.setattr(module, "materialise", recorded)
+
+    def paired(queries, items, *args, meet=vectors._paired):
+        planned(queries)
+        planned(items)
+        return meet(queries, items, *args)
+
+    monkeypatch.setattr(vectors, "_paired", paired)
+    monkeypatch.setattr(factors, "CELL_BYTES", 1 << 14)
+    assert QUERIES[query](spark, sf_dir).count() > 0
+    assert any("MapInArrow" in plan for plan in seen)
+    assert not any(map(sent_whole, seen))
+
+
+def test_user_vectors_keep_repeated_and_unknown_users(spark):
+    rows = spark.createDataFrame([(i, [float(i)]) for i in range(5)], "user_id bigint, vector array<double>")
+    users = spark.createDataFrame([(3,), (3,), (9,), (None,)], "user_id bigint")
+    got = sorted(recommend.user_vectors(users, rows).collect())
+    assert [tuple(r) for r in got] == [(3, [3.0]), (3, [3.0])]
+    every = recommend.user_vectors(users, rows, "left").collect()
+    assert sorted(((r[0] or 0, r[1]) for r in every), key=str) == [(0, None), (3, [3.0]), (3, [3.0]), (9, None)]
+
+
 def test_cooccurrence_against_dense_product(spark):
     rng = np.random.default_rng(2)
     m = (rng.random((20, 8)) < 0.5) * rng.integers(1, 6, (20, 8))
