@@ -281,7 +281,7 @@ def sent_whole(plan):
     return False
 
 
-@pytest.mark.parametrize("query", ["recommend_user"])
+@pytest.mark.parametrize("query", ["recommend_user", "user_x_item_scores"])
 def test_dense_rows_of_factors_are_not_broadcast(spark, sf_dir, monkeypatch, query):
     """At 60 times sf0.1 they are 850 MB, which the driver would have to hold."""
     from shopgrain.plans.all_queries import QUERIES
