@@ -130,25 +130,26 @@ FROM (SELECT product_id, length(trim(combined_text)) >= 3 AND s IS NOT NULL AS o
 def _(v: Views):
     """Sentiment by a lexicon file of thousands of entries, some of two and three words."""
     t = F.col("t")
-    texts = v.cleaned.select(sentiment.sentiment_tokens(F.col("combined_text")).alias("t"))
-    word = F.col("word")
-
-    def phrase(first: int, size: int):
-        return F.array_join(F.slice(t, first, size), " ")
-
-    single = texts.select(F.explode("t").alias("word")).where((F.length(word) * 7 + F.ascii(word)) % 11 < 2)
-    pairs = texts.where(F.size(t) >= 2)
-    triples = texts.where(F.size(t) >= 4)
-    entries = single.select(word, ((F.length(word) * 5 + F.ascii(word)) % 9 - 4).cast("double").alias("valence"))
-    entries = entries.unionByName(pairs.select(
-        phrase(1, 2).alias("word"), ((F.length(phrase(1, 2)) - 1) % 9 - 4.5).alias("valence")
-    )).unionByName(triples.select(
-        phrase(2, 3).alias("word"), (F.length(F.get(t, F.lit(2))) % 7 - 3.5).alias("valence")
-    ))
+    # Read for the lexicon and again for the scores.
+    cleaned = materialise(v.cleaned.select("product_id", "combined_text"), "cleaned")
+    texts = cleaned.select(sentiment.token_lists(F.col("combined_text")).alias("t"))
+    t, n, pos, word = (F.col(c) for c in ("t", "n", "pos", "word"))
+
+    def phrase(first: int, size: int, least: int):
+        found = F.array(F.array_join(F.slice(t, first, size), " "))
+        return F.when(n >= least, found).otherwise(F.array().cast("array<string>"))
+
+    # All words of a text, and behind them a pair and a triple.
+    spots = texts.select("t", F.size("t").alias("n"), F.length(F.get(t, F.lit(2))).alias("middle"))
+    spots = spots.select("n", "middle", F.posexplode(F.concat(t, phrase(1, 2, 2), phrase(2, 3, 4))).alias("pos", "word"))
+    spots = spots.where((pos >= n) | ((F.length(word) * 7 + F.ascii(word)) % 11 < 2))
+    valence = F.when(pos < n, ((F.length(word) * 5 + F.ascii(word)) % 9 - 4).cast("double"))
+    valence = valence.when(pos == n, (F.length(word) - 1) % 9 - 4.5).otherwise(F.col("middle") % 7 - 3.5)
+    entries = spots.select(word, valence.alias("valence"))
     path = new_path(v.spark, "lexicon")
     entries.distinct().write.option("sep", "\t").csv(path)
     lexicon = materialise(sentiment.scan_lexicon(v.spark, path), "lexicon")
-    scores = sentiment.sentiment(v.cleaned, "product_id", "combined_text", lexicon)
+    scores = sentiment.sentiment(cleaned, "product_id", "combined_text", lexicon)
     return scores.select("product_id", "sentiment_compound", "sentiment_neutral")
 
 

@@ -311,3 +311,46 @@ def test_a_joined_lexicon_makes_rows_of_its_own_words_only(spark):
         [("good", 1000, 1, "words")], [], [], [("not so bad", 3, 3, "is")], [("good", 1, 1, "ñandú")]
     ]
     assert [(r["f"]["n"], r["f"]["but"]) for r in found] == [(1001, 0), (0, 0), (0, 0), (8, 1), (2, 0)]
+
+
+@pytest.mark.parametrize("slice_bytes", [4 << 20, 200])
+def test_a_large_lexicon_is_looked_up_without_a_shuffle(spark, monkeypatch, slice_bytes):
+    """In the row, packed, and joined a lexicon gives the same scores; packed, no text or word is shuffled."""
+    import random
+
+    words = ["good", "bad", "not", "very", "slightly", "but", "never", "ring", "blue", "old", "x", "great", "a b", "no", "ñu"]
+    draw = random.Random(4)
+    texts = [" ".join(draw.choice(words) + draw.choice(["", "!", ",", "?", "\t"]) for _ in range(draw.randint(0, 25))) for _ in range(200)]
+    rows = [(i % 150, None if i % 17 == 3 else t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "k bigint, t string").repartition(3)
+    entries = {" ".join(draw.choice(words) for _ in range(draw.randint(1, 5))): draw.choice([-2.5, -1.0, 0.0, 1.5, 3.0]) for _ in range(120)}
+    entries |= {"double  blank": 1.0, "": 2.0, "void": None}
+    lexicon = spark.createDataFrame([*entries.items(), (None, 1.0)], "word string, valence double")
+
+    def scores():
+        return sentiment.sentiment(df, "k", "t", lexicon, ["t"])
+
+    in_row = sorted(scores().collect(), key=str)
+    monkeypatch.setattr(sentiment, "FILTER_WORDS", 2)
+    monkeypatch.setattr(sentiment, "TEXT_BYTES", slice_bytes)
+    plan = scores()._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(node in plan for node in ("Join", "Window", "Aggregate"))
+    assert sorted(scores().collect(), key=str) == in_row
+    assert sum(r["sentiment_compound"] != 0 for r in in_row) > 100
+    monkeypatch.setattr(sentiment, "PACKED_WORDS", 100)
+    assert "Join" in scores()._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(scores().collect(), key=str) == in_row
+
+
+def test_repeated_entries_of_a_large_lexicon_all_count(spark, monkeypatch):
+    monkeypatch.setattr(sentiment, "FILTER_WORDS", 2)
+    lexicon = spark.createDataFrame([("good", 2.0), ("good", 1.0), ("bad", -1.0)], "word string, valence double")
+    assert sentiment._packed(lexicon) is None
+    df = spark.createDataFrame([("a", "good")], "id string, t string")
+    assert sentiment.sentiment(df, "id", "t", lexicon).first()["sentiment_compound"] == compound(3.0)
+
+
+def test_token_lists_are_the_tokens(spark):
+    texts = ["  a\x1cb  cc..d, ,\t\x0bx!y\r\n .hello! é! ", "", None, "..", "but but", "ñandú, x"]
+    want = column(spark, texts, sentiment.sentiment_tokens(F.col("v")))
+    assert column(spark, texts, sentiment.token_lists(F.col("v"))) == want
