@@ -44,6 +44,48 @@ def test_vector_search_is_exact(spark, data, block, parts):
     assert found(got) == ranked(unit(queries) @ unit(items).T, 7)
 
 
+@pytest.mark.parametrize("pairs", [1 << 20, 60])
+def test_vector_search_without_k_ranks_every_pair(spark, data, monkeypatch, pairs):
+    monkeypatch.setattr(vectors, "PAIRS", pairs)
+    monkeypatch.setattr(vectors, "SLICE", 10)
+    items, queries = data
+    got = vectors.vector_search(table(spark, queries, "query_id"), table(spark, items), None, metric="dot", block=5)
+    dots = queries @ items.T
+    assert found(got) == ranked(dots, 300)
+    rows = got.collect()
+    assert sorted((r["query_id"], r["rank"]) for r in rows) == [(q, n) for q in range(12) for n in range(1, 301)]
+    assert [r["score"] for r in rows] == pytest.approx([dots[r["query_id"], r["item_id"]] for r in rows], abs=6e-5)
+
+
+def test_vector_search_without_k_keeps_conditions_and_nulls(spark, data):
+    items, queries = data
+    cats = [f"c{i % 3}" for i in range(300)]
+    hidden = [[0] if i % 4 == 0 else None for i in range(300)]
+    t = table(spark, items, extra=[("category", "string", cats), ("hidden_from", "array<bigint>", hidden)])
+    q = table(spark, queries[:3], "query_id", extra=[("category", "string", ["c1", "missing", None])])
+    got = found(vectors.vector_search(q, t, None, other_category=None))
+    full = unit(queries[:3]) @ unit(items).T
+    full[0, [i for i in range(300) if i % 3 != 1 or i % 4 == 0]] = -np.inf
+    assert got[0] == [i for i in ranked(full, 300)[0] if full[0, i] > -np.inf] and got[1:] == ranked(full, 300)[1:]
+    # The score of a null vector is null and comes last; a query without an id is a query.
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (0, None), (3, [2.0, 0.0])], "item_id bigint, vector array<double>")
+    asked = spark.createDataFrame([("a", [1.0, 1.0]), (None, [-1.0, 0.0])], "query_id string, vector array<double>")
+    got = vectors.vector_search(asked, rows, None, metric="dot").collect()
+    want = [("", 1, -1.0, 1), ("", 3, -2.0, 2), ("a", 3, 2.0, 1), ("a", 1, 1.0, 2)] + [(q, i, None, 3 + i // 2) for q in ("", "a") for i in (0, 2)]
+    assert sorted(((r[0] or "", r[1], r[2], r[3]) for r in got), key=str) == sorted(want, key=str)
+    empty = asked.where("query_id = 'z'")
+    assert vectors.vector_search(empty, rows, None).collect() == []
+
+
+def test_every_query_meets_every_item(spark, sf_dir):
+    from shopgrain.plans.all_queries import ORACLE, QUERIES
+
+    items = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    rows = QUERIES["query_x_item_scores"](spark, sf_dir)
+    assert rows.count() == items.count() * items.select("label").distinct().count()
+    assert "QUALIFY" not in ORACLE["query_x_item_scores"]
+
+
 def test_vector_search_over_a_grid_of_cells(spark, data, monkeypatch):
     monkeypatch.setattr(vectors, "ITEM_BLOCK", 37)
     monkeypatch.setattr(vectors, "SLICE", 10)
