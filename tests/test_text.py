@@ -354,3 +354,18 @@ def test_token_lists_are_the_tokens(spark):
     texts = ["  a\x1cb  cc..d, ,\t\x0bx!y\r\n .hello! é! ", "", None, "..", "but but", "ñandú, x"]
     want = column(spark, texts, sentiment.sentiment_tokens(F.col("v")))
     assert column(spark, texts, sentiment.token_lists(F.col("v"))) == want
+
+
+def test_words_of_a_packed_lexicon_are_found_by_hash():
+    import numpy as np
+    import pyarrow as pa
+
+    words = pa.array(["good", "bad", "ñu", ""])
+    hashes = sentiment._word_hashes(words)
+    order = np.argsort(hashes)
+    found = pa.array(["ñu", "ugly", "good", "x"])
+    got = sentiment._places(found, words.take(pa.array(order)), hashes[order])
+    assert [order[i] if i >= 0 else -1 for i in got] == [2, -1, 0, -1]
+    # Equal hashes of two words, and no words at all.
+    assert sentiment._places(found, words, np.zeros(4, np.int64)).tolist() == [2, -1, 0, -1]
+    assert sentiment._places(found, words[:0], hashes[:0]).tolist() == [-1] * 4
