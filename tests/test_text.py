@@ -369,3 +369,19 @@ def test_words_of_a_packed_lexicon_are_found_by_hash():
     # Equal hashes of two words, and no words at all.
     assert sentiment._places(found, words, np.zeros(4, np.int64)).tolist() == [2, -1, 0, -1]
     assert sentiment._places(found, words[:0], hashes[:0]).tolist() == [-1] * 4
+
+
+def test_tasks_of_a_packed_lexicon_need_no_copy_of_the_package(spark, tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    path = sentiment._packed(spark.createDataFrame([("good", 2.0), ("bad day", -1.0)], "word string, valence double"))
+    (tmp_path / "task").write_bytes(cloudpickle.dumps(sentiment._packed_scorer(path).func))
+    code = (
+        "import pickle, sys, pyarrow as pa; score = pickle.load(open(sys.argv[1], 'rb'))\n"
+        "print([r['total'] for r in score(pa.array(['good', 'a bad day', 'bad'])).to_pylist()])"
+    )
+    run = subprocess.run([sys.executable, "-I", "-c", code, tmp_path / "task"], capture_output=True, text=True, cwd=tmp_path, timeout=60)
+    assert run.stdout.strip() == "[2.0, -1.0, None]", run.stderr
